@@ -70,28 +70,29 @@ VIEWS = {
             additional_event_data,
           CASE event_type WHEN 'signup' THEN 'raw' WHEN 'purchase' THEN 'conformed' ELSE 'consumption' END zone
         FROM events""",
+    # Nine orders make a catalogue table of nine columns.
     "v_columns": """
-        SELECT DISTINCT l_partkey, l_linenumber,
-          CASE l_partkey % 4 WHEN 0 THEN 'raw_db' WHEN 1 THEN 'conformed_db' WHEN 2 THEN 'consumption_db'
-            ELSE 'scratch_db' END db,
-          CASE WHEN l_partkey < 4 THEN 'transactions' WHEN l_partkey < 8 THEN 'customers'
-            WHEN l_partkey < 12 THEN 'dim_customers' ELSE concat('t_', CAST(l_partkey AS STRING)) END tbl,
-          CASE l_linenumber WHEN 1 THEN 'ssn' WHEN 2 THEN 'email' WHEN 3 THEN 'Phone_Number'
-            WHEN 4 THEN 'customer_id' WHEN 5 THEN 'amount' WHEN 6 THEN 'cc-num' ELSE 'first_name' END col
-        FROM lineitem""",
+        SELECT CASE CAST((o_orderkey - o_orderkey % 9) / 9 AS BIGINT) % 4 WHEN 0 THEN 'raw_db'
+            WHEN 1 THEN 'conformed_db' WHEN 2 THEN 'consumption_db' ELSE 'scratch_db' END db,
+          CASE WHEN o_orderkey < 36 THEN 'transactions' WHEN o_orderkey < 72 THEN 'customers'
+            WHEN o_orderkey < 108 THEN 'dim_customers'
+            ELSE concat('t_', CAST(o_orderkey - o_orderkey % 9 AS STRING)) END tbl,
+          CASE o_orderkey % 9 WHEN 0 THEN 'ssn' WHEN 1 THEN 'email' WHEN 2 THEN 'Phone_Number'
+            WHEN 3 THEN 'customer_id' WHEN 4 THEN 'amount' WHEN 5 THEN 'cc-num' WHEN 6 THEN 'first_name'
+            WHEN 7 THEN 'region_code' ELSE 'social-security' END col,
+          o_orderkey, o_custkey
+        FROM orders""",
+    # One tag per order: a table tag or the PII tag of a column, some not allowed.
     "v_tags": """
-        SELECT db, tbl, col, 'PII' tag,
-          CASE (l_partkey + l_linenumber) % 4 WHEN 0 THEN 'none' WHEN 1 THEN 'quasi' WHEN 2 THEN 'direct'
-            ELSE 'unsure' END val
-        FROM v_columns
-        UNION ALL
-        SELECT DISTINCT db, tbl, '' col, 'BU' tag,
-          CASE l_partkey % 3 WHEN 0 THEN 'finance' WHEN 1 THEN 'operations' ELSE 'analytics' END val
-        FROM v_columns
-        UNION ALL
-        SELECT DISTINCT db, tbl, '' col, CASE WHEN l_partkey % 8 = 0 THEN 'Tier' ELSE 'Sensitivity' END tag,
-          CASE l_partkey % 5 WHEN 0 THEN 'public' WHEN 1 THEN 'internal' WHEN 2 THEN 'confidential'
-            WHEN 3 THEN 'restricted' ELSE 'secret' END val
+        SELECT db, tbl, CASE WHEN o_orderkey % 9 >= 7 THEN '' ELSE col END col,
+          CASE o_orderkey % 9 WHEN 7 THEN 'BU'
+            WHEN 8 THEN CASE WHEN o_custkey % 11 = 0 THEN 'Tier' ELSE 'Sensitivity' END ELSE 'PII' END tag,
+          CASE o_orderkey % 9
+            WHEN 7 THEN CASE o_custkey % 3 WHEN 0 THEN 'finance' WHEN 1 THEN 'operations' ELSE 'analytics' END
+            WHEN 8 THEN CASE o_custkey % 5 WHEN 0 THEN 'public' WHEN 1 THEN 'internal' WHEN 2 THEN 'confidential'
+              WHEN 3 THEN 'restricted' ELSE 'secret' END
+            ELSE CASE o_custkey % 4 WHEN 0 THEN 'none' WHEN 1 THEN 'quasi' WHEN 2 THEN 'direct'
+              ELSE 'unsure' END END val
         FROM v_columns""",
     "v_files": """
         SELECT concat('s3://raw-zone/', event_type, '/user=', CAST(user_id AS STRING), '/part-',
@@ -128,11 +129,14 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self.opened: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        if name in BASE:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        return self.sql(f"SELECT * FROM {name}")
+        if name not in BASE:
+            return self.sql(f"SELECT * FROM {name}")
+        if name not in self.opened:
+            self.opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.opened[name]
 
     def sql(self, text: str) -> DataFrame:
         full = with_views(text)

@@ -61,11 +61,12 @@ def new_versions(
     """Close the open version of each changed row and open a new one.
 
     One ``batch_ts`` does both, so validity intervals are half open and adjacent.
-    An open version that several changed rows match is an error.
+    An open version that several changed rows match is an error.  ``changed`` is
+    read several times and should be stored.
     """
     now = F.current_timestamp() if batch_ts is None else batch_ts
     ending = changed.select(key).withColumn("is_current", F.lit(False)).withColumn("end_date", now)
-    expired = upsert(dim.where("is_current"), ending, [key], ["is_current", "end_date"], None)
+    expired = upsert(dim.where("is_current"), ending, [key], ["is_current", "end_date"], None, stored=True)
     stamped = (
         changed
         .withColumn("start_date", now)
@@ -92,7 +93,7 @@ def scd2_apply(
         require_unique(fresh, [key], "fresh rows")
     elif on_duplicate != "reference":
         raise ValueError("on_duplicate must be 'reference' or 'error'")
-    changed = changed_rows(dim.where("is_current"), fresh, key, tracked, null_safe)
+    changed = stage(changed_rows(dim.where("is_current"), fresh, key, tracked, null_safe), "scd2-changed")
     parts = new_versions(dim, changed, key, **options)
     return parts.closed.unionByName(parts.current).unionByName(parts.opened)
 
@@ -122,8 +123,7 @@ def build_fact(
     on_duplicate: str = "reference",
 ) -> DataFrame:
     """The fact after all transactions are merged in; matched facts get the newest key."""
-    # The merge reads its source three times; the join behind it runs once.
-    rows = stage(fact_rows(txns, dim, batch_ts), "fact-rows")
+    rows = fact_rows(txns, dim, batch_ts)
     updates = [c for c in schemas.FACT_UPDATES if c in rows.columns]
     return upsert(fact, rows, ["transaction_id"], updates, rows.columns, on_duplicate, ["ingested_at"])
 

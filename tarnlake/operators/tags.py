@@ -70,9 +70,9 @@ def drift_summary(drift: DataFrame) -> DataFrame:
 
 
 def repair_tags(tags: DataFrame, drift: DataFrame) -> DataFrame:
-    """``tags`` with every drifted tag set to its expected value."""
+    """``tags`` with every drifted tag set to its expected value; ``drift`` is stored."""
     healed = drift.select(*TAG_KEY, F.col("new").alias("value"))
-    return upsert(tags, healed, TAG_KEY, ["value"], [*TAG_KEY, "value"])
+    return upsert(tags, healed, TAG_KEY, ["value"], [*TAG_KEY, "value"], stored=True)
 
 
 def missing_tables(catalog: DataFrame, policy: PolicyTables) -> DataFrame:

@@ -5,11 +5,12 @@
 * A target row matched by more than one source row is an error.
 * Repeated source keys that match nothing are all inserted.
 
-The target is the streamed (left) side of every join and source keys are
-aggregated before they are joined.  A small source is therefore broadcast by
-Spark's own size check and the target is not shuffled at all; with a large
-source a key that holds a third of the target is split by AQE's skew join,
-which a full outer join would rule out.
+The source is stored once and measured.  Within Spark's broadcast limit it is
+broadcast, and the target, scanned in place, is not shuffled.  Beyond the limit
+the target is the left side of a shuffled left join: a key that holds a third of
+it is split by AQE's skew join, which a full outer join would rule out and an
+aggregate between shuffle and join would prevent.  Repeated source keys are set
+aside before any join, and target keys are made distinct in each map task.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnlake.session import fits_broadcast, stage
+
 DUPLICATE_POLICIES = ("reference", "error", "latest")
 
 
@@ -67,14 +70,11 @@ def require_unique(source: DataFrame, keys: Sequence[str], what: str = "source")
         raise DuplicateKeyError(f"{what} has repeated keys in {list(keys)}")
 
 
-def _match(target: DataFrame, source: DataFrame, keys: Sequence[str], only: Column) -> Column:
-    return reduce(and_, [target[k] == source[f"__k_{k}"] for k in keys] + [only])
-
-
-def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys of ``target`` that the source holds."""
-    wanted = source.select(*keys).distinct()
-    return target.select(*keys).join(wanted, list(keys), "left_semi").distinct()
+def reject_ambiguous(target: DataFrame, repeated: DataFrame, keys: Sequence[str]) -> None:
+    """Raise when a repeated source key matches a target row."""
+    found = target.select(*keys).distinct().join(repeated, list(keys), "left_semi").count()
+    if found:
+        raise DuplicateKeyError(f"{found} target keys in {list(keys)} are matched by several source rows")
 
 
 def upsert(
@@ -86,32 +86,47 @@ def upsert(
     on_duplicate: str = "reference",
     order_by: Sequence[str] = (),
     target_filter: Column | str | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """The rows of ``target`` after merging ``source`` into it.
 
     ``insert_cols=None`` updates only.  ``target_filter`` limits which target
     rows may match.  ``on_duplicate``: ``"reference"`` rejects a repeated key
     only when it matches, ``"error"`` rejects any repeated key, ``"latest"``
-    first keeps the greatest row per key by ``order_by``.  The source is read up
-    to three times, twice for its keys only: ``session.stage`` it when the plan
-    behind it is costly.
+    first keeps the greatest row per key by ``order_by``.  ``stored`` says that
+    the source is a plain scan already, which spares the staged copy.
     """
     if on_duplicate not in DUPLICATE_POLICIES:
         raise ValueError(f"on_duplicate must be one of {DUPLICATE_POLICIES}")
     keys = list(keys)
     if on_duplicate == "latest":
-        source = dedupe_latest(source, keys, order_by)
-    elif on_duplicate == "error":
-        require_unique(source, keys)
-    unique = on_duplicate != "reference"
-
-    eligible = F.lit(True) if target_filter is None else (
-        F.expr(target_filter) if isinstance(target_filter, str) else target_filter)
-    updated = _updated(target, source, keys, list(update_cols), unique, eligible)
+        source, stored = dedupe_latest(source, keys, order_by), False
+    if not stored:
+        source = stage(source, "upsert-source")
+    eligible = F.expr(target_filter) if isinstance(target_filter, str) else target_filter
+    present = target if eligible is None else target.where(eligible)
+
+    # Source rows that can match: keys are unique and not NULL.
+    single, rest = source.where(_not_null(keys)), source.where(~_not_null(keys))
+    repeated = duplicate_keys(source, keys)
+    if on_duplicate != "latest" and not repeated.isEmpty():
+        if on_duplicate == "error":
+            raise DuplicateKeyError(f"source has repeated keys in {keys}")
+        repeated = stage(repeated, "upsert-repeated")
+        reject_ambiguous(present, repeated, keys)
+        # Their keys match nothing, so these rows are inserted without a join.
+        rest = rest.unionByName(source.join(repeated, keys, "left_semi"))
+        single = stage(single.join(repeated, keys, "left_anti"), "upsert-single")
+
+    small = fits_broadcast(single)
+    updated = _updated(target, single, keys, list(update_cols), eligible, small)
     if insert_cols is None:
         return updated
-    present = target if target_filter is None else target.where(eligible)
-    fresh = source.join(matched_keys(present, source, keys), keys, "left_anti")
+    if small:
+        found = matched_keys(present, F.broadcast(single.select(*keys)), keys)
+    else:
+        found = present.select(*keys).distinct()
+    fresh = single.join(found, keys, "left_anti").unionByName(rest)
     filled = set(insert_cols)
     inserted = fresh.select([
         (F.col(f.name) if f.name in filled else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -120,29 +135,29 @@ def upsert(
     return updated.unionByName(inserted)
 
 
+def matched_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys of ``target`` that are among ``source_keys``."""
+    return target.select(*keys).join(source_keys, list(keys), "left_semi").distinct()
+
+
 def _updated(
     target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
-    unique: bool, eligible: Column,
+    eligible: Column | None, small: bool,
 ) -> DataFrame:
-    """Target rows, with matched ones overwritten and ambiguous matches rejected."""
-    side = source.where(_not_null(keys)).select(
+    """Target rows, with matched ones overwritten.  Source keys are unique."""
+    side = source.select(
         *[F.col(k).alias(f"__k_{k}") for k in keys],
-        F.struct(F.lit(True).alias("__hit"), *update_cols).alias("__new"),
+        *[F.col(c).alias(f"__new_{c}") for c in update_cols],
+        F.lit(True).alias("__hit"),
     )
-    if unique:
-        side = side.withColumn("__copies", F.lit(1))
-    else:
-        side = side.groupBy(*[f"__k_{k}" for k in keys]).agg(
-            F.first("__new").alias("__new"), F.count(F.lit(1)).alias("__copies"))
-    tagged = target.withColumn("__eligible", F.coalesce(eligible, F.lit(False)))
-    joined = tagged.join(side, _match(tagged, side, keys, tagged["__eligible"]), "left")
-    guard = F.when(
-        F.col("__copies") > 1,
-        F.raise_error(F.lit(f"a target row is matched by several source rows on {keys}")),
-    ).otherwise(F.lit(True))
-    hit = F.col("__copies").isNotNull()
-    return joined.where(guard.cast("boolean")).select([
-        (F.when(hit, F.col(f"__new.{f.name}").cast(f.dataType)).otherwise(target[f.name]).alias(f.name)
+    tagged = target if eligible is None else target.withColumn("__eligible", F.coalesce(eligible, F.lit(False)))
+    same = [tagged[k] == side[f"__k_{k}"] for k in keys]
+    if eligible is not None:
+        same.append(tagged["__eligible"])
+    joined = tagged.join(F.broadcast(side) if small else side, reduce(and_, same), "left")
+    hit = F.col("__hit").isNotNull()
+    return joined.select([
+        (F.when(hit, F.col(f"__new_{f.name}").cast(f.dataType)).otherwise(target[f.name]).alias(f.name)
          if f.name in update_cols else target[f.name])
         for f in target.schema.fields
     ])

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings that change plans, not results.  Shuffle partitions start high and
 # AQE merges the small ones, so the same code fits a laptop and a large cluster.
@@ -49,6 +51,40 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; negative when switched off."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB").strip().lower()
+    number = text.rstrip("bkmg")
+    return int(number) * _UNITS[text[len(number):]]
+
+
+def data_bytes(df: DataFrame) -> int:
+    """Size of the rows of a stored ``df``, measured by one pass over it.
+
+    Text and binary count their length, other values a word each, every row a
+    fixed overhead: an upper estimate of what a broadcast has to hold.
+    """
+    width = F.lit(32)
+    for field in df.schema.fields:
+        kind = field.dataType.simpleString()
+        if kind in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0)) + 16
+        else:
+            width = width + 8
+    return df.agg(F.sum(width.cast("long")).alias("bytes")).first()["bytes"] or 0
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether a stored ``df`` is measured to be within Spark's broadcast limit."""
+    limit = broadcast_limit(df.sparkSession)
+    return limit >= 0 and data_bytes(df) <= limit
+
+
 def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

@@ -26,7 +26,7 @@ from tarnlake.functions.columns import with_missing
 from tarnlake.operators.star import changed_rows, new_versions
 from tarnlake.operators.upkeep import COMPACT_MAX_BYTES, COMPACT_MIN_FILES, compaction_plan
 from tarnlake.operators.upsert import dedupe_latest, require_unique, upsert
-from tarnlake.session import stage
+from tarnlake.session import fits_broadcast, stage
 from tarnlake.sources.files import file_inventory
 
 # Beyond this many values of one partition column the scan is pruned by their range.
@@ -204,27 +204,29 @@ def upsert_table(
 
     Returns how many partitions were rewritten and how many dropped as empty.
     """
+    # The plan behind the source, often a parse of raw files, runs once.
+    source = stage(source, "upsert-source")
     if source.isEmpty():
         return {"rewritten": 0, "dropped": 0}
     layout = partition_columns(spark, name)
     table = spark.table(name)
     own = [c for c in table.columns if c not in schemas.DAY_COLUMNS]
     if on_duplicate == "latest":
-        source = dedupe_latest(source, keys, order_by)
+        source = stage(dedupe_latest(source, keys, order_by), "upsert-latest")
     elif on_duplicate == "error":
         require_unique(source, keys)
-    source = stage(source, "upsert-source")
     insert_cols = [c for c in own if c in source.columns] if insert_cols is None else insert_cols
 
     def merged(target: DataFrame) -> DataFrame:
-        rows = upsert(target.select(*own), source, keys, update_cols, insert_cols)
+        rows = upsert(target.select(*own), source, keys, update_cols, insert_cols, stored=True)
         return stage(add_days(rows, layout).select(*table.columns), "upsert-rows")
 
     if not layout:
         _insert(spark, merged(table), name, overwrite=True)
         return {"rewritten": 1, "dropped": 0}
     # Reads only the key and partition columns of the table.
-    wanted = source.select(*keys).distinct()
+    wanted = stage(source.select(*keys).distinct(), "upsert-keys")
+    wanted = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
     touched = stage(
         table.select(*keys, *layout).join(wanted, list(keys), "left_semi").select(*layout).distinct(),
         "upsert-touched")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tarnlake import schemas
 from tarnlake.operators.upkeep import head_sample
-from tarnlake.session import TUNING, stage
+from tarnlake.session import fits_broadcast, stage
 
 MAX_FIELDS = 32
 
@@ -19,18 +19,6 @@ AUDIT_LOG = (
     "additional_event_data string"
 )
 
-_KB = 1024
-_UNITS = {"b": 1, "k": _KB, "kb": _KB, "m": _KB**2, "mb": _KB**2, "g": _KB**3, "gb": _KB**3}
-
-
-def _broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes."""
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    text = spark.conf.get(key, TUNING[key]).strip().lower()
-    number = text.rstrip("bkmg")
-    return int(number) * _UNITS[text[len(number):] or "b"]
-
-
 def tokenized_csv(reader, path, max_fields: int = MAX_FIELDS) -> DataFrame:
     """Every line of headerless-read CSV as an array ``v`` of ``max_fields + 1`` cells.
 
@@ -73,7 +61,7 @@ def by_header(
         lines.where(is_header).groupBy("file").agg(F.first("v").alias("v"))
         .withColumn("__names", names).select("file", *layout), "csv-headers")
     body = lines.where(~is_header)
-    if _header_bytes(headers, len(columns)) <= _broadcast_limit(lines.sparkSession):
+    if fits_broadcast(headers):
         joined = body.join(F.broadcast(headers), "file")
     else:
         salt = F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int")
@@ -85,11 +73,6 @@ def by_header(
     ])
 
 
-def _header_bytes(headers: DataFrame, width: int) -> int:
-    row_bytes = F.sum(F.octet_length("file")) + F.count(F.lit(1)) * (8 * width + 64)
-    return headers.agg(row_bytes.alias("bytes")).first()["bytes"] or 0
-
-
 def read_csv_by_header(
     spark: SparkSession, path: str | list[str], key_col: str, columns: Sequence[str],
     max_fields: int = MAX_FIELDS,
