@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from parity.registry import check
 from tarnlake.operators import access, audit, lint, pii, tags
 from tarnlake.operators.upsert import upsert
-from tarnlake.plans.governance import TAG_COLUMNS, reconcile_tags
+from tarnlake.plans.governance import TAG_COLUMNS, pii_scan, reconcile_tags
+from tarnlake.session import new_path
 from tarnlake.sources import policy
+from tarnlake.sources.files import read_audit_log
 
 PATTERNS = pii.CONTENT_PATTERNS
 KINDS = list(PATTERNS)
@@ -326,3 +328,23 @@ def stale_tables(t):
     FROM v_query_log GROUP BY ALL""")
 def access_summary(t):
     return audit.access_summary(t("v_query_log")).withColumn("event_day", F.col("event_day").cast("string"))
+
+
+@check(f"""
+    SELECT {NAMED}, val AS value FROM v_tags
+    UNION ALL
+    SELECT 'conformed_db', 'people', "column", 'PII', pii FROM ({detected_sql(profile_sql(CUSTOMER, "v_customers"))})""")
+def pii_scanned(t):
+    people = {("conformed_db", "people"): lambda: t("v_customers").select(*CUSTOMER),
+              ("conformed_db", "lines"): lambda: t("lineitem")}
+    return pii_scan(t.spark, people, tag_rows(t))
+
+
+@check(f"""SELECT user_arn, event_time, sql_text, {BYTES} / 1e9 AS scanned_gb FROM v_query_log
+    WHERE event_name = 'StartQueryExecution' AND {BYTES} > 1e11
+    ORDER BY scanned_gb DESC, event_time, user_arn, sql_text LIMIT 50""")
+def audit_from_json(t):
+    root = new_path(t.spark, "audit")
+    audit_log(t).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(root)
+    found = audit.expensive_queries(read_audit_log(t.spark, root))
+    return found.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))

@@ -9,13 +9,14 @@ import posixpath
 from pyspark.sql import functions as F
 
 from parity.registry import check
-from parity.star_checks import NOW, TXN, TXN_UPDATES, merged_sql, wall_clock
+from parity.star_checks import CHANGED, DIM, NOW, SCD2, TXN, TXN_UPDATES, merged_sql, wall_clock
 from tarnlake import schemas
 from tarnlake.functions.columns import location_parts
-from tarnlake.operators import upkeep
+from tarnlake.operators import star, upkeep
 from tarnlake.session import new_path
 from tarnlake.sinks import tables, versions
 from tarnlake.sources import files
+from tarnlake.streaming.ingest import ingest_stream
 
 CUT = "2024-01-05 00:00:00"
 
@@ -120,20 +121,21 @@ def write_drifting_csv(t):
     """All transactions as CSV files whose headers differ in columns and order."""
     root = new_path(t.spark, "drift")
     rows = t("v_txn").withColumns({
-        "device_type": F.lit("iOS"), "product_category": F.concat("product_category", F.lit(', "x"'))})
+        "device_type": F.lit("iOS"), "product_category": F.concat("product_category", F.lit(", x"))})
     for group, header in DRIFT.items():
         rows.where(F.col("o_orderkey") % len(DRIFT) == group).select(*header).write.option(
-            "header", "true").option("escape", '"').csv(f"{root}/event_date={group}")
+            "header", "true").csv(f"{root}/event_date={group}")
     return root
 
 
-@check("""SELECT transaction_id, customer_id, amount, concat(product_category, ', "x"') AS product_category,
+DRIFTED = """SELECT transaction_id, customer_id, amount, concat(product_category, ', x') AS product_category,
       region_code, CASE WHEN o_orderkey % 3 = 0 THEN promotion_code END AS promotion_code,
-      CASE WHEN o_orderkey % 3 = 2 THEN 'iOS' END AS device_type FROM v_txn""")
+      CASE WHEN o_orderkey % 3 = 2 THEN 'iOS' END AS device_type FROM v_txn"""
+
+
+@check(DRIFTED)
 def csv_by_header(t):
-    read = t.spark.read.option("escape", '"')
-    lines = files.tokenized_csv(read, write_drifting_csv(t))
-    rows = files.by_header(lines, "transaction_id", READ)
+    rows = files.read_csv_by_header(t.spark, write_drifting_csv(t), "transaction_id", READ)
     return rows.withColumn("amount", F.col("amount").try_cast("double"))
 
 
@@ -142,12 +144,7 @@ def csv_by_header(t):
     ('product_category', 'string', false), ('promotion_code', 'string', false), ('region_code', 'string', false),
     ('transaction_id', 'string', false), ('event_date', 'string', true)) x(c, k, p)""")
 def discover_schema(t):
-    root = new_path(t.spark, "crawl")
-    rows = t("v_txn").withColumn("device_type", F.lit("iOS"))
-    for group, header in DRIFT.items():
-        rows.where(F.col("o_orderkey") % len(DRIFT) == group).select(*header).write.option(
-            "header", "true").csv(f"{root}/event_date={group}")
-    return files.discover_schema(t.spark, root, "transactions")
+    return files.discover_schema(t.spark, write_drifting_csv(t), "transactions")
 
 
 @check("SELECT customer_id, first_name, email, ssn, region_code FROM v_customers")
@@ -157,15 +154,36 @@ def json_customers(t):
     return files.read_customers(t.spark, root).select("customer_id", "first_name", "email", "ssn", "region_code")
 
 
-LAYOUT = ["region_code"]
-STORED = schemas.T.StructType([f for f in schemas.TRANSACTIONS.fields if f.name in TXN])
+def new_table(t, schema, layout):
+    name = "parity_" + posixpath.basename(new_path(t.spark, "t")).replace("-", "_")
+    tables.create_table(t.spark, name, schema, layout, location=new_path(t.spark, "table"))
+    return name
 
 
+def fields(schema, names):
+    return schemas.T.StructType([f for f in schema.fields if f.name in names])
+
+
+@check(DRIFTED)
+def stream_ingested(t):
+    name = new_table(t, schemas.TRANSACTIONS, ["region_code"])
+    ingest_stream(t.spark, write_drifting_csv(t), name, new_path(t.spark, "stream")).awaitTermination()
+    return tables.read_table(t.spark, name).select(*READ)
+
+
+@check(SCD2, changed=CHANGED)
+def scd2_stored_table(t):
+    name = new_table(t, fields(schemas.DIM_CUSTOMERS, DIM), schemas.DIM_CUSTOMERS_LAYOUT)
+    tables.append_table(t.spark, name, t("v_dim"))
+    tables.scd2_table(t.spark, name, t("v_fresh"), batch_ts=F.lit(NOW).cast("timestamp"),
+                      surrogate=star.replayable_key)
+    return wall_clock(tables.read_table(t.spark, name).select(*DIM), "start_date", "end_date")
+
+
+LAYOUT = ["region_code"]
 def stored_transactions(t):
     """A stored table holding all transactions."""
-    name = "parity_" + posixpath.basename(new_path(t.spark, "t")).replace("-", "_")
-    path = new_path(t.spark, "table")
-    tables.create_table(t.spark, name, STORED, LAYOUT, location=path)
+    name = new_table(t, fields(schemas.TRANSACTIONS, TXN), LAYOUT)
     tables.append_table(t.spark, name, t("v_txn").select(*TXN))
     return name
 
@@ -189,9 +207,7 @@ def stored_between(t):
 
 @check("""SELECT transaction_id, amount, region_code FROM v_txn""")
 def compacted_table(t):
-    name = "parity_" + posixpath.basename(new_path(t.spark, "c")).replace("-", "_")
-    schema = schemas.T.StructType([f for f in STORED.fields if f.name in ("transaction_id", "amount", "region_code")])
-    tables.create_table(t.spark, name, schema, ["region_code"], location=new_path(t.spark, "table"))
+    name = new_table(t, fields(schemas.TRANSACTIONS, ["transaction_id", "amount", "region_code"]), ["region_code"])
     t("v_txn").select("transaction_id", "amount", "region_code").repartition(8).write.insertInto(name)
     tables.compact_table(t.spark, name)
     return tables.read_table(t.spark, name)

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Whitespace as Python's str.strip sees it: Unicode spaces and the C0 separators.
-SPACE = r"[\s\x1c-\x1f]"
+# The characters Python's str.strip and str.split take for whitespace.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def to_double(c: Column) -> Column:
@@ -25,7 +28,7 @@ def sha256_hex(c: Column, salt: str = "") -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def normal_text(c: Column) -> Column:

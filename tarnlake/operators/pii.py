@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.functions.columns import SPACE, header_key, unquote
+from tarnlake.functions.columns import WHITESPACE, header_key, unquote
 
 DIRECT = "direct"
 
@@ -146,7 +146,7 @@ def pii_in_text(df: DataFrame, text: str, by: Sequence[str]) -> DataFrame:
     Counters are reduced in each task before the shuffle, so a group that holds
     most of the texts costs the shuffle one row per task.
     """
-    token = F.explode_outer(F.split(F.col(text), rf"(?U){SPACE}+"))
+    token = F.explode_outer(F.split(F.col(text), f"[{WHITESPACE}]+"))
     value = F.btrim(F.btrim(F.col("__t"), F.lit('"')), F.lit("'"))
     return df.select(*by, token.alias("__t")).groupBy(*by).agg(
         *[F.count_if(content_hit(value, kind)).alias(f"{kind}_hits") for kind in CONTENT_PATTERNS])

@@ -108,25 +108,24 @@ def upsert(
 
     # Source rows that can match: keys are unique and not NULL.
     single, rest = source.where(_not_null(keys)), source.where(~_not_null(keys))
-    repeated = duplicate_keys(source, keys)
-    if on_duplicate != "latest" and not repeated.isEmpty():
-        if on_duplicate == "error":
-            raise DuplicateKeyError(f"source has repeated keys in {keys}")
-        repeated = stage(repeated, "upsert-repeated")
-        reject_ambiguous(present, repeated, keys)
-        # Their keys match nothing, so these rows are inserted without a join.
-        rest = rest.unionByName(source.join(repeated, keys, "left_semi"))
-        single = stage(single.join(repeated, keys, "left_anti"), "upsert-single")
-
-    small = fits_broadcast(single)
+    if on_duplicate != "latest":
+        repeated = stage(duplicate_keys(source, keys), "upsert-repeated")
+        if not repeated.isEmpty():
+            if on_duplicate == "error":
+                raise DuplicateKeyError(f"source has repeated keys in {keys}")
+            reject_ambiguous(present, repeated, keys)
+            # Their keys match nothing, so these rows are inserted without a join.
+            rest = rest.unionByName(source.join(repeated, keys, "left_semi"))
+            if fits_broadcast(repeated):
+                single = single.join(F.broadcast(repeated), keys, "left_anti")
+            else:
+                single = stage(single.join(repeated, keys, "left_anti"), "upsert-single")
+
+    small = fits_broadcast(source)
     updated = _updated(target, single, keys, list(update_cols), eligible, small)
     if insert_cols is None:
         return updated
-    if small:
-        found = matched_keys(present, F.broadcast(single.select(*keys)), keys)
-    else:
-        found = present.select(*keys).distinct()
-    fresh = single.join(found, keys, "left_anti").unionByName(rest)
+    fresh = not_in(single, present, keys, small).unionByName(rest)
     filled = set(insert_cols)
     inserted = fresh.select([
         (F.col(f.name) if f.name in filled else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -135,9 +134,16 @@ def upsert(
     return updated.unionByName(inserted)
 
 
-def matched_keys(target: DataFrame, source_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct keys of ``target`` that are among ``source_keys``."""
-    return target.select(*keys).join(source_keys, list(keys), "left_semi").distinct()
+def not_in(rows: DataFrame, table: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """Stored ``rows`` whose key is not in ``table``.
+
+    When the rows are ``small`` enough to broadcast, the table's keys are
+    filtered in place first; otherwise they are made distinct and shuffled.
+    """
+    keys = list(keys)
+    present = table.select(*keys)
+    found = present.join(F.broadcast(rows.select(*keys)), keys, "left_semi") if small else present
+    return rows.join(found.distinct(), keys, "left_anti")
 
 
 def _updated(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake import schemas
@@ -25,14 +25,28 @@ def update_dimension(
 def update_fact(
     spark: SparkSession, transactions: str = "conformed_db.transactions",
     dimension: str = "consumption_db.dim_customers", fact: str = "consumption_db.fact_transactions",
-    batch_ts: Column | None = None,
+    batch_ts: Column | None = None, changed_since: Column | None = None,
 ) -> dict[str, int]:
-    """Every transaction keyed to the current dimension and merged into the fact."""
+    """Every transaction keyed to the current dimension and merged into the fact.
+
+    ``changed_since`` limits the run to transactions ingested, or whose customer's
+    open version began, at or after that time.  All keys come out the same; facts
+    left out keep their ``ingested_at``, and their partitions are not rewritten.
+    """
     create_table(spark, fact, schemas.FACT_TRANSACTIONS, schemas.FACT_LAYOUT)
-    rows = fact_rows(read_table(spark, transactions, schemas.TRANSACTIONS), spark.table(dimension), batch_ts)
+    txns = read_table(spark, transactions, schemas.TRANSACTIONS)
+    if changed_since is not None:
+        txns = _changed(txns, spark.table(dimension), changed_since)
+    rows = fact_rows(txns, spark.table(dimension), batch_ts)
     return upsert_table(spark, fact, rows, ["transaction_id"], schemas.FACT_UPDATES)
 
 
+def _changed(txns: DataFrame, dim: DataFrame, since: Column) -> DataFrame:
+    moved = dim.where(F.col("is_current") & (F.col("start_date") >= since)).select("customer_id")
+    recent = F.coalesce(F.col("ingested_at") >= since, F.lit(True))
+    return txns.where(recent).unionByName(txns.where(~recent).join(moved, "customer_id", "left_semi"))
+
+
 def publish_mart(spark: SparkSession, root: str, version: str, fact: str = "consumption_db.fact_transactions") -> str:
     return write_version(mart_sales(spark.table(fact)), root, "mart_sales", version)
 

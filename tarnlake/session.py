@@ -31,6 +31,9 @@ def build_session(app: str = "tarnlake", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_fallback: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -38,17 +41,24 @@ def shared_root(spark: SparkSession) -> str:
     that folder would exist on one machine only.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tarnlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _fallback:
+        _fallback[app] = tempfile.mkdtemp(prefix="tarnlake-")
+    return _fallback[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing has used yet."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder that nothing has used yet.
+
+    Everything an application stages is in one folder named after it, which can
+    be removed once the application has ended.
+    """
+    app = spark.sparkContext.applicationId
+    return f"{shared_root(spark)}/tarnlake/{app}/{name}-{uuid.uuid4().hex}"
 
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}

@@ -25,7 +25,7 @@ from tarnlake import schemas
 from tarnlake.functions.columns import with_missing
 from tarnlake.operators.star import changed_rows, new_versions
 from tarnlake.operators.upkeep import COMPACT_MAX_BYTES, COMPACT_MIN_FILES, compaction_plan
-from tarnlake.operators.upsert import dedupe_latest, require_unique, upsert
+from tarnlake.operators.upsert import dedupe_latest, not_in, require_unique, upsert
 from tarnlake.session import fits_broadcast, stage
 from tarnlake.sources.files import file_inventory
 
@@ -263,8 +263,8 @@ def scd2_table(
         kept = before.join(ended.select("customer_key"), "customer_key", "left_anti")
         rows = stage(kept.select(*table.columns).unionByName(opened), "scd2-rows")
     # A repeated run skips versions an interrupted run has already closed.
-    closed = table.where("NOT is_current").select("customer_key")
-    _insert(spark, stage(ended.join(closed, "customer_key", "left_anti"), "scd2-closed"), name, overwrite=False)
+    closing = not_in(ended, table.where("NOT is_current"), ["customer_key"], fits_broadcast(ended))
+    _insert(spark, stage(closing, "scd2-closing"), name, overwrite=False)
     _replace(spark, name, rows, touched, partitions)
     return True
 

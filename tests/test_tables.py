@@ -189,6 +189,11 @@ def test_all_zones(spark, tmp_path):
     assert ingest_customers(spark, str(people))["dropped"] == 0
     assert ingest_transactions(spark, str(txns))["rewritten"] == 2
     assert update_fact(spark)["rewritten"] == 1
+    # Nothing was ingested or re-keyed since then, so no partition is touched.
+    later = F.lit("2100-01-01").cast("timestamp")
+    assert update_fact(spark, changed_since=later) == {"rewritten": 0, "dropped": 0}
+    again = F.lit("2026-06-02").cast("timestamp")
+    assert update_fact(spark, changed_since=again)["rewritten"] == 1
 
 
 def test_scd2_repeat_after_a_crash(spark, name, monkeypatch):

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnlake.operators.upsert import (
-    DuplicateKeyError, dedupe_latest, duplicate_keys, matched_keys, require_unique, upsert,
+    DuplicateKeyError, dedupe_latest, duplicate_keys, not_in, require_unique, upsert,
 )
 
 TARGET = "id string, amount double, note string, region string"
@@ -78,7 +78,8 @@ def test_idempotent_and_count(spark, rows):
     once = merge(target, source)
     assert once.count() == 150
     assert rows(once) == rows(merge(once, source))
-    assert matched_keys(target, source, ["id"]).count() == 50
+    for small in (True, False):
+        assert not_in(source, target, ["id"], small).count() == 50
 
 
 def test_composite_keys_and_self_source(spark, rows):
