@@ -104,10 +104,11 @@ def write_partitioned(
     rows.write.mode(mode).option("compression", "snappy").partitionBy(*layout).parquet(path)
 
 
-def _insert(spark: SparkSession, df: DataFrame, name: str, overwrite: bool) -> None:
+def _insert(
+    spark: SparkSession, df: DataFrame, name: str, layout: Sequence[str], overwrite: bool,
+) -> None:
     """Append, or replace exactly the partitions that ``df`` has rows for."""
     columns = spark.table(name).columns
-    layout = partition_columns(spark, name)
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     spark.conf.set(key, "dynamic")
@@ -124,7 +125,7 @@ def append_table(spark: SparkSession, name: str, rows: DataFrame) -> None:
     unknown = sorted(set(rows.columns) - set(table.columns))
     if unknown:
         raise ValueError(f"columns not in {name}: {unknown}")
-    _insert(spark, with_missing(add_days(rows, layout), table.schema), name, overwrite=False)
+    _insert(spark, with_missing(add_days(rows, layout), table.schema), name, layout, overwrite=False)
 
 
 def _partition_list(df: DataFrame, layout: Sequence[str]) -> list[tuple]:
@@ -178,20 +179,22 @@ def _in_partitions(df: DataFrame, listed: DataFrame, layout: Sequence[str], how:
 
 
 def _replace(
-    spark: SparkSession, name: str, rows: DataFrame, touched: DataFrame, partitions: list[tuple],
+    spark: SparkSession, name: str, layout: Sequence[str], rows: DataFrame, touched: DataFrame,
+    partitions: list[tuple],
 ) -> int:
     """Put staged ``rows`` in place: ``touched`` partitions are replaced, or dropped
     when no row is left in them, and rows of other partitions appended.  Returns
     the number dropped."""
-    layout = partition_columns(spark, name)
     if not partitions:
-        _insert(spark, rows, name, overwrite=False)
+        _insert(spark, rows, name, layout, overwrite=False)
         return 0
     replaced = _in_partitions(rows, touched, layout, "left_semi")
     emptied = sorted(set(partitions) - set(_partition_list(replaced, layout)), key=str)
-    _insert(spark, replaced, name, overwrite=True)
+    _insert(spark, replaced, name, layout, overwrite=True)
     _drop_partitions(spark, name, layout, emptied)
-    _insert(spark, _in_partitions(rows, touched, layout, "left_anti"), name, overwrite=False)
+    added = _in_partitions(rows, touched, layout, "left_anti")
+    if not added.isEmpty():
+        _insert(spark, added, name, layout, overwrite=False)
     return len(emptied)
 
 
@@ -222,18 +225,18 @@ def upsert_table(
         return stage(add_days(rows, layout).select(*table.columns), "upsert-rows")
 
     if not layout:
-        _insert(spark, merged(table), name, overwrite=True)
+        _insert(spark, merged(table), name, layout, overwrite=True)
         return {"rewritten": 1, "dropped": 0}
     # Reads only the key and partition columns of the table.
-    wanted = stage(source.select(*keys).distinct(), "upsert-keys")
-    wanted = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
+    wanted = source.select(*keys)
+    wanted = F.broadcast(wanted) if fits_broadcast(wanted) else stage(wanted.distinct(), "upsert-keys")
     touched = stage(
         table.select(*keys, *layout).join(wanted, list(keys), "left_semi").select(*layout).distinct(),
         "upsert-touched")
     partitions = _partition_list(touched, layout)
     inside = table.where(_within(layout, partitions)) if partitions else table.where(F.lit(False))
     rows = merged(_in_partitions(inside, touched, layout, "left_semi"))
-    dropped = _replace(spark, name, rows, touched, partitions)
+    dropped = _replace(spark, name, layout, rows, touched, partitions)
     return {"rewritten": len(partitions) - dropped, "dropped": dropped}
 
 
@@ -264,8 +267,8 @@ def scd2_table(
         rows = stage(kept.select(*table.columns).unionByName(opened), "scd2-rows")
     # A repeated run skips versions an interrupted run has already closed.
     closing = not_in(ended, table.where("NOT is_current"), ["customer_key"], fits_broadcast(ended))
-    _insert(spark, stage(closing, "scd2-closing"), name, overwrite=False)
-    _replace(spark, name, rows, touched, partitions)
+    _insert(spark, stage(closing, "scd2-closing"), name, layout, overwrite=False)
+    _replace(spark, name, layout, rows, touched, partitions)
     return True
 
 
@@ -302,7 +305,7 @@ def compact_table(
         before = spark.conf.get(key, None)
         spark.conf.set(key, f"{max_bytes}b")
         try:
-            _insert(spark, rows, name, overwrite=True)
+            _insert(spark, rows, name, partition_columns(spark, name), overwrite=True)
         finally:
             spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     return plan

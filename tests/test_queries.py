@@ -20,13 +20,9 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", sorted(SPARK))
-def test_query_matches_sql(spark, duck, name):
-    note = compare(SPARK[name](spark, SF), duck, SQL[name])
-    assert note in ("", "both empty")
-
-
-@pytest.mark.parametrize("name", sorted(SPARK))
-def test_no_python_in_plans(spark, plan, name):
-    text = plan(SPARK[name](spark, SF))
-    assert "ArrowEvalPython" not in text and "BatchEvalPython" not in text and "MapIn" not in text
+def test_query_matches_sql(spark, duck, plan, name):
+    df = SPARK[name](spark, SF)
+    assert compare(df, duck, SQL[name]) in ("", "both empty")
+    text = plan(df)
+    assert "EvalPython" not in text and "MapIn" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
