@@ -146,10 +146,10 @@ def pii_in_text(df: DataFrame, text: str, by: Sequence[str]) -> DataFrame:
     Counters are reduced in each task before the shuffle, so a group that holds
     most of the texts costs the shuffle one row per task.
     """
-    token = F.explode_outer(F.split(F.col(text), f"[{WHITESPACE}]+"))
-    value = F.btrim(F.btrim(F.col("__t"), F.lit('"')), F.lit("'"))
-    return df.select(*by, token.alias("__t")).groupBy(*by).agg(
-        *[F.count_if(content_hit(value, kind)).alias(f"{kind}_hits") for kind in CONTENT_PATTERNS])
+    tokens = df.select(*by, F.explode_outer(F.split(F.col(text), f"[{WHITESPACE}]+")).alias("__t"))
+    values = tokens.select(*by, F.btrim(F.btrim("__t", F.lit('"')), F.lit("'")).alias("__v"))
+    return values.groupBy(*by).agg(
+        *[F.count_if(content_hit(F.col("__v"), kind)).alias(f"{kind}_hits") for kind in CONTENT_PATTERNS])
 
 
 def pii_tags(detected: DataFrame, database: str, table: str) -> DataFrame:

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tarnlake.functions.columns import unquote
 from tarnlake.operators import tags as tag_ops
-from tarnlake.operators.pii import detect_pii
+from tarnlake.operators.pii import detect_pii, detect_pii_in_lines
+from tarnlake.operators.upkeep import first_sample_file
 from tarnlake.operators.upsert import upsert
 from tarnlake.session import stage
+from tarnlake.sources.files import file_inventory, sample_lines
 from tarnlake.sources.policy import PolicyTables, local_rows
 
 log = logging.getLogger(__name__)
@@ -25,8 +29,25 @@ class Reconciled(NamedTuple):
     missing: DataFrame
 
 
+def detect_in_sample(spark: SparkSession, location: str, lines: int = 100) -> DataFrame:
+    """PII columns of a raw folder, judged by the head of its first CSV or JSON file.
+
+    Reads that one file; the first line is the header.  A folder without such a
+    file gives an error.  ``detect_pii`` on the whole table is the thorough form.
+    """
+    listed = file_inventory(spark, location).withColumn("location", F.lit(location))
+    first = first_sample_file(listed, ["location"]).first()
+    if first is None:
+        raise FileNotFoundError(f"no sample file below {location}")
+    sample = sample_lines(spark, first["path"], lines)
+    header = sample.where("line_number = 1").select(
+        F.transform(F.split("value", ","), unquote).alias("names")).first()["names"]
+    return detect_pii_in_lines(sample.where("line_number > 1"), header)
+
+
 def pii_scan(
     spark: SparkSession, tables: Mapping[tuple[str, str], Callable[[], DataFrame]], tags: DataFrame,
+    detect: Callable[[DataFrame], DataFrame] = detect_pii,
 ) -> DataFrame:
     """``tags`` with PII tags set for every column found in the given tables.
 
@@ -38,12 +59,24 @@ def pii_scan(
     for (database, table), open_table in tables.items():
         try:
             found += [(database, table, row["column"], "PII", row["pii"])
-                      for row in detect_pii(open_table()).select("column", "pii").collect()]
+                      for row in detect(open_table()).select("column", "pii").collect()]
         except Exception as error:  # one unreadable table must not stop the others
             log.error("PII scan of %s.%s failed: %s", database, table, type(error).__name__)
     return upsert(tags, local_rows(spark, found, TAG_COLUMNS), tag_ops.TAG_KEY, ["value"], TAG_COLUMNS)
 
 
+def pii_scan_raw(spark: SparkSession, locations: Sequence[str], database: str, tags: DataFrame) -> DataFrame:
+    """``pii_scan`` over samples of raw folders; the last folder names the table."""
+    def table(location: str) -> str:
+        return location.rstrip("/").rsplit("/", 1)[-1]
+
+    samples = {
+        (database, table(location)): lambda location=location: detect_in_sample(spark, location)
+        for location in locations
+    }
+    return pii_scan(spark, samples, tags, detect=lambda found: found)
+
+
 def reconcile_tags(catalog: DataFrame, policy: PolicyTables, tags: DataFrame) -> Reconciled:
     """Repaired tags, the drift they repair, and policy tables that do not exist."""
     # Staged, so that the report and the repair are the same rows, found once.
