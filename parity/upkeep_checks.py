@@ -7,6 +7,7 @@ file-based operators over them and return what a reader then finds.
 import posixpath
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from parity.registry import check
 from parity.star_checks import CHANGED, DIM, NOW, SCD2, TXN, TXN_UPDATES, merged_sql, wall_clock
@@ -161,7 +162,7 @@ def new_table(t, schema, layout):
 
 
 def fields(schema, names):
-    return schemas.T.StructType([f for f in schema.fields if f.name in names])
+    return StructType([f for f in schema.fields if f.name in names])
 
 
 @check(DRIFTED)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.functions.columns import WHITESPACE, header_key, unquote
+from tarnlake.functions.columns import BLANKS, header_key, unquote
 
 DIRECT = "direct"
 
@@ -146,7 +146,7 @@ def pii_in_text(df: DataFrame, text: str, by: Sequence[str]) -> DataFrame:
     Counters are reduced in each task before the shuffle, so a group that holds
     most of the texts costs the shuffle one row per task.
     """
-    tokens = df.select(*by, F.explode_outer(F.split(F.col(text), f"[{WHITESPACE}]+")).alias("__t"))
+    tokens = df.select(*by, F.explode_outer(F.split(F.col(text), BLANKS)).alias("__t"))
     values = tokens.select(*by, F.btrim(F.btrim("__t", F.lit('"')), F.lit("'")).alias("__v"))
     return values.groupBy(*by).agg(
         *[F.count_if(content_hit(F.col("__v"), kind)).alias(f"{kind}_hits") for kind in CONTENT_PATTERNS])

@@ -17,13 +17,13 @@ def conform_transactions(raw: DataFrame, batch_ts: Column | None = None) -> Data
     Names are normalised first, so a padded or upper-case name is typed too;
     malformed amounts and times become NULL, absent columns typed NULLs.
     """
-    now = F.current_timestamp() if batch_ts is None else batch_ts
-    named = with_missing(normalize_columns(raw).withColumns({"ingested_at": now}), schemas.T.StructType([
-        schemas.T.StructField(f.name, schemas.T.StringType() if f.name in ("amount", "transaction_time")
-                              else f.dataType)
-        for f in schemas.TRANSACTIONS.fields]))
-    return named.withColumns({
-        "amount": to_double(F.col("amount")), "transaction_time": to_time(F.col("transaction_time"))})
+    named = normalize_columns(raw)
+    typed = {"ingested_at": F.current_timestamp() if batch_ts is None else batch_ts}
+    if "amount" in named.columns:
+        typed["amount"] = to_double(F.col("amount"))
+    if "transaction_time" in named.columns:
+        typed["transaction_time"] = to_time(F.col("transaction_time").cast("string"))
+    return with_missing(named.withColumns(typed), schemas.TRANSACTIONS)
 
 
 def conform_customers(

@@ -14,6 +14,7 @@ nothing.  One writer per table is assumed.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -29,6 +30,8 @@ from tarnlake.operators.upsert import dedupe_latest, not_in, require_unique, ups
 from tarnlake.session import fits_broadcast, stage
 from tarnlake.sources.files import file_inventory
 
+# Shuffle block a written file is made from; its Parquet form is smaller.
+WRITE_BYTES = 256 << 20
 # Beyond this many values of one partition column the scan is pruned by their range.
 MAX_LISTED_VALUES = 1000
 
@@ -104,18 +107,30 @@ def write_partitioned(
     rows.write.mode(mode).option("compression", "snappy").partitionBy(*layout).parquet(path)
 
 
+@contextmanager
+def _settings(spark: SparkSession, conf: Mapping[str, str]):
+    """Session settings for the duration of one write."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def _insert(
     spark: SparkSession, df: DataFrame, name: str, layout: Sequence[str], overwrite: bool,
+    block_bytes: int = WRITE_BYTES,
 ) -> None:
     """Append, or replace exactly the partitions that ``df`` has rows for."""
-    columns = spark.table(name).columns
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        _clustered(df.select(*columns), layout).write.insertInto(name, overwrite=overwrite)
-    finally:
-        spark.conf.set(key, before)
+    with _settings(spark, {
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{block_bytes}b",
+    }):
+        rows = _clustered(df.select(*spark.table(name).columns), layout)
+        rows.write.insertInto(name, overwrite=overwrite)
 
 
 def append_table(spark: SparkSession, name: str, rows: DataFrame) -> None:
@@ -301,11 +316,5 @@ def compact_table(
         table, root = spark.table(name), table_location(spark, name).rstrip("/")
         small = spark.read.schema(table.schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in folders])
         rows = stage(small.select(*table.columns), "compact-rows")
-        key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-        before = spark.conf.get(key, None)
-        spark.conf.set(key, f"{max_bytes}b")
-        try:
-            _insert(spark, rows, name, partition_columns(spark, name), overwrite=True)
-        finally:
-            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        _insert(spark, rows, name, partition_columns(spark, name), overwrite=True, block_bytes=max_bytes)
     return plan

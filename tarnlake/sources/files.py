@@ -50,7 +50,9 @@ def by_header(
     Spark's broadcast limit; otherwise both sides are shuffled on (file, salt),
     so a file that holds a third of the lines still spreads over ``salts`` tasks.
     """
-    is_header = (F.col("block") == 0) & F.coalesce(
+    # Few lines mention the key's name at all; only those are looked at cell by cell.
+    mentions = F.lower(F.array_join("v", ",")).contains(key_col)
+    is_header = (F.col("block") == 0) & mentions & F.coalesce(
         F.exists("v", lambda cell: _name(cell) == key_col), F.lit(False))
     names = F.when(
         F.get("v", F.lit(max_fields)).isNotNull(),
@@ -64,7 +66,8 @@ def by_header(
     if fits_broadcast(headers):
         joined = body.join(F.broadcast(headers), "file")
     else:
-        salt = F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int")
+        # Copies of one line differ by the block they come from.
+        salt = F.pmod(F.xxhash64("v", "block"), F.lit(salts)).cast("int")
         spread = headers.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         joined = body.withColumn("__salt", salt).join(spread, ["file", "__salt"])
     return joined.select([
