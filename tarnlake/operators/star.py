@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tarnlake import schemas
 from tarnlake.functions.columns import with_missing
 from tarnlake.operators.upsert import require_unique, upsert
-from tarnlake.session import stage
+from tarnlake.session import batch_time, stage
 
 
 def random_key(key: str) -> Column:
@@ -64,7 +64,7 @@ def new_versions(
     An open version that several changed rows match is an error.  ``changed`` is
     read several times and should be stored.
     """
-    now = F.current_timestamp() if batch_ts is None else batch_ts
+    now = batch_time() if batch_ts is None else batch_ts
     ending = changed.select(key).withColumn("is_current", F.lit(False)).withColumn("end_date", now)
     expired = upsert(dim.where("is_current"), ending, [key], ["is_current", "end_date"], None, stored=True)
     stamped = (
@@ -110,7 +110,7 @@ def fact_rows(txns: DataFrame, dim: DataFrame, batch_ts: Column | None = None) -
     Transactions are the left side, so a customer who holds a third of them is
     split by AQE when the dimension is too large to broadcast.
     """
-    now = F.current_timestamp() if batch_ts is None else batch_ts
+    now = batch_time() if batch_ts is None else batch_ts
     keys = dim.where("is_current").select("customer_id", "customer_key")
     joined = txns.drop("customer_key", "ingested_at").join(keys, "customer_id", "left")
     stamped = joined.withColumn(

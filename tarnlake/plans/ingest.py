@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tarnlake import schemas
 from tarnlake.functions.columns import normalize_columns, sha256_hex, to_double, to_time, with_missing
+from tarnlake.session import batch_time
 from tarnlake.sinks.tables import create_table, upsert_table
 from tarnlake.sources.files import read_customers, read_transactions
 
@@ -18,7 +19,7 @@ def conform_transactions(raw: DataFrame, batch_ts: Column | None = None) -> Data
     malformed amounts and times become NULL, absent columns typed NULLs.
     """
     named = normalize_columns(raw)
-    typed = {"ingested_at": F.current_timestamp() if batch_ts is None else batch_ts}
+    typed = {"ingested_at": batch_time() if batch_ts is None else batch_ts}
     if "amount" in named.columns:
         typed["amount"] = to_double(F.col("amount"))
     if "transaction_time" in named.columns:
@@ -30,7 +31,7 @@ def conform_customers(
     raw: DataFrame, batch_ts: Column | None = None, salt: str = "", drop_raw: bool = False,
 ) -> DataFrame:
     """Raw customers with ``ssn_hash``.  ``drop_raw`` blanks the raw number."""
-    now = F.current_timestamp() if batch_ts is None else batch_ts
+    now = batch_time() if batch_ts is None else batch_ts
     typed = raw.withColumns({
         "ssn_hash": sha256_hex(F.col("ssn"), salt),
         "created_at": to_time(F.col("created_at").cast("string")),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarnlake import schemas
 from tarnlake.operators.star import fact_rows, mart_sales
 from tarnlake.plans.ingest import ingest_customers, ingest_transactions
+from tarnlake.session import batch_time
 from tarnlake.sinks.tables import create_table, read_table, scd2_table, upsert_table
 from tarnlake.sinks.versions import write_version
 
@@ -53,7 +54,7 @@ def publish_mart(spark: SparkSession, root: str, version: str, fact: str = "cons
 
 def run_all(spark: SparkSession, raw_transactions: str, raw_customers: str, batch_ts: str | None = None) -> None:
     """One batch through all zones: transactions, customers, dimension, fact."""
-    now = None if batch_ts is None else F.lit(batch_ts).cast("timestamp")
+    now = batch_time() if batch_ts is None else F.lit(batch_ts).cast("timestamp")
     ingest_transactions(spark, raw_transactions, batch_ts=now)
     ingest_customers(spark, raw_customers, batch_ts=now)
     update_dimension(spark, batch_ts=now)

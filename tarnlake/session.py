@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,11 @@ TUNING = {
 }
 
 
+def batch_time() -> Column:
+    """The present moment as a constant, so that every step of a run stamps the same time."""
+    return F.timestamp_micros(F.lit(time.time_ns() // 1000))
+
+
 def build_session(app: str = "tarnlake", master: str | None = None, **conf: str) -> SparkSession:
     """A session with ``TUNING`` applied; keyword ``a__b`` sets conf ``a.b``."""
     builder = SparkSession.builder.appName(app)

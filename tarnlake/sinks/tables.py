@@ -104,7 +104,8 @@ def write_partitioned(
 ) -> None:
     """Write a Parquet folder tree partitioned by ``layout``, with derived days."""
     rows = _clustered(add_days(df, layout, day_columns), layout)
-    rows.write.mode(mode).option("compression", "snappy").partitionBy(*layout).parquet(path)
+    with _settings(df.sparkSession, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{WRITE_BYTES}b"}):
+        rows.write.mode(mode).option("compression", "snappy").partitionBy(*layout).parquet(path)
 
 
 @contextmanager

@@ -220,6 +220,17 @@ def test_scd2_repeat_after_a_crash(spark, name, monkeypatch):
     assert out.where("customer_id = 'c1' AND NOT is_current").count() == 1
 
 
+def test_default_batch_time_closes_and_opens_alike(spark, name):
+    tables.create_table(spark, name, schemas.DIM_CUSTOMERS, schemas.DIM_CUSTOMERS_LAYOUT)
+    fresh = spark.createDataFrame([("c1", "a", "p", "US")],
+                                  "customer_id string, email string, phone_number string, region_code string")
+    tables.scd2_table(spark, name, fresh)
+    tables.scd2_table(spark, name, fresh.withColumn("email", F.lit("b")))
+    rows = {r.is_current: r for r in spark.table(name).collect()}
+    assert rows[False].end_date == rows[True].start_date == rows[True].ingested_at
+    assert rows[False].start_date < rows[False].end_date
+
+
 def test_stream_reads_each_file_once(spark, name, tmp_path):
     raw_dir, check = tmp_path / "raw", str(tmp_path / "check")
     drop_file(raw_dir, "a.csv", HEADER, "T1,C1,10,P,Books,US,2026-05-18T10:00:00,2026-05-18",
