@@ -221,7 +221,7 @@ def upsert_fact(t):
 @check("""
     SELECT strftime(transaction_time, '%Y-%m-%d') AS sales_day, region_code, product_category,
       count(*) AS transactions, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
-      round(CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(amount), 4) AS avg_amount,
+      CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(amount) AS avg_amount,
       count(DISTINCT customer_id) AS customers
     FROM v_txn GROUP BY 1, 2, 3""")
 def mart_sales(t):

@@ -119,7 +119,10 @@ READ = ["transaction_id", "customer_id", "amount", "product_category", "region_c
 
 
 def write_drifting_csv(t):
-    """All transactions as CSV files whose headers differ in columns and order."""
+    """All transactions as CSV files whose headers differ in columns and order.
+
+    The groups together hold every row; each has its own header.
+    """
     root = new_path(t.spark, "drift")
     rows = t("v_txn").withColumns({
         "device_type": F.lit("iOS"), "product_category": F.concat("product_category", F.lit(", x"))})

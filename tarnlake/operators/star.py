@@ -139,6 +139,6 @@ def mart_sales(fact: DataFrame) -> DataFrame:
     ).agg(
         F.count(F.lit(1)).alias("transactions"),
         F.sum(amount).cast("double").alias("revenue"),
-        F.round(F.sum(amount).cast("double") / F.count(amount), 4).alias("avg_amount"),
+        F.try_divide(F.sum(amount).cast("double"), F.count(amount)).alias("avg_amount"),
         F.countDistinct("customer_id").alias("customers"),
     )

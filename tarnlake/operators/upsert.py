@@ -70,11 +70,22 @@ def require_unique(source: DataFrame, keys: Sequence[str], what: str = "source")
         raise DuplicateKeyError(f"{what} has repeated keys in {list(keys)}")
 
 
-def reject_ambiguous(target: DataFrame, repeated: DataFrame, keys: Sequence[str]) -> None:
-    """Raise when a repeated source key matches a target row."""
-    found = target.select(*keys).distinct().join(repeated, list(keys), "left_semi").count()
-    if found:
-        raise DuplicateKeyError(f"{found} target keys in {list(keys)} are matched by several source rows")
+def keys_among(table: DataFrame, rows: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """Distinct keys of ``table`` that stored ``rows`` hold too.
+
+    When the rows are ``small`` enough to broadcast, the table's keys are filtered
+    in place; otherwise they are made distinct in each map task, then shuffled.
+    """
+    keys = list(keys)
+    if small:
+        return table.select(*keys).join(F.broadcast(rows.select(*keys)), keys, "left_semi").distinct()
+    return table.select(*keys).distinct().join(rows.select(*keys), keys, "left_semi")
+
+
+def not_in(rows: DataFrame, table: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """Stored ``rows`` whose key is not in ``table``."""
+    found = keys_among(table, rows, keys, small) if small else table.select(*keys).distinct()
+    return rows.join(found, list(keys), "left_anti")
 
 
 def upsert(
@@ -113,10 +124,13 @@ def upsert(
         if not repeated.isEmpty():
             if on_duplicate == "error":
                 raise DuplicateKeyError(f"source has repeated keys in {keys}")
-            reject_ambiguous(present, repeated, keys)
+            few = fits_broadcast(repeated)
+            ambiguous = keys_among(present, repeated, keys, few).count()
+            if ambiguous:
+                raise DuplicateKeyError(f"{ambiguous} target keys in {keys} are matched by several source rows")
             # Their keys match nothing, so these rows are inserted without a join.
             rest = rest.unionByName(source.join(repeated, keys, "left_semi"))
-            if fits_broadcast(repeated):
+            if few:
                 single = single.join(F.broadcast(repeated), keys, "left_anti")
             else:
                 single = stage(single.join(repeated, keys, "left_anti"), "upsert-single")
@@ -134,18 +148,6 @@ def upsert(
     return updated.unionByName(inserted)
 
 
-def not_in(rows: DataFrame, table: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    """Stored ``rows`` whose key is not in ``table``.
-
-    When the rows are ``small`` enough to broadcast, the table's keys are
-    filtered in place first; otherwise they are made distinct and shuffled.
-    """
-    keys = list(keys)
-    present = table.select(*keys)
-    found = present.join(F.broadcast(rows.select(*keys)), keys, "left_semi") if small else present
-    return rows.join(found.distinct(), keys, "left_anti")
-
-
 def _updated(
     target: DataFrame, source: DataFrame, keys: list[str], update_cols: list[str],
     eligible: Column | None, small: bool,
