@@ -173,13 +173,13 @@ def tag_expected(t):
 
 @check(f"SELECT {NAMED}, old, new FROM drift", **POLICY)
 def tag_drift(t):
-    return reconcile_tags(catalog(t), rules(t), tag_rows(t)).drift
+    return tags.tag_drift(tags.expected_tags(catalog(t), rules(t)), tag_rows(t))
 
 
 @check("""SELECT tag, count(*) AS drifts, count(*) FILTER (WHERE old IS NULL) AS missing
     FROM drift GROUP BY tag""", **POLICY)
 def tag_drift_summary(t):
-    return tags.drift_summary(reconcile_tags(catalog(t), rules(t), tag_rows(t)).drift)
+    return tags.drift_summary(tags.tag_drift(tags.expected_tags(catalog(t), rules(t)), tag_rows(t)))
 
 
 @check(f"""

@@ -22,7 +22,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarnlake.session import fits_broadcast, stage
+from tarnlake.session import data_bytes, fits_broadcast, stage, within_broadcast
 
 DUPLICATE_POLICIES = ("reference", "error", "latest")
 
@@ -121,10 +121,11 @@ def upsert(
     single, rest = source.where(_not_null(keys)), source.where(~_not_null(keys))
     if on_duplicate != "latest":
         repeated = stage(duplicate_keys(source, keys), "upsert-repeated")
-        if not repeated.isEmpty():
+        size = data_bytes(repeated)
+        if size:
             if on_duplicate == "error":
                 raise DuplicateKeyError(f"source has repeated keys in {keys}")
-            few = fits_broadcast(repeated)
+            few = within_broadcast(source.sparkSession, size)
             ambiguous = keys_among(present, repeated, keys, few).count()
             if ambiguous:
                 raise DuplicateKeyError(f"{ambiguous} target keys in {keys} are matched by several source rows")

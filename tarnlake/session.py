@@ -95,10 +95,14 @@ def data_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width.cast("long")).alias("bytes")).first()["bytes"] or 0
 
 
+def within_broadcast(spark: SparkSession, size: int) -> bool:
+    limit = broadcast_limit(spark)
+    return limit >= 0 and size <= limit
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether a stored ``df`` is measured to be within Spark's broadcast limit."""
-    limit = broadcast_limit(df.sparkSession)
-    return limit >= 0 and data_bytes(df) <= limit
+    return within_broadcast(df.sparkSession, data_bytes(df))
 
 
 def stage(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
