@@ -80,7 +80,7 @@ def logistic(x: np.ndarray) -> np.ndarray:
 
 
 def fit_cumulative_link(
-    x: np.ndarray, grade: np.ndarray, grades: int, ridge: float = 1e-4, rounds: int = 800, rate: float = 0.1,
+    x: np.ndarray, grade: np.ndarray, grades: int, ridge: float = 1e-6, rounds: int = 800, rate: float = 0.1,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Shared weights and ordered thresholds by Adam on the mean log likelihood.
 
