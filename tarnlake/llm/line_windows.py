@@ -6,7 +6,7 @@ window found again, in any document, is removed there: its first occurrence by
 doc_id and position stays, and the lines of overlapping later ones are merged.
 
 Windows are known by two 64-bit hashes.  Their table is stored once and read for
-the first occurrences and for the later ones; texts move only in the last join.
+the first occurrences and for the later ones; only texts that may change are moved.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.llm.bloom import likely_in
 from tarnlake.session import stage
 
 LINES = 3
@@ -56,10 +57,15 @@ def _with_gone(docs: DataFrame, lines: int) -> DataFrame:
     windows = stage(window_table(docs.select("doc_id", "text"), lines), "windows")
     removed = later_windows(windows).groupBy(*KEY).agg(
         F.array_distinct(F.flatten(F.collect_set("at"))).alias("__gone"))
-    removed = stage(removed, "windows-removed").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__gone")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))
-    return docs.join(removed, same, "left").drop("__id", "__hash")
+    removed = stage(removed, "windows-removed")
+    rows = docs.withColumn("__hash", F.xxhash64("text"))
+    key = removed.select(F.col("doc_id"), F.col("text_hash").alias("__hash"))
+    maybe = likely_in(key, ["doc_id", "__hash"])
+    named = removed.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__h"), "__gone")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__h"))
+    # Only texts that may change are shuffled.
+    changed = rows.where(maybe).join(named, same, "left").drop("__id", "__h")
+    return rows.where(~maybe).withColumn("__gone", F.lit(None).cast("array<int>")).unionByName(changed).drop("__hash")
 
 
 def _left() -> Column:

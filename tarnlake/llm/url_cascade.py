@@ -14,11 +14,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.llm.bloom import passes, word_array
 from tarnlake.session import stage
 
 # Listed keys of a shard: its first level has about 10 to 20 bits for each.
@@ -44,31 +44,6 @@ def match_rule(rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _bits(key: str, level: int, size: int, hashes: int) -> list[Column]:
-    """Bit positions of a key at a level, each by a hash of its own."""
-    return [F.pmod(F.xxhash64(F.col(key), F.lit(level), F.lit(i)), F.lit(size)) for i in range(hashes)]
-
-
-def _filter(keys: DataFrame, level: int, size: int, hashes: int) -> DataFrame:
-    """One row, one column ``words``: the filter as an array of longs."""
-    bits = keys.select(F.explode(F.array(*_bits("key", level, size, hashes))).alias("bit"))
-    words = bits.groupBy(F.expr("bit div 64").alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS int))")).alias("word"))
-    # At most size / 64 rows, which the shard's bound limits.
-    filled = words.agg(F.map_from_entries(F.collect_list(F.struct("at", "word"))).alias("m"))
-    return filled.select(F.transform(
-        F.sequence(F.lit(0).cast("long"), F.lit((size - 1) // 64).cast("long")),
-        lambda i: F.coalesce(F.element_at("m", i), F.lit(0).cast("long"))).alias("words"))
-
-
-def _passes(words: Column, level: int, size: int, hashes: int) -> Column:
-    """Whether all bits of ``key`` are set."""
-    return reduce(lambda x, y: x & y, [
-        F.get(words, F.shiftright(bit, 6).cast("int")).bitwiseAND(
-            F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))) != 0
-        for bit in _bits("key", level, size, hashes)])
-
-
 class Cascade:
     """Levels of one shard; ``listed`` tells for every key of the universe whether it is listed."""
 
@@ -85,7 +60,7 @@ class Cascade:
             hashes = max(1, round(-math.log2(rate)))
             size = max(64, math.ceil(n * hashes / math.log(2)))
             level = len(self.levels)
-            words = stage(_filter(rest[side], level, size, hashes), "cascade-level")
+            words = stage(word_array(rest[side], ["key"], level, size, hashes), "cascade-level")
             self.levels.append((words.scalar(), size, hashes))
             passed = stage(rest[not side].where(self._level(level)), "cascade-passed")
             rest[not side], side = passed, not side
@@ -93,7 +68,7 @@ class Cascade:
 
     def _level(self, i: int) -> Column:
         words, size, hashes = self.levels[i]
-        return _passes(words, i, size, hashes)
+        return passes(words, ["key"], i, size, hashes)
 
     def listed(self) -> Column:
         """Over a column ``key``: the first level a key does not pass decides."""
