@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.llm.bloom import likely_in
 from tarnlake.llm.common import map_batches
 from tarnlake.llm.components import connected_components
 from tarnlake.session import stage
@@ -170,23 +171,25 @@ def near_duplicates(
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest doc_id.
 
-    Rows without doc_id cannot be told apart and stay only if no named document
-    shares their fingerprint's component; of a repeated doc_id one row stays.
+    Of a repeated doc_id one row stays.  Rows without doc_id go if a named document
+    is in their component; else one row of each fingerprint stays.
     """
     found = stage(near_duplicates(docs, **options), "simhash-found")
-    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(
-        F.count("*").alias("n"), F.min("fp").alias("fp"))
-    kept = stage(kept, "simhash-kept")
-    rows = docs.join(kept.select(F.col("doc_id").alias("__kept")), F.col("doc_id") == F.col("__kept"), "left_semi")
-    unnamed = docs.where("doc_id IS NULL")
+    lost = found.where("doc_id <> component_id").select("doc_id").distinct()
+    again = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    unsure = stage(lost.withColumn("n", F.lit(0).cast("long")).unionByName(again), "simhash-unsure")
+    named = docs.where("doc_id IS NOT NULL")
+    # Rows that certainly stay are not shuffled.
+    maybe = likely_in(unsure, ["doc_id"])
+    ids = unsure.select(F.col("doc_id").alias("__id"), "n")
+    same = F.col("doc_id") == F.col("__id")
+    rows = named.where(~maybe).unionByName(named.where(maybe).join(ids, same, "left_anti"))
+    if not unsure.where("n > 1").isEmpty():
+        first = named.where(maybe).join(ids.where("n > 1"), same, "left_semi").dropDuplicates(["doc_id"])
+        rows = rows.unionByName(first)
     if not found.where("component_id IS NULL").isEmpty():
-        rows = rows.unionByName(_unnamed_first(unnamed, found))
-    if kept.where("n > 1").isEmpty():
-        return rows
-    again = kept.where("n > 1").select(F.col("doc_id").alias("__again"))
-    same = F.col("doc_id") == F.col("__again")
-    once = rows.join(again, same, "left_semi").dropDuplicates(["doc_id"])
-    return rows.join(again, same, "left_anti").unionByName(once)
+        rows = rows.unionByName(_unnamed_first(docs.where("doc_id IS NULL"), found))
+    return rows
 
 
 def _unnamed_first(unnamed: DataFrame, found: DataFrame) -> DataFrame:
