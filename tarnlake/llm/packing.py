@@ -27,8 +27,8 @@ from tarnlake.session import stage
 CAPACITY, END_ID = 4096, 2
 # Mean number of windows, and at most so many items, that a block holds on average.
 BLOCK_WINDOWS, BLOCK_ITEMS = 256, 8192
-# Token ids kept by chunk of text in a worker; about 200 bytes each.
-CACHE_CHUNKS = 300_000
+# Chunks of text whose ids a worker keeps, at about 200 bytes each.
+CACHE_CHUNKS = 1_000_000
 _MARK = b"\x01"
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -71,11 +71,10 @@ class ChunkTokenizer:
             self.known.clear()
         # Lower case is part of the vocabulary; special tokens are found before it.
         parts = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        known = self.known
-        new = {c for chunks in parts for c in chunks if c not in known}
+        new = set().union(*parts).difference(self.known)
         if new:
             self._learn(list(new))
-        return [b"".join([known[c] for c in chunks]) for chunks in parts]
+        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in parts]
 
 
 _tokenizers: dict[str, ChunkTokenizer] = {}
