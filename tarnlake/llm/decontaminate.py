@@ -14,23 +14,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.llm.bloom import likely_in
 from tarnlake.llm.common import lower_ascii, sent_whole
 from tarnlake.session import stage
 
 WINDOW, SHINGLE = 10, 5
+KEY = ["doc_id", "text_hash"]
 # Every ASCII character that is not a letter or a digit.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
     """The words of a text, A-Z lower-cased; NULL has none."""
-    return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BREAKS), lambda w: w != "")
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), BREAKS), "")
 
 
 def shingle_hashes(width: int) -> Column:
-    """Hashes of each ``width`` consecutive entries of ``words``, with their positions."""
-    starts = F.when(F.size("words") >= width, F.sequence(F.lit(0), F.size("words") - width))
-    return F.transform(starts, lambda p: F.xxhash64(F.lit(width), *[F.get("words", p + j) for j in range(width)]))
+    """Hashes of each ``width`` consecutive entries of ``hashes``, the hashes of the words."""
+    starts = F.when(F.size("hashes") >= width, F.sequence(F.lit(0), F.size("hashes") - width))
+    return F.transform(starts, lambda p: F.xxhash64(F.lit(width), *[F.get("hashes", p + j) for j in range(width)]))
 
 
 def item_windows(items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
@@ -42,9 +44,11 @@ def item_windows(items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE)
 
 
 def _shingles(rows: DataFrame, keep: list[str], widths: list[int]) -> DataFrame:
-    """``keep, width, at, h``: every shingle of ``words`` at its position."""
-    each = [rows.select(*keep, F.lit(w).alias("width"), F.posexplode(shingle_hashes(w)).alias("at", "h"))
-            for w in widths]
+    """``keep, size, width, at, h``: every shingle of the ``size`` words at its position."""
+    rows = rows.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+    each = [rows.select(
+        *[F.col(c) for c in rows.columns if c != "hashes"], F.size("hashes").alias("size"), F.lit(w).alias("width"),
+        F.posexplode(shingle_hashes(w)).alias("at", "h")) for w in widths]
     out = each[0]
     for more in each[1:]:
         out = out.unionByName(more)
@@ -62,7 +66,7 @@ def find_alignments(docs: DataFrame, items: DataFrame, window: int = WINDOW, shi
             "doc_id", "text_hash", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"),
             F.lit(0).cast("long").alias("item_hash"), F.lit(0).alias("start")).where("false")
     of_items = stage(
-        _shingles(own, ["item_id", "item_hash", "length", F.size("words").alias("n")], widths)
+        _shingles(own, ["item_id", "item_hash", "length"], widths)
         .where("width = least(length, %d)" % shingle), "decon-shingles")
     listed = sent_whole(stage(of_items.select("h").distinct(), "decon-listed"))
     seen = stage(
@@ -72,28 +76,21 @@ def find_alignments(docs: DataFrame, items: DataFrame, window: int = WINDOW, shi
         "item_id", "item_hash", "length", "h", "at", F.coalesce("seen", F.lit(0).cast("long")).alias("seen"),
         F.explode(F.sequence(
             F.greatest(F.lit(0), F.col("at") - (F.col("length") - F.col("width"))),
-            F.least(F.col("at"), F.col("n") - F.col("length")))).alias("of"))
+            F.least(F.col("at"), F.col("size") - F.col("length")))).alias("of"))
     prefix = ranked.groupBy("item_id", "item_hash", "length", "of").agg(
         F.min(F.struct("seen", "h", "at")).alias("best")).where("best.seen > 0")
     prefix = prefix.groupBy("item_id", "item_hash", "length", "best.h", F.col("best.at").alias("item_at")).agg(
         F.min("of").alias("first"), F.max("of").alias("last"))
     prefix = sent_whole(stage(prefix, "decon-prefix"))
-    found = _shingles(rows, ["doc_id", "text_hash", F.size("words").alias("size")], widths).join(prefix, "h")
+    found = _shingles(rows, ["doc_id", "text_hash"], widths).join(prefix, "h")
     found = found.withColumn("start", F.col("at") - F.col("item_at"))
     # Length and position: the last of the prefix's windows starts, the first ends within the document.
     found = found.where("start + last >= 0 AND start + first + length <= size")
     return found.select("doc_id", "text_hash", "item_id", "item_hash", "start").distinct()
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_hit, n_items, item_ids``.
-
-    ``n_hit`` counts the words inside any occurrence of a window, ``item_ids`` are the
-    items with an occurring window, sorted as strings.  A NULL or blank text has no
-    words; items without words, or with a NULL item_id, match nothing.  An item_id
-    on several rows is one item with all their windows.  Rows equal in doc_id and
-    text get equal results; every row gets one.
-    """
+def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """Stored ``__id, __hash, n_hit, n_items, item_ids`` of documents, by doc_id and text hash, that hold a window."""
     items = items.where("item_id IS NOT NULL")
     own = stage(item_windows(items, window, shingle), "decon-verify")
     places = find_alignments(docs, items, window, shingle).join(
@@ -101,10 +98,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
     places = stage(
         places.groupBy("doc_id", "text_hash").agg(
             F.collect_list(F.struct("item_id", "start", "length", "item_words")).alias("places")), "decon-places")
-    places = places.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "places")
-    rows = docs.select("doc_id", "text").join(
-        places, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left")
-    rows = rows.select("doc_id", words_of(F.col("text")).alias("words"), "places")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    found = places.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "places")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
+    # Only texts with an alignment are shuffled, to be compared with their items.  They are
+    # split below the join: above it, Catalyst would split them anew for every word compared.
+    near = rows.where(likely_in(places.select(*KEY), KEY)).select(*KEY, words_of(F.col("text")).alias("words"))
+    near = near.join(found, same).select(*KEY, "words", "places")
 
     def verified(p):
         """Starts, in the document, of the windows that occur in full."""
@@ -117,19 +117,41 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
             p.item_id.alias("item_id"), p.length.alias("length"),
             F.transform(ok, lambda s: s + p.start).alias("starts"))
 
-    hits = F.filter(F.transform("places", verified), lambda v: F.size(v.starts) > 0)
-    rows = rows.select("doc_id", F.size("words").cast("long").alias("n_words"), hits.alias("hits"))
+    held = F.filter(F.transform("places", verified), lambda v: F.size(v.starts) > 0)
+    near = near.select(*KEY, held.alias("hits"))
     covered = F.flatten(F.transform("hits", lambda v: F.flatten(F.transform(
         v.starts, lambda s: F.sequence(s, s + v.length - 1)))))
     ids = F.array_sort(F.array_distinct(F.transform("hits", lambda v: v.item_id.cast("string"))))
+    near = near.select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
+        F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
+        F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids")).where("n_hit > 0")
+    return stage(near.dropDuplicates(["__id", "__hash"]), "decon-hits")
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """One row per document: ``doc_id, n_words, n_hit, n_items, item_ids``.
+
+    ``n_hit`` counts the words inside any occurrence of a window, ``item_ids`` are the
+    items with an occurring window, sorted as strings.  A NULL or blank text has no
+    words; items without words, or with a NULL item_id, match nothing.  An item_id
+    on several rows is one item with all their windows.  Rows equal in doc_id and
+    text get equal results; every row gets one.
+    """
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
+    rows = rows.join(hits(docs, items, window, shingle), same, "left")
+    none = F.lit(0).cast("long")
     return rows.select(
-        "doc_id", "n_words", F.coalesce(F.size(F.array_distinct(covered)), F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.size(ids), F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce(ids, F.array().cast("array<string>")).alias("item_ids"))
+        "doc_id", "n_words", F.coalesce("n_hit", none).alias("n_hit"), F.coalesce("n_items", none).alias("n_items"),
+        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` without the rows that hold a window of an item."""
-    verdicts = decontaminate(docs, items, window, shingle).where("n_hit > 0")
-    named = verdicts.select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(named, F.col("doc_id").eqNullSafe(F.col("__hit")), "left_anti")
+    found = hits(docs, items, window, shingle)
+    rows = docs.withColumn("__h", F.xxhash64("text"))
+    key = found.select(F.col("__id").alias("doc_id"), F.col("__hash").alias("__h"))
+    maybe = likely_in(key, ["doc_id", "__h"])
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash"))
+    return rows.where(~maybe).unionByName(rows.where(maybe).join(found, same, "left_anti")).drop("__h")
