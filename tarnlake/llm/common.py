@@ -42,6 +42,19 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def aside(docs: DataFrame, *own: str) -> DataFrame:
+    """``own`` columns and ``__rest``, a struct of all others, which then cannot clash with working columns."""
+    rest = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in own]
+    return docs.select(*own, F.struct(F.lit(0).alias("none"), *rest).alias("__rest"))
+
+
+def whole(rows: DataFrame, like: DataFrame, **new: Column) -> DataFrame:
+    """Rows of ``aside(like, ...)`` with the columns of ``like`` again, some of them ``new``."""
+    return rows.select(*[
+        (new[c] if c in new else F.col(c) if c in rows.columns else F.col("__rest")[f"c{i}"]).alias(c)
+        for i, c in enumerate(like.columns)])
+
+
 def map_batches(
     df: DataFrame, columns: Sequence[str], ddl: str, make: Callable[[], Callable[..., dict]],
 ) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.bloom import likely_in
-from tarnlake.llm.common import lower_ascii, sent_whole
+from tarnlake.llm.common import aside, lower_ascii, sent_whole, whole
 from tarnlake.session import stage
 
 WINDOW, SHINGLE = 10, 5
@@ -150,8 +150,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
 def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` without the rows that hold a window of an item."""
     found = hits(docs, items, window, shingle)
-    rows = docs.withColumn("__h", F.xxhash64("text"))
+    rows = aside(docs, "doc_id", "text").withColumn("__h", F.xxhash64("text"))
     key = found.select(F.col("__id").alias("doc_id"), F.col("__hash").alias("__h"))
     maybe = likely_in(key, ["doc_id", "__h"])
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__hash"))
-    return rows.where(~maybe).unionByName(rows.where(maybe).join(found, same, "left_anti")).drop("__h")
+    return whole(rows.where(~maybe).unionByName(rows.where(maybe).join(found, same, "left_anti")), docs)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.bloom import likely_in
+from tarnlake.llm.common import aside, whole
 from tarnlake.session import stage
 
 LINES = 3
@@ -91,9 +92,12 @@ def drop_repeated_windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
 
 def clean(docs: DataFrame, lines: int = LINES) -> DataFrame:
     """``docs`` with such texts, ``n_chars`` to match if it is there; rows that lose every line with a word go."""
+    own = ["doc_id", "text"] + (["n_chars"] if "n_chars" in docs.columns else [])
     changed = F.col("__gone").isNotNull()
-    rows = _with_gone(docs, lines).withColumn("__text", _left())
+    rows = _with_gone(aside(docs, *own), lines).withColumn("__text", _left())
     rows = rows.where(~changed | F.col("__text").rlike(r"[^ \t\r\n]"))
-    own = {"text": F.col("__text"), "n_chars": F.when(changed, F.length("__text").cast(
-        docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
-    return rows.select(*[own[c].alias(c) if c in own else F.col(f"`{c}`") for c in docs.columns])
+    new = {"text": F.col("__text")}
+    if "n_chars" in own:
+        length = F.length("__text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(changed, length).otherwise(F.col("n_chars"))
+    return whole(rows, docs, **new)

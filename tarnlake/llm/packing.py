@@ -80,21 +80,23 @@ class ChunkTokenizer:
 _tokenizers: dict[str, ChunkTokenizer] = {}
 
 
-def tokenizer_at(path: str) -> ChunkTokenizer:
+def tokenizer_at(path: str, limit: int) -> ChunkTokenizer:
     """One tokenizer a worker process, so that later tasks find its chunks."""
     if path not in _tokenizers:
-        _tokenizers[path] = ChunkTokenizer(path)
+        _tokenizers[path] = ChunkTokenizer(path, limit)
+    _tokenizers[path].limit = limit
     return _tokenizers[path]
 
 
 def pieces(
     docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False,
+    cache_chunks: int = CACHE_CHUNKS,
 ) -> DataFrame:
     """Every document cut into whole windows and a rest; with ``keep_ids`` also the ids."""
     end = np.array([end_id], "<u4").tobytes()
 
     def make() -> Callable[..., dict]:
-        encode = tokenizer_at(path)
+        encode = tokenizer_at(path, cache_chunks)
 
         def work(doc_ids: list, texts: list) -> dict:
             out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")}
@@ -155,13 +157,14 @@ def pack_block(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
 def pack(
     docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,
     block_windows: int = BLOCK_WINDOWS, block_items: int = BLOCK_ITEMS, keep_ids: bool = False,
+    cache_chunks: int = CACHE_CHUNKS,
 ) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``, gapless from 0 in each sequence.
 
     A NULL or blank text has the end id only.  Repeated rows, and rows with a NULL
     doc_id, are packed each by itself.  No rows in, no rows out.
     """
-    cut = pieces(docs, path, capacity, end_id, keep_ids).withColumn("row", F.monotonically_increasing_id())
+    cut = pieces(docs, path, capacity, end_id, keep_ids, cache_chunks).withColumn("row", F.monotonically_increasing_id())
     cut = stage(cut, "pack-pieces")
     size = cut.agg(F.sum("length").alias("tokens"), F.count("*").alias("n")).first()
     blocks = max(1, -(-(size["tokens"] or 0) // (block_windows * capacity)), -(-size["n"] // block_items))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.bloom import likely_in
-from tarnlake.llm.common import map_batches
+from tarnlake.llm.common import aside, map_batches, whole
 from tarnlake.llm.components import connected_components
 from tarnlake.session import stage
 
@@ -178,18 +178,19 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     lost = found.where("doc_id <> component_id").select("doc_id").distinct()
     again = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     unsure = stage(lost.withColumn("n", F.lit(0).cast("long")).unionByName(again), "simhash-unsure")
-    named = docs.where("doc_id IS NOT NULL")
+    rows = aside(docs, "doc_id", "text")
+    named = rows.where("doc_id IS NOT NULL")
     # Rows that certainly stay are not shuffled.
     maybe = likely_in(unsure, ["doc_id"])
     ids = unsure.select(F.col("doc_id").alias("__id"), "n")
     same = F.col("doc_id") == F.col("__id")
-    rows = named.where(~maybe).unionByName(named.where(maybe).join(ids, same, "left_anti"))
+    kept = named.where(~maybe).unionByName(named.where(maybe).join(ids, same, "left_anti"))
     if not unsure.where("n > 1").isEmpty():
         first = named.where(maybe).join(ids.where("n > 1"), same, "left_semi").dropDuplicates(["doc_id"])
-        rows = rows.unionByName(first)
+        kept = kept.unionByName(first)
     if not found.where("component_id IS NULL").isEmpty():
-        rows = rows.unionByName(_unnamed_first(docs.where("doc_id IS NULL"), found))
-    return rows
+        kept = kept.unionByName(_unnamed_first(rows.where("doc_id IS NULL"), found))
+    return whole(kept, docs)
 
 
 def _unnamed_first(unnamed: DataFrame, found: DataFrame) -> DataFrame:
