@@ -51,7 +51,9 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
     """Sorted hashes of the most frequent words."""
     counts = map_batches(docs, ["text"], "word long, n long", CountWords)
     top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return np.sort(np.array([r["word"] for r in top.select("word").collect()], np.int64))
+    # Stored first: collected straight away, every partition would send the driver a whole vocabulary.
+    top = stage(top.select("word"), "lm-vocabulary")
+    return np.sort(np.array([r["word"] for r in top.collect()], np.int64))
 
 
 class Numbers(dict):
