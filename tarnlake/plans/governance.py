@@ -30,15 +30,20 @@ class Reconciled(NamedTuple):
 
 
 def detect_in_sample(spark: SparkSession, location: str, lines: int = 100) -> DataFrame:
-    """PII columns of a raw folder, judged by the head of its first CSV or JSON file.
+    """PII columns of a raw folder, whose first CSV or JSON file tells its kind.
 
-    Reads that one file; the first line is the header.  A folder without such a
-    file gives an error.  ``detect_pii`` on the whole table is the thorough form.
+    Of CSV the head of that file is read, the first line as the header; of JSON Lines
+    all files, by their field names, so that no value is taken for a name.  A folder
+    without such a file gives an error.  ``detect_pii`` on the whole table is the
+    thorough form for CSV.
     """
     listed = file_inventory(spark, location).withColumn("location", F.lit(location))
     first = first_sample_file(listed, ["location"]).first()
     if first is None:
         raise FileNotFoundError(f"no sample file below {location}")
+    if first["path"].lower().endswith(".json"):
+        reader = spark.read.option("primitivesAsString", True).option("recursiveFileLookup", True)
+        return detect_pii(reader.option("pathGlobFilter", "*.json").json(location))
     sample = sample_lines(spark, first["path"], lines)
     header = sample.where("line_number = 1").select(
         F.transform(F.split("value", ","), unquote).alias("names")).first()["names"]
