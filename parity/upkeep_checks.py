@@ -143,6 +143,30 @@ def csv_by_header(t):
     return rows.withColumn("amount", F.col("amount").try_cast("double"))
 
 
+@check("SELECT transaction_id, concat(transaction_id, '_', 39) AS w39, amount FROM v_txn")
+def csv_wide(t):
+    root = new_path(t.spark, "wide")
+    fill = [F.concat("transaction_id", F.lit(f"_{i}")).alias(f"w{i}") for i in range(40)]
+    t("v_txn").select("amount", *fill, "transaction_id").write.option("header", "true").csv(root)
+    rows = files.read_csv_by_header(t.spark, root, "transaction_id", ["transaction_id", "w39", "amount"])
+    return rows.withColumn("amount", F.col("amount").try_cast("double"))
+
+
+@check("""SELECT transaction_id, CASE WHEN o_orderkey % 7 = 0 THEN '4 cells below a header of 3' END AS reason
+    FROM v_txn""")
+def csv_rejected(t):
+    """Every seventh order has a cell too many: rows and rejected lines together are all rows."""
+    root = new_path(t.spark, "odd")
+    cell = F.when(F.col("o_orderkey") % 7 == 0, "a,b").otherwise("a")
+    lines = t("v_txn").select(F.concat_ws(",", "transaction_id", "customer_id", cell).alias("line"))
+    # The header is one cell here, and a quote character no line has keeps the commas bare.
+    lines.withColumnRenamed("line", "transaction_id,customer_id,x").write.options(
+        header="true", quote="\x01", escapeQuotes="false").csv(root)
+    parsed = files.split_csv_by_header(t.spark, root, "transaction_id", ["transaction_id"])
+    return parsed.rows.withColumn("reason", F.lit(None).cast("string")).unionByName(
+        parsed.rejected.select(F.split("value", ",")[0].alias("transaction_id"), "reason"))
+
+
 @check("""SELECT 'transactions' AS "table", c AS "column", k AS type, p AS is_partition FROM (VALUES
     ('amount', 'double', false), ('customer_id', 'string', false), ('device_type', 'string', false),
     ('product_category', 'string', false), ('promotion_code', 'string', false), ('region_code', 'string', false),

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tarnlake import schemas
 from tarnlake.functions.columns import normalize_columns, sha256_hex, to_double, to_time, with_missing
-from tarnlake.session import batch_time
+from tarnlake.session import batch_time, stage
 from tarnlake.sinks.tables import create_table, upsert_table
-from tarnlake.sources.files import read_customers, read_transactions
+from tarnlake.sources.files import read_customers, split_transactions
 
 
 def conform_transactions(raw: DataFrame, batch_ts: Column | None = None) -> DataFrame:
@@ -63,10 +63,18 @@ def merge_customers(
 
 
 def ingest_transactions(
-    spark: SparkSession, raw_path: str, table: str = "conformed_db.transactions", **options,
+    spark: SparkSession, raw_path: str, table: str = "conformed_db.transactions", rejects: str | None = None, **options,
 ) -> dict[str, int]:
-    """All CSV files below ``raw_path`` into the conformed table."""
-    return merge_transactions(spark, read_transactions(spark, raw_path), table, **options)
+    """All CSV files below ``raw_path`` into the conformed table.
+
+    Lines that do not fit their file's header are counted as ``rejected`` and, with
+    ``rejects``, appended there as ``file, value, reason``.
+    """
+    parsed = split_transactions(spark, raw_path)
+    odd = stage(parsed.rejected, "ingest-rejected")
+    if rejects:
+        odd.write.mode("append").parquet(rejects)
+    return {**merge_transactions(spark, parsed.rows, table, **options), "rejected": odd.count()}
 
 
 def ingest_customers(

@@ -8,10 +8,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.operators.upkeep import RETENTION_DAYS, expired_versions, orphan_files
-from tarnlake.sinks.tables import compact_table, table_files
+from tarnlake.operators.upkeep import RETENTION_DAYS, expired_versions
+from tarnlake.sinks.tables import compact_table, table_orphans
 from tarnlake.sinks.versions import list_versions
-from tarnlake.sources.files import file_inventory
 from tarnlake.sources.policy import local_rows
 
 
@@ -33,7 +32,9 @@ def maintain(
 ) -> DataFrame:
     """Status rows ``table, step, ok, message``; a failing table does not stop the rest.
 
-    Expired versions and orphan files are counted and left in place.
+    Orphans are looked for in the table's own folder, or in the one ``listed_roots`` names;
+    versions only of tables in ``version_roots``.  Both are counted and left in place;
+    ``expired_versions`` and ``table_orphans`` give them.
     """
     cutoff = F.lit(retention_cutoff(retention_days, now)).cast("timestamp")
     status: list[tuple[str, str, str, str]] = []
@@ -54,8 +55,6 @@ def maintain(
                 expired_versions(list_versions(spark, root), cutoff).count())):
             continue
         folder = (listed_roots or {}).get(table)
-        if folder:
-            run(table, "orphans", lambda: "{} files".format(
-                orphan_files(file_inventory(spark, folder), table_files(spark, table), cutoff).count()))
+        run(table, "orphans", lambda: f"{table_orphans(spark, table, cutoff, folder).count()} files")
     rows = local_rows(spark, status, ["table", "step", "ok", "message"])
     return rows.withColumn("ok", F.col("ok").cast("boolean"))

@@ -13,6 +13,9 @@ nothing.  One writer per table is assumed.
 
 from __future__ import annotations
 
+import logging
+import re
+import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
@@ -25,11 +28,13 @@ from pyspark.sql import types as T
 from tarnlake import schemas
 from tarnlake.functions.columns import with_missing
 from tarnlake.operators.star import changed_rows, new_versions
-from tarnlake.operators.upkeep import COMPACT_MAX_BYTES, COMPACT_MIN_FILES, compaction_plan
+from tarnlake.operators.upkeep import COMPACT_MAX_BYTES, COMPACT_MIN_FILES, compaction_plan, orphan_files
 from tarnlake.operators.upsert import dedupe_latest, not_in, require_unique, upsert
 from tarnlake.session import fits_broadcast, stage
 from tarnlake.sources.files import file_inventory
 
+log = logging.getLogger(__name__)
+
 # Shuffle block a written file is made from; its Parquet form is smaller.
 WRITE_BYTES = 256 << 20
 # Beyond this many values of one partition column the scan is pruned by their range.
@@ -134,6 +139,21 @@ def _insert(
         rows.write.insertInto(name, overwrite=overwrite)
 
 
+def _swap(spark: SparkSession, rows: DataFrame, name: str, block_bytes: int = WRITE_BYTES) -> None:
+    """Give an unpartitioned table the rows of a new folder beside its old one.
+
+    The old folder stays as it is, so a failed write leaves the table unchanged and
+    readers of the old files go on; removing it is the caller's.
+    """
+    old = table_location(spark, name).rstrip("/")
+    new = f"{re.sub(r'[.]v-[0-9a-f]{32}$', '', old)}.v-{uuid.uuid4().hex}"
+    with _settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{block_bytes}b"}):
+        rows.select(*spark.table(name).columns).hint("rebalance").write.option("compression", "snappy").parquet(new)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{new}'")
+    spark.catalog.refreshTable(name)
+    log.info("%s reads %s; %s can be removed", name, new, old)
+
+
 def append_table(spark: SparkSession, name: str, rows: DataFrame) -> None:
     """Append by column name; columns the table lacks are refused, absent ones NULL."""
     table = spark.table(name)
@@ -241,7 +261,7 @@ def upsert_table(
         return stage(add_days(rows, layout).select(*table.columns), "upsert-rows")
 
     if not layout:
-        _insert(spark, merged(table), name, layout, overwrite=True)
+        _swap(spark, merged(table), name)
         return {"rewritten": 1, "dropped": 0}
     # Reads only the key and partition columns of the table.
     wanted = source.select(*keys)
@@ -301,6 +321,22 @@ def table_files(spark: SparkSession, name: str) -> DataFrame:
     return files.withColumn("partition", folder)
 
 
+def read_files(spark: SparkSession, name: str) -> DataFrame:
+    """``path`` of the files that hold the rows a reader of the table sees."""
+    return spark.table(name).select(F.col("_metadata.file_path").alias("url")).distinct().select(
+        # The listing's spelling: not percent-encoded.
+        F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B"))).alias("path"))
+
+
+def table_orphans(spark: SparkSession, name: str, older_than: Column, folder: str | None = None) -> DataFrame:
+    """Files below ``folder``, by default the table's own, that the table does not read."""
+    def one_spelling(files: DataFrame) -> DataFrame:
+        return files.withColumn("path", F.regexp_replace("path", "^([a-zA-Z0-9+.-]+):/+", "$1:/"))
+
+    listed = file_inventory(spark, folder or table_location(spark, name))
+    return orphan_files(one_spelling(listed), one_spelling(read_files(spark, name)), older_than)
+
+
 def compact_table(
     spark: SparkSession, name: str, max_bytes: int = COMPACT_MAX_BYTES, min_files: int = COMPACT_MIN_FILES,
 ) -> DataFrame:
@@ -317,5 +353,9 @@ def compact_table(
         table, root = spark.table(name), table_location(spark, name).rstrip("/")
         small = spark.read.schema(table.schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in folders])
         rows = stage(small.select(*table.columns), "compact-rows")
-        _insert(spark, rows, name, partition_columns(spark, name), overwrite=True, block_bytes=max_bytes)
+        layout = partition_columns(spark, name)
+        if layout:
+            _insert(spark, rows, name, layout, overwrite=True, block_bytes=max_bytes)
+        else:
+            _swap(spark, rows, name, max_bytes)
     return plan

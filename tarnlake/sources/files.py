@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnlake import schemas
 from tarnlake.operators.upkeep import head_sample
-from tarnlake.session import fits_broadcast, stage
-
-MAX_FIELDS = 32
+from tarnlake.session import stage
 
 AUDIT_LOG = (
     "user_identity struct<arn: string>, event_time timestamp, event_name string, workgroup string, "
@@ -19,18 +18,33 @@ AUDIT_LOG = (
     "additional_event_data string"
 )
 
-def tokenized_csv(reader, path, max_fields: int = MAX_FIELDS) -> DataFrame:
-    """Every line of headerless-read CSV as an array ``v`` of ``max_fields + 1`` cells.
+# A quoted cell; a backslash, as Spark writes, or a second quote escapes a quote in it.
+QUOTED = r'"[^"\\]*+(?:(?:\\.|"")[^"\\]*+)*+"'
 
-    ``reader`` is ``spark.read`` or ``spark.readStream``.  Quoting is Spark's CSV
-    quoting; quoted line breaks are not supported.
-    """
-    names = [f"f{i}" for i in range(max_fields + 1)]
-    raw = reader.schema(", ".join(f"{n} string" for n in names)).options(
-        header="false", recursiveFileLookup="true").csv(path)
-    return raw.select(
-        F.array(*names).alias("v"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"))
+
+class ByHeader(NamedTuple):
+    """Rows mapped by header, and ``file, value, reason`` of the lines that do not fit theirs."""
+
+    rows: DataFrame
+    rejected: DataFrame
+
+
+def text_lines(reader, path: str | list[str]) -> DataFrame:
+    """``value, file, block`` of every line below ``path``; ``reader`` is ``spark.read`` or ``spark.readStream``."""
+    return reader.option("recursiveFileLookup", "true").text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def _cells(line: Column) -> Column:
+    """The cells of a line, quotes still on."""
+    quoted = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(f",({QUOTED}|[^,]*)"), F.lit(1))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
+
+
+def _value(cell: Column) -> Column:
+    """A cell without its quotes; NULL if nothing is left."""
+    inner = F.regexp_replace(cell.substr(F.lit(2), F.length(cell) - 2), r'\\(")|"(")', "$1$2")
+    return F.nullif(F.when(cell.startswith('"'), inner).otherwise(cell), F.lit(""))
 
 
 def _name(cell: Column) -> Column:
@@ -38,55 +52,93 @@ def _name(cell: Column) -> Column:
     return F.lower(F.btrim(cell, F.lit(' "\t\r\ufeff')))
 
 
-def by_header(
-    lines: DataFrame, key_col: str, columns: Sequence[str], max_fields: int = MAX_FIELDS,
-    salts: int = 32,
-) -> DataFrame:
-    """Map each file's cells to ``columns`` by the names in that file's header line.
+def read_headers(lines: DataFrame, key_col: str | None = None) -> DataFrame:
+    """Stored ``file, header, names``: the first line of each file that is not blank, and its cells.
 
-    The header is the line in the file's first block with a cell named
-    ``key_col``; a column a file lacks is NULL.  Headers, one row per file, are
-    staged once.  They are broadcast only when their measured size is under
-    Spark's broadcast limit; otherwise both sides are shuffled on (file, salt),
-    so a file that holds a third of the lines still spreads over ``salts`` tasks.
+    A header without ``key_col``, or with a name twice, is an error that names the file.
     """
-    # Few lines mention the key's name at all; only those are looked at cell by cell.
-    mentions = F.lower(F.array_join("v", ",")).contains(key_col)
-    is_header = (F.col("block") == 0) & mentions & F.coalesce(
-        F.exists("v", lambda cell: _name(cell) == key_col), F.lit(False))
+    first = (
+        lines.where((F.col("block") == 0) & (F.btrim("value") != ""))
+        .select("file", "value", F.monotonically_increasing_id().alias("seq"))
+        .groupBy("file").agg(F.min_by("value", "seq").alias("header")))
+    first = first.withColumn("names", F.transform(_cells(F.col("header")), _name))
+    named = F.filter("names", lambda name: name != "")
+    fault = F.when(F.size(F.array_distinct(named)) < F.size(named), "a name twice")
+    if key_col is not None:
+        fault = F.when(~F.array_contains("names", key_col), f"no column {key_col}").otherwise(fault)
     names = F.when(
-        F.get("v", F.lit(max_fields)).isNotNull(),
-        F.raise_error(F.lit(f"a header has more than {max_fields} columns; raise max_fields")),
-    ).otherwise(F.transform("v", _name))
-    layout = [F.array_position("__names", name).cast("int").alias(f"__at_{i}") for i, name in enumerate(columns)]
-    headers = stage(
-        lines.where(is_header).groupBy("file").agg(F.first("v").alias("v"))
-        .withColumn("__names", names).select("file", *layout), "csv-headers")
-    body = lines.where(~is_header)
-    if fits_broadcast(headers):
-        joined = body.join(F.broadcast(headers), "file")
+        fault.isNotNull(), F.raise_error(F.concat(F.lit("header with "), fault, F.lit(": "), "file"))
+    ).otherwise(F.col("names"))
+    return stage(first.select("file", "header", names.alias("names")), "csv-headers")
+
+
+def split_by_header(lines: DataFrame, headers: DataFrame, columns: Sequence[str]) -> ByHeader:
+    """Map each file's cells to ``columns`` by the names in that file's header.
+
+    A column a file lacks is NULL; a line that repeats the header word for word is
+    none.  Lines with more or fewer cells than their header, or an open quote, are
+    rejected, so a quoted line break shows up there.  If all files share one header
+    nothing is joined; else headers, one row a file, are, and AQE picks how and
+    splits a file that holds much of the lines.
+    """
+    # Metadata: whether all headers are one.
+    shape = headers.agg(
+        F.min("header").alias("low"), F.max("header").alias("high"), F.any_value("names").alias("names")).first()
+    body = lines.where(F.btrim("value") != "").select("file", "value")
+    alone = shape["low"] is not None and shape["low"] == shape["high"]
+    if alone:
+        body = body.withColumns({"header": F.lit(shape["high"]), "names": F.lit(shape["names"])})
     else:
-        # Copies of one line differ by the block they come from.
-        salt = F.pmod(F.xxhash64("v", "block"), F.lit(salts)).cast("int")
-        spread = headers.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = body.withColumn("__salt", salt).join(spread, ["file", "__salt"])
-    return joined.select([
-        F.when(F.col(f"__at_{i}") > 0, F.get("v", F.col(f"__at_{i}") - 1)).alias(name)
-        for i, name in enumerate(columns)
-    ])
+        body = body.join(headers, "file", "left")
+    body = body.where(F.col("header").isNull() | (F.col("value") != F.col("header")))
+    body = body.withColumn("cells", _cells(F.col("value")))
+    quoted = F.contains("value", F.lit('"'))
+    opened = F.exists("cells", lambda cell: cell.startswith('"') & ~cell.rlike(f"^{QUOTED}$"))
+    size = F.size("cells")
+    reason = (
+        F.when(F.col("header").isNull(), "no header")
+        .when(quoted & opened, "an open quote")
+        .when(quoted & (F.array_join("cells", ",") != F.col("value")), "text after a quote")
+        .when(size != F.size("names"), F.concat_ws(
+            " ", size.cast("string"), F.lit("cells below a header of"), F.size("names").cast("string"))))
+    marked = body.withColumn("reason", reason)
+    place = {name: F.array_position("names", name).cast("int") for name in columns}
+    rows = marked.where("reason IS NULL").select([
+        F.when(at > 0, _value(F.get("cells", at - 1))).alias(name) for name, at in place.items()])
+    return ByHeader(rows, marked.where("reason IS NOT NULL").select("file", "value", "reason"))
+
+
+def split_csv_by_header(
+    spark: SparkSession, path: str | list[str], key_col: str, columns: Sequence[str],
+) -> ByHeader:
+    """Text columns of CSV files with differing headers, and the lines that do not fit theirs."""
+    lines = text_lines(spark.read, path)
+    return split_by_header(lines, read_headers(lines, key_col), columns)
 
 
 def read_csv_by_header(
     spark: SparkSession, path: str | list[str], key_col: str, columns: Sequence[str],
-    max_fields: int = MAX_FIELDS,
 ) -> DataFrame:
-    """Text columns of CSV files with differing headers, mapped by header name."""
-    return by_header(tokenized_csv(spark.read, path, max_fields), key_col, columns, max_fields)
+    """The rows of ``split_csv_by_header``; a line that does not fit its header is an error."""
+    return strict(split_csv_by_header(spark, path, key_col, columns))
 
 
-def read_transactions(spark: SparkSession, root: str) -> DataFrame:
+def strict(parsed: ByHeader) -> DataFrame:
+    """The rows, provided that no line was rejected."""
+    odd = parsed.rejected.first()
+    if odd is not None:
+        raise ValueError(f"{odd['reason']}: {odd['file']}")
+    return parsed.rows
+
+
+def split_transactions(spark: SparkSession, root: str) -> ByHeader:
     """Raw transactions as text.  ``event_date`` comes from the file, not its folder."""
-    return read_csv_by_header(spark, root, "transaction_id", schemas.RAW_TRANSACTION_COLUMNS)
+    return split_csv_by_header(spark, root, "transaction_id", schemas.RAW_TRANSACTION_COLUMNS)
+
+
+def read_transactions(spark: SparkSession, root: str) -> DataFrame:
+    """``split_transactions`` of files in which every line fits its header."""
+    return strict(split_transactions(spark, root))
 
 
 def read_customers(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -117,7 +169,7 @@ def sample_lines(
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"))
+        F.monotonically_increasing_id().alias("seq")).where(F.col("block") < max_bytes)
     head = head_sample(lines, n, ["file"], ["block", "seq"])
     # At most n rows per file remain, so ordered windows per file are small.
     order = Window.partitionBy("file").orderBy("block", "seq")
@@ -141,21 +193,15 @@ def discover_schema(spark: SparkSession, path: str, table: str, fmt: str = "csv"
         partitions = set(_partition_names(spark, path))
         rows = [(table, f.name, f.dataType.simpleString(), f.name in partitions) for f in found.schema.fields]
         return spark.createDataFrame(rows, "`table` string, `column` string, type string, is_partition boolean")
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-    first = head_sample(
-        lines.where("block = 0").withColumn("seq", F.monotonically_increasing_id()), 1, ["file"], ["seq"])
+    lines = text_lines(spark.read, path)
+    headers = read_headers(lines)
     # Metadata only: the distinct column names over all headers reach the driver.
-    cells = first.select("file", F.explode(F.split("value", ",")).alias("cell")).select(
-        "file", _name(F.col("cell")).alias("name")).where("name != ''")
-    found = cells.groupBy("name").agg(F.countDistinct("file").alias("files")).orderBy("name").collect()
-    names = [row["name"] for row in found]
-    n_files = first.count()
-    common = [row["name"] for row in found if row["files"] == n_files]
-    if not common:
-        raise ValueError(f"no column is common to all headers below {path}")
+    found = headers.select(F.explode("names").alias("name")).where("name != ''").distinct().orderBy("name")
+    names = [row["name"] for row in found.collect()]
+    if not names:
+        raise ValueError(f"no header below {path}")
     partitions = _partition_names(spark, path)
-    cells = read_csv_by_header(spark, path, common[0], names)
+    cells = strict(split_by_header(lines, headers, names))
     types = [("bigint", "bigint"), ("double", "double"), ("timestamp", "timestamp")]
     checks = [
         F.count_if(F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(kind).isNull()).alias(f"{kind}{i}")

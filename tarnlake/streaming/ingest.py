@@ -3,32 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tarnlake import schemas
 from tarnlake.plans.ingest import merge_transactions
-from tarnlake.sources.files import by_header, tokenized_csv
+from tarnlake.sources.files import read_headers, split_by_header, text_lines
 
 
 def ingest_stream(
     spark: SparkSession, raw_path: str, table: str, checkpoint: str, files_per_batch: int | None = None,
+    aside: str | None = None,
 ) -> StreamingQuery:
     """Upsert files new since the last run, then stop.
 
     The checkpoint records which files were read.  A batch that is replayed after
     a failure merges the same keys again, which changes nothing; late rows need
-    no watermark.  Repeated keys inside a batch keep their latest row.
+    no watermark.  Repeated keys inside a batch keep their latest row.  Rows without
+    a key, which a replay would insert twice, and lines that do not fit their header
+    go to ``no_key`` and ``rejected`` below ``aside`` (by default a folder beside the
+    checkpoint), in a folder a batch that a replay overwrites.
     """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    folder = (aside or f"{checkpoint.rstrip('/')}-aside").rstrip("/")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = by_header(batch, "transaction_id", schemas.RAW_TRANSACTION_COLUMNS)
-        merge_transactions(batch.sparkSession, rows, table, on_duplicate="latest")
+        parsed = split_by_header(batch, read_headers(batch, "transaction_id"), schemas.RAW_TRANSACTION_COLUMNS)
+        keyed = F.col("transaction_id").isNotNull()
+        parsed.rejected.write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch_id}")
+        parsed.rows.where(~keyed).write.mode("overwrite").parquet(f"{folder}/no_key/batch={batch_id}")
+        merge_transactions(batch.sparkSession, parsed.rows.where(keyed), table, on_duplicate="latest")
 
     return (
-        tokenized_csv(reader, raw_path).writeStream
+        text_lines(reader, raw_path).writeStream
         .foreachBatch(merge).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )

@@ -44,16 +44,52 @@ def test_columns_follow_their_header(spark, drifting):
     assert str(rows["T1"].transaction_time) == "2026-05-18 10:30:00"
 
 
-def test_headers_beyond_the_broadcast_limit_are_joined_by_salt(spark, drifting, plan, shuffled_joins, rows):
+def test_headers_beyond_the_broadcast_limit_are_shuffled(spark, drifting, plan, shuffled_joins):
     out = files.read_transactions(spark, drifting)
-    assert "BroadcastHashJoin" not in plan(out) and "__salt" in plan(out)
+    assert "BroadcastHashJoin" not in plan(out) and "SortMergeJoin" in plan(out)
     assert len(out.collect()) == 4
 
 
-def test_too_wide_header_is_refused(spark, tmp_path):
-    write(tmp_path / "w", "a.csv", "transaction_id,a,b,c", "T1,1,2,3")
-    with pytest.raises(PySparkException, match="more than 3 columns"):
-        files.read_csv_by_header(spark, str(tmp_path / "w"), "transaction_id", ["c"], max_fields=3).collect()
+def test_one_header_needs_no_join(spark, tmp_path, plan):
+    for i in range(3):
+        write(tmp_path / "o", f"{i}.csv", "transaction_id,v", f"T{i},transaction_id", "transaction_id,v")
+    out = files.read_csv_by_header(spark, str(tmp_path / "o"), "transaction_id", ["v", "w", "transaction_id"])
+    assert "Join" not in plan(out)
+    assert {tuple(r) for r in out.collect()} == {("transaction_id", None, f"T{i}") for i in range(3)}
+
+
+def test_wide_files_are_read_whole(spark, tmp_path):
+    names = [f"n{i}" for i in range(60)]
+    write(tmp_path / "w", "a.csv", ",".join(["transaction_id", *names]), ",".join(["T1", *map(str, range(60))]))
+    write(tmp_path / "w", "b.csv", "n59,transaction_id", "x,T2")
+    out = files.read_csv_by_header(spark, str(tmp_path / "w"), "transaction_id", ["transaction_id", "n40", "n59"])
+    assert {tuple(r) for r in out.collect()} == {("T1", "40", "59"), ("T2", None, "x")}
+
+
+@pytest.mark.parametrize("header, said", [("txn_id,amount", "no column transaction_id"),
+                                          ("transaction_id,a, A ", "a name twice"), ("T1,5", "no column")])
+def test_unreadable_headers_are_errors_that_name_the_file(spark, tmp_path, header, said):
+    write(tmp_path / "h", "good.csv", "transaction_id,a", "T1,1")
+    write(tmp_path / "h", "odd.csv", header, "T2,2")
+    with pytest.raises(PySparkException, match=f"{said}.*odd.csv"):
+        files.read_csv_by_header(spark, str(tmp_path / "h"), "transaction_id", ["a"])
+
+
+def test_lines_that_do_not_fit_are_rejected(spark, tmp_path):
+    write(tmp_path / "r", "a.csv", "transaction_id,note,amount", "T1,ok,1", "T2,2", "T3,a,b,3", 'T4,"torn',
+          'lines",4', 'T5,"a, ""b"", c",5', "", 'T6a,"a"",b",6', 'T6,"x\\",y",6', 'T7,5" pipe,7', "T8,,", 'T9,"a"b,1')
+    write(tmp_path / "r", "b.csv", ",transaction_id", "0,T9", "1,2,3")
+    parsed = files.split_csv_by_header(spark, str(tmp_path / "r"), "transaction_id", ["transaction_id", "amount"])
+    notes = files.split_csv_by_header(spark, str(tmp_path / "r"), "transaction_id", ["note"]).rows
+    assert {'a, "b", c', 'a",b', 'x",y', '5" pipe'} <= {r.note for r in notes.collect()}
+    assert {tuple(r) for r in parsed.rows.collect()} == {
+        ("T1", "1"), ("T5", "5"), ("T6", "6"), ("T6a", "6"), ("T7", "7"), ("T8", None), ("T9", None)}
+    assert {(r.value, r.reason) for r in parsed.rejected.collect()} == {
+        ("T2,2", "2 cells below a header of 3"), ("T3,a,b,3", "4 cells below a header of 3"),
+        ('T4,"torn', "an open quote"), ('lines",4', "2 cells below a header of 3"),
+        ('T9,"a"b,1', "text after a quote"), ("1,2,3", "3 cells below a header of 2")}
+    with pytest.raises(ValueError, match="[ab].csv"):
+        files.read_csv_by_header(spark, str(tmp_path / "r"), "transaction_id", ["amount"])
 
 
 def test_split_files_keep_their_header(spark, tmp_path):

@@ -130,6 +130,34 @@ def test_maintain_goes_on_after_a_failure(spark, name, tmp_path):
     assert [r.message for r in status.collect()][2:] == ["2 versions", "1 files"]
 
 
+def test_orphans_in_the_table_folder(spark, name):
+    from datetime import datetime, timezone
+
+    merge_transactions(spark, raw(spark, ("a", "1", "a b+c", "2026-01-01T10:00:00")), name)
+    root, late = tables.table_location(spark, name), F.lit("2100-01-01").cast("timestamp")
+    assert tables.table_orphans(spark, name, late).count() == 0
+    spark.range(1).coalesce(1).write.parquet(f"{root}/leftover")
+    spark.catalog.refreshTable(name)
+    found = [r.path for r in tables.table_orphans(spark, name, late).where("path LIKE '%.parquet'").collect()]
+    assert len(found) == 1 and "/leftover/" in found[0]
+    status = maintain(spark, name, now=datetime(2100, 1, 1, tzinfo=timezone.utc)).collect()
+    assert [(r.step, r.ok) for r in status] == [("compact", True), ("orphans", True)]
+
+
+def test_failed_write_keeps_an_unpartitioned_table(spark, name, rows):
+    schema = spark.range(1).selectExpr("CAST(id AS STRING) AS k", "id AS v").schema
+    tables.create_table(spark, name, schema, [])
+
+    def batch(*pairs):
+        return spark.createDataFrame(list(pairs), schema)
+    for pairs in ([("a", 1), ("b", 2)], [("b", 3), ("c", 4)]):
+        tables.upsert_table(spark, name, batch(*pairs), ["k"], ["v"])
+    assert rows(spark.table(name)) == [("a", 1), ("b", 3), ("c", 4)]
+    with pytest.raises(Exception, match="broken"):
+        tables._swap(spark, spark.table(name).withColumn("v", F.raise_error(F.lit("broken")).cast("long")), name)
+    assert rows(spark.table(name)) == [("a", 1), ("b", 3), ("c", 4)]
+
+
 def test_versions(spark, tmp_path):
     root = str(tmp_path / "v")
     versions.write_version(spark.range(1), root, "m", "1")
