@@ -158,10 +158,9 @@ def csv_rejected(t):
     """Every seventh order has a cell too many: rows and rejected lines together are all rows."""
     root = new_path(t.spark, "odd")
     cell = F.when(F.col("o_orderkey") % 7 == 0, "a,b").otherwise("a")
-    lines = t("v_txn").select(F.concat_ws(",", "transaction_id", "customer_id", cell).alias("line"))
-    # The header is one cell here, and a quote character no line has keeps the commas bare.
-    lines.withColumnRenamed("line", "transaction_id,customer_id,x").write.options(
-        header="true", quote="\x01", escapeQuotes="false").csv(root)
+    # Quoted by a character that means nothing to the reader, so that the comma separates cells.
+    t("v_txn").select("transaction_id", "customer_id", cell.alias("x")).write.options(
+        header="true", quote="\x01").csv(root)
     parsed = files.split_csv_by_header(t.spark, root, "transaction_id", ["transaction_id"])
     return parsed.rows.withColumn("reason", F.lit(None).cast("string")).unionByName(
         parsed.rejected.select(F.split("value", ",")[0].alias("transaction_id"), "reason"))
