@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import labelled_sample, map_batches
+from tarnlake.llm.common import SLICE, labelled_sample, map_batches
 from tarnlake.session import stage
 
 # Sample bound by label, kept features, grades above 0.
@@ -198,8 +198,10 @@ def keep_civil(docs: DataFrame, model: Model) -> DataFrame:
         own = sent.value
         of = WordCache(own.hits)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
-            above = [own.severity([h for w in (t or b"").split() if (h := of[w])])[0] for t in texts]
-            yield batch.filter(pa.array([bool(a < 0.5) for a in above], pa.bool_()))
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                texts = part.column(part.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
+                above = [own.severity([h for w in (t or b"").split() if (h := of[w])])[0] for t in texts]
+                yield part.filter(pa.array([bool(a < 0.5) for a in above], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
