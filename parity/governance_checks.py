@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from parity.registry import check
 from tarnlake.operators import access, audit, lint, pii, tags
 from tarnlake.operators.upsert import upsert
-from tarnlake.plans.governance import TAG_COLUMNS, pii_scan, reconcile_tags
+from tarnlake.plans.governance import TAG_COLUMNS, pii_scan, pii_scan_raw, reconcile_tags
 from tarnlake.session import new_path
 from tarnlake.sources import policy
 from tarnlake.sources.files import read_audit_log
@@ -348,3 +348,41 @@ def audit_from_json(t):
     audit_log(t).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(root)
     found = audit.expensive_queries(read_audit_log(t.spark, root))
     return found.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+@check("""SELECT zone, user_arn, event_name, strftime(event_time, '%Y-%m-%d') AS event_day, count(*) AS events
+    FROM v_query_log WHERE zone <> 'raw' OR event_id % 3 <> 0 GROUP BY ALL""")
+def access_from_json(t):
+    """Data events written as audit records; a third of the raw ones concern a bucket of no zone."""
+    root = new_path(t.spark, "events")
+    bucket = F.when((F.col("zone") == "raw") & (F.col("event_id") % 3 == 0), "rawhide").otherwise(
+        F.concat(F.lit("lake-"), "zone", F.lit("-7")))
+    t("v_query_log").select(
+        F.struct(F.col("user_arn").alias("arn")).alias("user_identity"), "event_time", "event_name",
+        F.struct(bucket.alias("bucketName"), F.lit("k").alias("key")).alias("request_parameters"),
+    ).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(root)
+    found = audit.zone_access(read_audit_log(t.spark, root))
+    return found.withColumn("event_day", F.col("event_day").cast("string"))
+
+
+RAW_PII = f"""
+    SELECT {NAMED}, val AS value FROM v_tags
+    UNION ALL
+    SELECT 'raw_db', 'people', "column", 'PII', pii FROM ({detected_sql(profile_sql(CUSTOMER, "v_customers"))})"""
+
+
+@check(RAW_PII)
+def pii_raw_csv(t):
+    root = new_path(t.spark, "raw") + "/people"
+    # Several files, each with a header of its own order.
+    for part, header in enumerate([CUSTOMER, CUSTOMER[::-1]]):
+        t("v_customers").where(F.col("c_custkey") % 2 == part).select(*header).write.option(
+            "header", "true").csv(f"{root}/part={part}")
+    return pii_scan_raw(t.spark, [root], "raw_db", tag_rows(t))
+
+
+@check(RAW_PII)
+def pii_raw_json(t):
+    root = new_path(t.spark, "raw") + "/people"
+    t("v_customers").select(*CUSTOMER).write.json(root)
+    return pii_scan_raw(t.spark, [root], "raw_db", tag_rows(t))

@@ -70,15 +70,25 @@ def compaction_plan(t):
     return upkeep.compaction_plan(listed, ["folder"])
 
 
-@check("""SELECT array_to_string(p[1:d], '/') AS prefix, CAST(d AS INTEGER) AS depth,
+STORAGE = """SELECT array_to_string(p[1:d], '/') AS prefix, CAST(d AS INTEGER) AS depth,
       CAST(sum(length) AS BIGINT) AS bytes, count(*) AS files, max(modified) AS last_modified
     FROM (SELECT p, length, modified, unnest(range(1, least(len(p) - 1, 5) + 1)) AS d FROM (
       SELECT string_split(regexp_replace(path, '^[a-zA-Z0-9+.-]+:/+', ''), '/') AS p, length, modified FROM v_files))
-    GROUP BY 1, 2""")
+    GROUP BY 1, 2"""
+
+
+@check(STORAGE)
 def storage_metrics(t):
     return upkeep.storage_metrics(t("v_files"), modified="modified")
 
 
+@check(STORAGE)
+def storage_csv(t):
+    root, found = new_path(t.spark, "storage"), upkeep.storage_metrics(t("v_files"), modified="modified")
+    versions.export_csv(found, root)
+    return t.spark.read.schema(found.schema).options(header="true", timestampNTZFormat=versions.NTZ_TEXT).csv(root)
+
+
 @check("""SELECT array_to_string(p[1:d], '/') AS prefix, CAST(d AS INTEGER) AS depth,
       CAST(sum(size) AS BIGINT) AS bytes, count(*) AS files
     FROM (SELECT p, size, unnest(range(1, least(len(p) - 1, 5) + 1)) AS d FROM (
@@ -245,3 +255,18 @@ def published_version(t):
     root = new_path(t.spark, "mart")
     versions.write_version(t("v_txn").groupBy("region_code").agg(F.count(F.lit(1)).alias("n")), root, "m", "1")
     return versions.read_latest(t.spark, root)
+
+
+MOVED = """SELECT transaction_id, customer_id, amount, product_id, product_category,
+      CASE WHEN o_orderkey % 4 < 2 THEN 'MOVED' ELSE region_code END AS region_code,
+      transaction_time + INTERVAL 3 DAY AS transaction_time, promotion_code
+    FROM v_txn WHERE o_orderkey % 3 = 0"""
+
+
+@check(merged_sql(TXN, TXN_UPDATES, "v_txn", "moved", "transaction_id"), moved=MOVED)
+def upsert_moved_rows(t):
+    """A merge that changes region and day, so that matched rows change their partition."""
+    name = new_table(t, fields(schemas.TRANSACTIONS, TXN), LAYOUT)
+    tables.append_table(t.spark, name, t("v_txn").select(*TXN))
+    tables.upsert_table(t.spark, name, t.sql(f"SELECT * FROM ({MOVED})"), ["transaction_id"], TXN_UPDATES)
+    return wall_clock(tables.read_table(t.spark, name).select(*TXN), "transaction_time")

@@ -14,6 +14,7 @@ QUERY_STARTED = "StartQueryExecution"
 EXPENSIVE_BYTES = 1e11
 EXPENSIVE_TOP = 50
 STALE_DAYS = 90
+ZONES = ["raw", "conformed", "consumption"]
 SCAN_CAPS = {"marketing_workgroup": 10737418240, "finance_workgroup": 107374182400}
 
 
@@ -69,3 +70,17 @@ def access_summary(
         F.col(zone).alias("zone"), F.col(user).alias("user_arn"), "event_name",
         F.to_date(time).alias("event_day"),
     ).agg(F.count(F.lit(1)).alias("events"))
+
+
+def zone_of(bucket: Column) -> Column:
+    """The zone that a part of the bucket's name tells, parts being set off by ``-`` or ``.``; NULL for none."""
+    part = F.regexp_extract(bucket, rf"(?:^|[-.])({'|'.join(ZONES)})(?=[-.]|$)", 1)
+    return F.nullif(part, F.lit(""))
+
+
+def zone_access(audit: DataFrame) -> DataFrame:
+    """``access_summary`` of the nested records of the audit log that concern an object of a zone."""
+    events = audit.select(
+        zone_of(F.col("request_parameters.bucketName")).alias("zone"),
+        F.col("user_identity.arn").alias("user_arn"), "event_name", "event_time")
+    return access_summary(events.where("zone IS NOT NULL"))

@@ -15,7 +15,7 @@ from tarnlake.operators.pii import detect_pii, detect_pii_in_lines
 from tarnlake.operators.upkeep import first_sample_file
 from tarnlake.operators.upsert import upsert
 from tarnlake.session import stage
-from tarnlake.sources.files import file_inventory, sample_lines
+from tarnlake.sources.files import file_inventory, sample_lines, split_all_columns
 from tarnlake.sources.policy import PolicyTables, local_rows
 
 log = logging.getLogger(__name__)
@@ -29,21 +29,23 @@ class Reconciled(NamedTuple):
     missing: DataFrame
 
 
-def detect_in_sample(spark: SparkSession, location: str, lines: int = 100) -> DataFrame:
+def detect_raw(spark: SparkSession, location: str, lines: int | None = None) -> DataFrame:
     """PII columns of a raw folder, whose first CSV or JSON file tells its kind.
 
-    Of CSV the head of that file is read, the first line as the header; of JSON Lines
-    all files, by their field names, so that no value is taken for a name.  A folder
-    without such a file gives an error.  ``detect_pii`` on the whole table is the
-    thorough form for CSV.
+    All files of that kind are read: JSON Lines by their field names, CSV by each
+    file's header, without lines that do not fit it.  With ``lines`` only so many of
+    the first CSV file are.  No value is ever taken for a name.  A folder without such
+    a file gives an error.
     """
     listed = file_inventory(spark, location).withColumn("location", F.lit(location))
     first = first_sample_file(listed, ["location"]).first()
     if first is None:
-        raise FileNotFoundError(f"no sample file below {location}")
+        raise FileNotFoundError(f"no CSV or JSON file below {location}")
     if first["path"].lower().endswith(".json"):
         reader = spark.read.option("primitivesAsString", True).option("recursiveFileLookup", True)
         return detect_pii(reader.option("pathGlobFilter", "*.json").json(location))
+    if lines is None:
+        return detect_pii(split_all_columns(spark, location, "*.csv").rows)
     sample = sample_lines(spark, first["path"], lines)
     header = sample.where("line_number = 1").select(
         F.transform(F.split("value", ","), unquote).alias("names")).first()["names"]
@@ -70,16 +72,18 @@ def pii_scan(
     return upsert(tags, local_rows(spark, found, TAG_COLUMNS), tag_ops.TAG_KEY, ["value"], TAG_COLUMNS)
 
 
-def pii_scan_raw(spark: SparkSession, locations: Sequence[str], database: str, tags: DataFrame) -> DataFrame:
-    """``pii_scan`` over samples of raw folders; the last folder names the table."""
+def pii_scan_raw(
+    spark: SparkSession, locations: Sequence[str], database: str, tags: DataFrame, lines: int | None = None,
+) -> DataFrame:
+    """``pii_scan`` over raw folders, or with ``lines`` over samples of them; the last folder names the table."""
     def table(location: str) -> str:
         return location.rstrip("/").rsplit("/", 1)[-1]
 
-    samples = {
-        (database, table(location)): lambda location=location: detect_in_sample(spark, location)
+    found = {
+        (database, table(location)): lambda location=location: detect_raw(spark, location, lines)
         for location in locations
     }
-    return pii_scan(spark, samples, tags, detect=lambda found: found)
+    return pii_scan(spark, found, tags, detect=lambda columns: columns)
 
 
 def reconcile_tags(catalog: DataFrame, policy: PolicyTables, tags: DataFrame) -> Reconciled:

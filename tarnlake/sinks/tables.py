@@ -6,13 +6,14 @@ the day, so that other days are not read.
 
 Only partitions holding a matched row are rewritten; everything else is appended.
 New files are first staged in the shared folder and then moved in by
-``INSERT``: a table is never written by a plan that reads it, and a run that
-fails half-way can be repeated, because merging the same keys twice changes
-nothing.  One writer per table is assumed.
+``INSERT``: a table is never written by a plan that reads it.  While staged rows
+go in, a property of the table names their folder; the next write finishes what a
+lost driver left, before anything else.  One writer per table is assumed.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 import uuid
@@ -30,7 +31,7 @@ from tarnlake.functions.columns import with_missing
 from tarnlake.operators.star import changed_rows, new_versions
 from tarnlake.operators.upkeep import COMPACT_MAX_BYTES, COMPACT_MIN_FILES, compaction_plan, orphan_files
 from tarnlake.operators.upsert import dedupe_latest, not_in, require_unique, upsert
-from tarnlake.session import fits_broadcast, stage
+from tarnlake.session import fits_broadcast, new_path, stage
 from tarnlake.sources.files import file_inventory
 
 log = logging.getLogger(__name__)
@@ -39,6 +40,8 @@ log = logging.getLogger(__name__)
 WRITE_BYTES = 256 << 20
 # Beyond this many values of one partition column the scan is pruned by their range.
 MAX_LISTED_VALUES = 1000
+# Table property that names the staged rows of a write in progress.
+PENDING = "tarnlake.pending"
 
 
 def add_days(df: DataFrame, layout: Sequence[str], day_columns: Mapping[str, str] = schemas.DAY_COLUMNS) -> DataFrame:
@@ -156,6 +159,7 @@ def _swap(spark: SparkSession, rows: DataFrame, name: str, block_bytes: int = WR
 
 def append_table(spark: SparkSession, name: str, rows: DataFrame) -> None:
     """Append by column name; columns the table lacks are refused, absent ones NULL."""
+    finish_pending(spark, name)
     table = spark.table(name)
     layout = partition_columns(spark, name)
     unknown = sorted(set(rows.columns) - set(table.columns))
@@ -216,12 +220,13 @@ def _in_partitions(df: DataFrame, listed: DataFrame, layout: Sequence[str], how:
 
 def _replace(
     spark: SparkSession, name: str, layout: Sequence[str], rows: DataFrame, touched: DataFrame,
-    partitions: list[tuple],
+    partitions: list[tuple], unless: Sequence[str] = (),
 ) -> int:
     """Put staged ``rows`` in place: ``touched`` partitions are replaced, or dropped
-    when no row is left in them, and rows of other partitions appended.  Returns
-    the number dropped."""
-    if not partitions:
+    when no row is left in them, and rows of other partitions appended, with
+    ``unless`` only those whose key of these columns the table lacks.  Returns the
+    number dropped."""
+    if not partitions and not unless:
         _insert(spark, rows, name, layout, overwrite=False)
         return 0
     replaced = _in_partitions(rows, touched, layout, "left_semi")
@@ -229,11 +234,38 @@ def _replace(
     _insert(spark, replaced, name, layout, overwrite=True)
     _drop_partitions(spark, name, layout, emptied)
     added = _in_partitions(rows, touched, layout, "left_anti")
+    if unless:
+        added = stage(added.join(spark.table(name).select(*unless), list(unless), "left_anti"), "pending-added")
     if not added.isEmpty():
         _insert(spark, added, name, layout, overwrite=False)
     return len(emptied)
 
 
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def finish_pending(spark: SparkSession, name: str) -> bool:
+    """Put in place what an interrupted ``upsert_table`` had staged; ``False`` if there is nothing.
+
+    Partitions are replaced again, which changes nothing if they were; rows to append
+    are left out where the table has their key.  Rows without a key are appended twice
+    if the loss fell exactly between their append and the removal of the mark.
+    """
+    text = _properties(spark, name).get(PENDING)
+    if text is None:
+        return False
+    found = json.loads(text)
+    layout = partition_columns(spark, name)
+    schema = spark.table(name).schema
+    rows = spark.read.schema(schema).parquet(f"{found['folder']}/rows")
+    touched = spark.read.schema(spark.table(name).select(*layout).schema).parquet(f"{found['folder']}/touched")
+    _replace(spark, name, layout, rows, touched, _partition_list(touched, layout), unless=found["keys"])
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{PENDING}')")
+    log.info("finished the interrupted write of %s from %s", name, found["folder"])
+    return True
+
+
 def upsert_table(
     spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str],
     update_cols: Sequence[str], insert_cols: Sequence[str] | None = None,
@@ -243,6 +275,7 @@ def upsert_table(
 
     Returns how many partitions were rewritten and how many dropped as empty.
     """
+    finish_pending(spark, name)
     # The plan behind the source, often a parse of raw files, runs once.
     source = stage(source, "upsert-source")
     if source.isEmpty():
@@ -258,22 +291,47 @@ def upsert_table(
 
     def merged(target: DataFrame) -> DataFrame:
         rows = upsert(target.select(*own), source, keys, update_cols, insert_cols, stored=True)
-        return stage(add_days(rows, layout).select(*table.columns), "upsert-rows")
+        return add_days(rows, layout).select(*table.columns)
 
     if not layout:
-        _swap(spark, merged(table), name)
+        _swap(spark, stage(merged(table), "upsert-rows"), name)
         return {"rewritten": 1, "dropped": 0}
     # Reads only the key and partition columns of the table.
     wanted = source.select(*keys)
     wanted = F.broadcast(wanted) if fits_broadcast(wanted) else stage(wanted.distinct(), "upsert-keys")
-    touched = stage(
-        table.select(*keys, *layout).join(wanted, list(keys), "left_semi").select(*layout).distinct(),
-        "upsert-touched")
+    matched = stage(
+        table.select(*dict.fromkeys([*keys, *layout])).join(wanted, list(keys), "left_semi").distinct(),
+        "upsert-matched")
+    folder = new_path(spark, "upsert-pending")
+    touched = _stage_in(matched.select(*layout).distinct(), f"{folder}/touched")
     partitions = _partition_list(touched, layout)
+    rewritten = len(partitions)
     inside = table.where(_within(layout, partitions)) if partitions else table.where(F.lit(False))
-    rows = merged(_in_partitions(inside, touched, layout, "left_semi"))
+    rows = _stage_in(merged(_in_partitions(inside, touched, layout, "left_semi")), f"{folder}/rows")
+    sources = {day: time for day, time in schemas.DAY_COLUMNS.items() if day in layout}
+    if partitions and {sources.get(c, c) for c in layout} & set(update_cols):
+        # A partition that a matched row moves to is replaced together with the one it leaves.
+        moved = _in_partitions(rows, touched, layout, "left_anti").join(
+            matched.select(*keys).distinct(), list(keys), "left_semi")
+        receiving = stage(moved.select(*layout).distinct(), "upsert-receiving")
+        more = _partition_list(receiving, layout)
+        if more:
+            there = _in_partitions(table.where(_within(layout, more)), receiving, layout, "left_semi")
+            rewritten += len(_partition_list(there, layout))
+            rows = _stage_in(there.select(*table.columns), f"{folder}/rows")
+            touched = _stage_in(receiving, f"{folder}/touched")
+            partitions += more
+    mark = json.dumps({"folder": folder, "keys": list(keys)})
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PENDING}'='{mark}')")
     dropped = _replace(spark, name, layout, rows, touched, partitions)
-    return {"rewritten": len(partitions) - dropped, "dropped": dropped}
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{PENDING}')")
+    return {"rewritten": rewritten - dropped, "dropped": dropped}
+
+
+def _stage_in(df: DataFrame, path: str) -> DataFrame:
+    """Add ``df`` to the staged rows at ``path``; all of them."""
+    df.write.mode("append").option("compression", "snappy").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scd2_table(
@@ -282,9 +340,10 @@ def scd2_table(
 ) -> bool:
     """Type-2 step on a stored dimension; ``False`` when nothing changed.
 
-    Reads and rewrites open versions only.  Closed versions are appended to, so
-    the cost does not grow with the length of the history.
+    Rewrites partitions of open versions only.  Closed versions are appended to; of
+    those stored, only ``customer_key`` is read, so that a repeated run closes none twice.
     """
+    finish_pending(spark, name)
     layout = partition_columns(spark, name)
     table = spark.table(name)
     current = table.where("is_current")
@@ -346,6 +405,7 @@ def compact_table(
     shuffle blocks of ``max_bytes``: one file per small partition, several for a
     large one, whose Parquet form is smaller than the block.
     """
+    finish_pending(spark, name)
     plan = stage(compaction_plan(table_files(spark, name), ["partition"], max_bytes, min_files), "compact-plan")
     # Metadata: one folder name per partition to rewrite.
     folders = [row["partition"] for row in plan.select("partition").collect()]

@@ -39,6 +39,10 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/data/v={newest}")
 
 
+NTZ_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def export_csv(df: DataFrame, path: str) -> None:
-    """Headered CSV export, used for storage metrics."""
-    df.write.option("header", "true").csv(path)
+    """Headered CSV export, used for storage metrics; times keep their microseconds."""
+    df.write.options(
+        header="true", timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", timestampNTZFormat=NTZ_TEXT).csv(path)

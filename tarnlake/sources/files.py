@@ -123,6 +123,19 @@ def read_csv_by_header(
     return strict(split_csv_by_header(spark, path, key_col, columns))
 
 
+def split_all_columns(spark: SparkSession, path: str | list[str], glob: str | None = None) -> ByHeader:
+    """``split_csv_by_header`` for every column that some file's header names; ``glob`` limits the file names."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    lines = text_lines(reader, path)
+    headers = read_headers(lines)
+    # Metadata only: the distinct column names over all headers reach the driver.
+    found = headers.select(F.explode("names").alias("name")).where("name != ''").distinct().orderBy("name")
+    names = [row["name"] for row in found.collect()]
+    if not names:
+        raise ValueError(f"no header below {path}")
+    return split_by_header(lines, headers, names)
+
+
 def strict(parsed: ByHeader) -> DataFrame:
     """The rows, provided that no line was rejected."""
     odd = parsed.rejected.first()
@@ -193,15 +206,9 @@ def discover_schema(spark: SparkSession, path: str, table: str, fmt: str = "csv"
         partitions = set(_partition_names(spark, path))
         rows = [(table, f.name, f.dataType.simpleString(), f.name in partitions) for f in found.schema.fields]
         return spark.createDataFrame(rows, "`table` string, `column` string, type string, is_partition boolean")
-    lines = text_lines(spark.read, path)
-    headers = read_headers(lines)
-    # Metadata only: the distinct column names over all headers reach the driver.
-    found = headers.select(F.explode("names").alias("name")).where("name != ''").distinct().orderBy("name")
-    names = [row["name"] for row in found.collect()]
-    if not names:
-        raise ValueError(f"no header below {path}")
     partitions = _partition_names(spark, path)
-    cells = strict(split_by_header(lines, headers, names))
+    parsed = split_all_columns(spark, path)
+    names, cells = parsed.rows.columns, strict(parsed)
     types = [("bigint", "bigint"), ("double", "double"), ("timestamp", "timestamp")]
     checks = [
         F.count_if(F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(kind).isNull()).alias(f"{kind}{i}")

@@ -272,3 +272,42 @@ def test_stream_reads_each_file_once(spark, name, tmp_path):
     assert rows["T1"].amount == 99.0  # the first file was not read again
     assert (rows["T2"].device_type, rows["T2"].amount, rows["T2"].region_code) == ("iOS", 5.0, None)
     assert set(rows) == {"T1", "T2"}
+
+
+@pytest.mark.parametrize("step", range(4))
+def test_interrupted_upsert_is_finished_by_the_next_write(spark, name, monkeypatch, step):
+    """Lost before any write, after the overwrite, after the drop, and after the append."""
+    merge_transactions(spark, raw(
+        spark, ("a", "1", "US", "2026-01-01T10:00:00"), ("b", "2", "US", "2026-01-02T10:00:00"),
+        ("c", "3", "EU", "2026-01-03T10:00:00")), name)
+    # b moves to the partition of c, d is new in a partition of its own.
+    batch = raw(spark, ("b", "20", "EU", "2026-01-03T11:00:00"), ("d", "4", "US", "2026-01-04T10:00:00"))
+    calls, insert, drop = [], tables._insert, tables._drop_partitions
+
+    def lose(work, place):
+        def run(*args, **options):
+            if step in place[:1]:
+                raise RuntimeError("lost")
+            work(*args, **options)
+            if step in place[1:]:
+                raise RuntimeError("lost")
+        return run
+
+    def inserting(*args, **options):
+        calls.append(1)
+        return lose(insert, [0, 1] if len(calls) == 1 else [9, 3])(*args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_insert", inserting)
+        patch.setattr(tables, "_drop_partitions", lose(drop, [9, 2]))
+        with pytest.raises(RuntimeError):
+            merge_transactions(spark, batch, name)
+    # c, which was not in the batch, is never out of sight.
+    assert stored(spark, name)["c"].amount == 3.0
+    assert tables.finish_pending(spark, name) is True
+    assert tables.finish_pending(spark, name) is False
+    for _ in range(2):
+        out = tables.read_table(spark, name, schemas.TRANSACTIONS).collect()
+        assert sorted((r.transaction_id, r.amount, r.region_code) for r in out) == [
+            ("a", 1.0, "US"), ("b", 20.0, "EU"), ("c", 3.0, "EU"), ("d", 4.0, "US")]
+        merge_transactions(spark, batch, name)
