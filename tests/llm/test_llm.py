@@ -15,8 +15,8 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from parity.compare import compare, connect
 from tarnlake.llm import (
-    components, decontaminate, langid, line_frequency, line_windows, lm_score, nbsvm, oracles, packing, queries, simhash,
-    toxicity, url_cascade)
+    components, decontaminate, langid, line_frequency, line_windows, lm_score, nbsvm, near_copies, oracles, packing,
+    queries, simhash, toxicity, url_cascade)
 
 SF = "/root/testdata/sf0.001"
 ODD = "doc_id long, text string, source string, label int, row string, `__gone` int, words int"
@@ -352,3 +352,48 @@ def test_pipeline_against_plain_stages(spark, docs):
     assert plain_components(prints) == {i: i for i in left}
     packed = corpus_pipeline.run(spark, SF)
     assert {r.doc_id for r in packed.collect()} == set(left)
+
+
+def plain_similarity(a, b):
+    a, b = ({" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split()))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("hubs", [1, None])
+def test_near_copies_at_similarity_of_four_fifths(spark, hubs):
+    random = np.random.default_rng(3)
+    texts = {}
+    for group in range(12):
+        base = [f"w{x}" for x in random.integers(0, 5000, 300)]
+        for member in range(12):
+            own = list(base)
+            for at in random.choice(300, int(random.integers(1, 16)), replace=False):
+                own[at] = f"x{random.integers(0, 5000)}"
+            texts[100 * group + member] = " ".join(own)
+    root = {d: d for d in texts}
+
+    def top(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+    far = 0
+    for a in texts:
+        for b in texts:
+            if a < b and plain_similarity(texts[a], texts[b]) >= 0.8:
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+                far += (plain_fingerprint(texts[a]) ^ plain_fingerprint(texts[b])).bit_count() > 3
+    assert far > 50  # pairs that three bits of 64 do not reach
+    d = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
+    kept = near_copies.keep_one(d, hubs=hubs) if hubs else corpus_pipeline.drop_near_duplicates(spark, d, SF)
+    kept = kept.collect()
+    assert sorted(r.doc_id for r in kept) == sorted({top(i) for i in texts})
+    assert any(r.doc_id % 100 for r in kept)  # less similar texts of a group stay
+
+
+def test_near_copies_corner_cases(spark, odd):
+    kept = near_copies.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert sorted((r.doc_id or 0, r.text[:3] if r.text else r.text) for r in kept.collect()) == [
+        (0, "x y"), (1, "a b"), (1, "ano"), (2, None), (5, "w0 "), (7, "l o"), (8, "l o")]
+    assert near_copies.keep_one(odd.limit(0)).count() == 0
