@@ -1,10 +1,14 @@
 """Cross-entropy difference: how much better a target model predicts a document than a matched background model.
 
-Both are bigram models over one vocabulary, with the same smoothing, and the
-background counts are scaled to the target's number of tokens.  Counts cover all
-documents.  The vocabulary is the ``VOCABULARY`` most frequent words; other words
-share one id.  Bigrams are counted in ``BUCKETS`` hashed cells, so the model that
-scores documents in one pass has the same size for any corpus.
+Both are bigram models over all words of the corpus, with the same smoothing, and
+the background counts are scaled to the target's number of tokens.  Counts cover all
+documents, words and bigrams: they are stored tables with a row for each word and
+each (history, word), which grow with the corpus, and documents are scored by joining
+their distinct bigrams to them.  A word is known by its 64-bit hash.
+
+``train`` and ``score`` are the bounded form, for a caller that wants a model of one
+size: the ``size`` most frequent words, others sharing one id, and bigrams counted in
+``buckets`` hashed cells.  ``score_against`` takes it only if told such a size.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ VOCABULARY, BUCKETS = 60_000, 1 << 20
 # Weight of the unigram model, in tokens of history.
 SMOOTHING = 50.0
 FLUSH_WORDS, CACHE_WORDS = 300_000, 300_000
+# Tokens held before a task sums its bigrams: 16 bytes each, some copies while they are sorted.
+FLUSH_TOKENS = 2_000_000
 
 
 def word_hash(word: bytes) -> int:
@@ -175,6 +181,108 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         "doc_id long, n_tokens long, target_loss double, background_loss double, score double", make)
 
 
-def score_against(docs: DataFrame, labels: DataFrame, is_target: Column, **options) -> DataFrame:
-    """Scores of all documents against those whose label row fulfils ``is_target``."""
-    return score(docs, train(docs, labels.where(is_target), **options))
+class Hashes(dict):
+    """Hashes of words, a bounded number of them held."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        value = self[word] = word_hash(word)
+        return value
+
+    def pairs(self, text: bytes | None) -> np.ndarray:
+        """One row a token: the hashes of the word before it, of an empty word for the first, and of its own."""
+        words = [b"", *(text or b"").lower().split()]
+        own = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.column_stack([own[:-1], own[1:]])
+
+
+def distinct(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different rows of ``pairs`` and how often each occurs."""
+    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+    first = np.flatnonzero(np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)]) if len(pairs) else np.zeros(0, np.int64)
+    return pairs[first], np.diff(np.r_[first, len(pairs)])
+
+
+class CountAllPairs:
+    """Bigrams of a task by target and background, summed whenever many tokens are held."""
+
+    def __init__(self):
+        self.hashes, self.held, self.n = Hashes(), ([], []), 0
+
+    def __call__(self, target, texts):
+        for is_target, text in zip(target, texts):
+            pairs = self.hashes.pairs(text)
+            self.held[bool(is_target)].append(pairs)
+            self.n += len(pairs)
+        return self.finish() if self.n > FLUSH_TOKENS else {"history": [], "word": [], "background": [], "target": []}
+
+    def finish(self):
+        parts = [distinct(np.concatenate(h or [np.zeros((0, 2), np.int64)])) for h in self.held]
+        self.held, self.n = ([], []), 0
+        pairs, none = np.concatenate([p for p, _ in parts]), [np.zeros(len(n), np.int64) for _, n in parts]
+        return {"history": pairs[:, 0], "word": pairs[:, 1], "background": np.concatenate([parts[0][1], none[1]]),
+                "target": np.concatenate([none[0], parts[1][1]])}
+
+
+def pair_losses(docs: DataFrame, targets: DataFrame) -> DataFrame:
+    """Stored ``history, word, background_loss, target_loss`` of every bigram of ``docs``, in nats."""
+    ids = targets.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(True))
+    ids = sent_whole(stage(ids, "lm-targets"))
+    rows = docs.select("doc_id", "text").join(ids, "doc_id", "left")
+    sides = ["background", "target"]
+    sums = [F.sum(s).alias(s) for s in sides]
+    counts = map_batches(
+        rows, ["target", "text"], "history long, word long, background long, target long", CountAllPairs)
+    pairs = stage(counts.groupBy("history", "word").agg(*sums), "lm-pairs")
+    words = stage(pairs.groupBy("word").agg(*sums), "lm-words")
+    histories = stage(pairs.groupBy("history").agg(*sums), "lm-histories")
+    total = words.agg(F.count("*").alias("words"), *sums).first()
+    tokens = {s: total[s] or 0 for s in sides}
+    # Matched: as many background tokens as target tokens.
+    scale = {"background": tokens["target"] / tokens["background"] if all(tokens.values()) else 1.0, "target": 1.0}
+    unigram = words.select("word", *[
+        ((F.lit(scale[s]) * F.col(s) + 1) / F.lit(scale[s] * tokens[s] + total["words"])).alias(f"{s}_unigram") for s in sides])
+    history = histories.select("history", *[(F.lit(scale[s]) * F.col(s)).alias(f"{s}_history") for s in sides])
+    found = pairs.join(sent_whole(stage(unigram, "lm-unigrams")), "word").join(
+        sent_whole(stage(history, "lm-scaled")), "history")
+    return stage(found.select("history", "word", *[
+        (-F.log((F.lit(scale[s]) * F.col(s) + SMOOTHING * F.col(f"{s}_unigram"))
+                / (F.col(f"{s}_history") + SMOOTHING))).alias(f"{s}_loss") for s in sides]), "lm-losses")
+
+
+def score_all(docs: DataFrame, targets: DataFrame) -> DataFrame:
+    """``doc_id, n_tokens, target_loss, background_loss, score`` as of ``score``, by the counts of all words and bigrams.
+
+    Equal texts have equal losses, so sums go by the hash of the text.
+    """
+    def pairs():
+        hashes = Hashes()
+
+        def work(keys, texts):
+            parts = [distinct(hashes.pairs(t)) for t in texts]
+            both = np.concatenate([p for p, _ in parts])
+            return {"row": np.repeat(np.array(keys, np.int64), [len(n) for _, n in parts]), "history": both[:, 0],
+                    "word": both[:, 1], "n": np.concatenate([n for _, n in parts])}
+        return work
+
+    def lengths():
+        return lambda ids, keys, texts: {
+            "doc_id": ids, "row": keys, "n_tokens": [len((t or b"").split()) for t in texts]}
+
+    texts = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
+    own = map_batches(texts, ["row", "text"], "row long, history long, word long, n int", pairs)
+    sums = own.join(pair_losses(docs, targets), ["history", "word"]).groupBy("row").agg(
+        F.sum("n").alias("n"), *[F.sum(F.col("n") * F.col(f"{s}_loss")).alias(s) for s in ("target", "background")])
+    sums = stage(sums.select("row", *[
+        (F.col(s) / F.col("n")).alias(f"{s}_loss") for s in ("target", "background")]), "lm-sums")
+    rows = stage(map_batches(texts, ["doc_id", "row", "text"], "doc_id long, row long, n_tokens long", lengths), "lm-rows")
+    return rows.join(sums, "row", "left").select(
+        "doc_id", "n_tokens", "target_loss", "background_loss",
+        F.coalesce(F.col("target_loss") - F.col("background_loss"), F.lit(0.0)).alias("score"))
+
+
+def score_against(docs: DataFrame, labels: DataFrame, is_target: Column, **bounds) -> DataFrame:
+    """Scores of all documents against those whose label row fulfils ``is_target``; ``bounds`` as in ``train``."""
+    targets = labels.where(is_target)
+    return score(docs, train(docs, targets, **bounds)) if bounds else score_all(docs, targets)

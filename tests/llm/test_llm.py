@@ -327,6 +327,38 @@ def test_language_scores_match_brute_force(spark, docs):
         assert abs(got[d].score - (loss[1] - loss[0])) < 1e-6
 
 
+def test_language_scores_count_every_word_and_bigram(spark):
+    """More words than any fixed vocabulary: words met once or twice keep counts of their own."""
+    random = np.random.default_rng(7)
+    texts = {i: " ".join(f"w{x}" for x in random.integers(0, 200_000, 500)) for i in range(240)}
+    texts |= {1000: "", 1001: None, 1002: "w1 W1\tw1", 1003: texts[5], 1004: "only here"}
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(240)], "doc_id long, quality int")
+    got = by_id(lm_score.score_against(d, labels, F.col("quality") == 1))
+    pair, uni, hist = [Counter(), Counter()], [Counter(), Counter()], [Counter(), Counter()]
+    ids = {i: (t or "").lower().split() for i, t in texts.items()}
+    for i, own in ids.items():
+        k = i < 240 and i % 3 == 0
+        for a, b in zip(["", *own], own):
+            pair[k][a, b] += 1
+            uni[k][b] += 1
+            hist[k][a] += 1
+    n_words = len(set(uni[0]) | set(uni[1]))
+    assert n_words > lm_score.VOCABULARY and set(got) == set(ids)
+    scale = [sum(uni[1].values()) / sum(uni[0].values()), 1]
+    for i, own in ids.items():
+        r = got[i]
+        assert r.n_tokens == len(own)
+        if not own:
+            assert (r.target_loss, r.background_loss, r.score) == (None, None, 0)
+            continue
+        loss = [np.mean([-np.log((scale[k] * pair[k][a, b] + 50 * (scale[k] * uni[k][b] + 1) / (
+            scale[k] * sum(uni[k].values()) + n_words)) / (scale[k] * hist[k][a] + 50)) for a, b in zip(["", *own], own)])
+            for k in (0, 1)] if i in (0, 1, 5, 239, 1002, 1003, 1004) else None
+        if loss:
+            assert abs(r.background_loss - loss[0]) < 1e-9 and abs(r.target_loss - loss[1]) < 1e-9
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     rows = queries.op7_nbsvm(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
