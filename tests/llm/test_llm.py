@@ -429,3 +429,23 @@ def test_near_copies_corner_cases(spark, odd):
     assert sorted((r.doc_id or 0, r.text[:3] if r.text else r.text) for r in kept.collect()) == [
         (0, "x y"), (1, "a b"), (1, "ano"), (2, None), (5, "w0 "), (7, "l o"), (8, "l o")]
     assert near_copies.keep_one(odd.limit(0)).count() == 0
+
+
+def test_passages_of_one_or_two_lines(spark):
+    """Three-line windows leave them; near copies catch them only where they are most of a text."""
+    random = np.random.default_rng(11)
+
+    def line(n):
+        return " ".join(f"w{x}" for x in random.integers(0, 100_000, n))
+    most, part, first, second, short = line(200), line(60), line(40), line(40), line(60)
+    texts = {}
+    for k in (0, 1):
+        texts[10 + k] = "\n".join([line(3), most, line(3)])
+        texts[20 + k] = "\n".join([line(60), part, line(60)])
+        texts[30 + k] = "\n".join([line(60), first, second, line(60)])
+        texts[40 + k] = short
+    d = spark.createDataFrame([(i, t, len(t)) for i, t in texts.items()], "doc_id long, text string, n_chars int")
+    cleaned = line_windows.clean(d)
+    assert {r.doc_id: r.text for r in cleaned.collect()} == texts
+    left = corpus_pipeline.drop_near_duplicates(spark, cleaned, SF)
+    assert sorted(r.doc_id for r in left.collect()) == [10, 20, 21, 30, 31, 40]
