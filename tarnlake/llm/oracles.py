@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tarnlake.llm.conversation_trie import FAMILY, SHARED_TURNS
+from tarnlake.llm.jaccard_join import PERCENT, WIDTH
 from tarnlake.llm.line_frequency import KEPT_PERCENT, KEPT_WORDS, MAX_DOCUMENTS
 from tarnlake.llm.queries import LISTED, RULES
 
@@ -82,5 +84,47 @@ ids AS (SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS s
 SELECT doc_id, len(w) AS n_words, coalesce(cover.n, 0) AS n_hit, coalesce(ids.n, 0) AS n_items,
     sha256(coalesce(s, '')) AS items_sha256, coalesce(cover.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN cover USING (r) LEFT JOIN ids USING (r)
+""",
+    "op11_jaccard_join": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[]
+    WHEN len(w) < {WIDTH} THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - {WIDTH} + 2), lambda i: array_to_string(w[i:i + {WIDTH} - 1], ' ')) END)) AS s FROM d),
+c AS (SELECT s, min(doc_id) AS k, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
+p AS (SELECT k, n, unnest(s) AS g FROM c),
+shared AS (SELECT a.k AS x, b.k AS y, a.n + b.n AS both, count(*) AS i FROM p a JOIN p b ON a.g = b.g AND a.k < b.k GROUP BY ALL),
+l AS (SELECT x, y FROM shared WHERE 100 * i >= {PERCENT} * (both - i)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+reach AS (SELECT x AS k, x AS t FROM e UNION SELECT reach.k, e.y FROM reach JOIN e ON reach.t = e.x),
+m AS (SELECT k, min(t) AS t FROM reach GROUP BY k)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(m.t, c.k, s.doc_id) AS component_id
+FROM s LEFT JOIN c ON s.s = c.s LEFT JOIN m ON c.k = m.k
+""",
+    "op12_conversation_trie": rf"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k, length(coalesce(text, '')) AS n
+    FROM conversations WHERE conv_id IS NOT NULL),
+-- The checksum of the decimal id, a bit at a time.
+c AS (SELECT conv_id, conv_id - conv_id % {FAMILY} AS base, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split(conv_id::VARCHAR, ''), lambda b: [ord(b)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384::BIGINT * (a & 1)) END),
+    4294967295::BIGINT) % {SHARED_TURNS} AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, p, k, n FROM c JOIN t ON t.conv_id = c.base AND p <= h
+    UNION ALL SELECT c.conv_id, p, k, n FROM c JOIN t ON t.conv_id = c.conv_id AND p > h),
+path AS (SELECT conv_id, coalesce(list(k ORDER BY p) FILTER (WHERE p IS NOT NULL), []) AS k,
+    coalesce(list(n ORDER BY p) FILTER (WHERE p IS NOT NULL), []) AS n FROM c LEFT JOIN r USING (conv_id) GROUP BY conv_id),
+x AS (SELECT conv_id, unnest(range(0, len(k) + 1)) AS d, k, n FROM path),
+nodes AS (SELECT k[1:d] AS k, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(CASE WHEN d = 0 THEN 0 ELSE n[d] END) AS n,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(k) = d), '')) AS ends_sha256
+    FROM x GROUP BY k[1:d], d),
+kids AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+up AS (SELECT nodes.k[1:a] AS k, sum(CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_leaves,
+    sum((n_convs - 1) * nodes.n)::BIGINT AS saved_tokens
+    FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM nodes) AS nodes LEFT JOIN kids ON nodes.k = kids.k GROUP BY ALL)
+SELECT nodes.conv_id, nodes.d AS depth, above.conv_id AS parent_conv_id, nodes.n_convs, coalesce(kids.n, 0) AS n_children,
+    n_leaves, saved_tokens, nodes.ends_sha256
+FROM nodes JOIN up ON nodes.k = up.k LEFT JOIN kids ON nodes.k = kids.k
+LEFT JOIN nodes AS above ON nodes.d > 0 AND above.k = nodes.k[1:nodes.d - 1] AND above.d = nodes.d - 1
 """,
 }

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.llm import (
-    decontaminate, langid, line_frequency, line_windows, lm_score, nbsvm, packing, simhash, toxicity, url_cascade)
+    conversation_trie, decontaminate, jaccard_join, langid, line_frequency, line_windows, lm_score, nbsvm, packing,
+    simhash, toxicity, url_cascade, whitening)
 from tarnlake.llm.common import load
 
 # Allow and block rules, and words that put a host on the block list.
@@ -75,7 +76,20 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(load(spark, folder, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.trie_nodes(conversation_trie.rebuilt(load(spark, folder, "conversations")))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(load(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity, op2_simhash, op3_language, op4_line_frequency, op5_lm_score, op6_packing, op7_nbsvm,
-        op8_line_windows, op9_url_cascade, op10_decontaminate)}
+        op8_line_windows, op9_url_cascade, op10_decontaminate, op11_jaccard_join, op12_conversation_trie,
+        op13_whitening)}
