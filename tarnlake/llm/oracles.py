@@ -93,8 +93,8 @@ s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN []::VARCH
     ELSE list_transform(range(1, len(w) - {WIDTH} + 2), lambda i: array_to_string(w[i:i + {WIDTH} - 1], ' ')) END)) AS s FROM d),
 c AS (SELECT s, min(doc_id) AS k, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
 p AS (SELECT k, n, unnest(s) AS g FROM c),
-shared AS (SELECT a.k AS x, b.k AS y, a.n + b.n AS both, count(*) AS i FROM p a JOIN p b ON a.g = b.g AND a.k < b.k GROUP BY ALL),
-l AS (SELECT x, y FROM shared WHERE 100 * i >= {PERCENT} * (both - i)),
+shared AS (SELECT a.k AS x, b.k AS y, a.n + b.n AS sizes, count(*) AS i FROM p a JOIN p b ON a.g = b.g AND a.k < b.k GROUP BY ALL),
+l AS (SELECT x, y FROM shared WHERE 100 * i >= {PERCENT} * (sizes - i)),
 e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
 reach AS (SELECT x AS k, x AS t FROM e UNION SELECT reach.k, e.y FROM reach JOIN e ON reach.t = e.x),
 m AS (SELECT k, min(t) AS t FROM reach GROUP BY k)
