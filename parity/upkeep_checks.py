@@ -15,7 +15,7 @@ from tarnlake import schemas
 from tarnlake.functions.columns import location_parts
 from tarnlake.operators import star, upkeep
 from tarnlake.session import new_path
-from tarnlake.sinks import tables, versions
+from tarnlake.sinks import compaction, tables, versions
 from tarnlake.sources import files
 from tarnlake.streaming.ingest import ingest_stream
 
@@ -191,9 +191,9 @@ def json_customers(t):
     return files.read_customers(t.spark, root).select("customer_id", "first_name", "email", "ssn", "region_code")
 
 
-def new_table(t, schema, layout):
+def new_table(t, schema, layout, **options):
     name = "parity_" + posixpath.basename(new_path(t.spark, "t")).replace("-", "_")
-    tables.create_table(t.spark, name, schema, layout, location=new_path(t.spark, "table"))
+    tables.create_table(t.spark, name, schema, layout, location=new_path(t.spark, "table"), **options)
     return name
 
 
@@ -235,21 +235,45 @@ def upsert_stored_table(t):
 @check(f"""SELECT event_id, ts, event_type FROM events
     WHERE ts >= TIMESTAMP '2024-01-02 12:00:00' AND ts < TIMESTAMP '{CUT}'""")
 def stored_between(t):
-    root = new_path(t.spark, "days")
-    tables.write_partitioned(
-        t("events"), root, ["event_day", "event_type"], day_columns={"event_day": "ts"})
-    rows = tables.between_time(t.spark.read.parquet(root), "2024-01-02 12:00:00", CUT, "ts", "event_day")
-    return rows.select("event_id", "ts", "event_type")
+    """A table whose days come from a column of its own."""
+    name = new_table(t, t("events").schema, ["event_day", "event_type"], day_columns={"event_day": "ts"})
+    tables.append_table(t.spark, name, t("events"))
+    return tables.table_between(t.spark, name, "2024-01-02 12:00:00", CUT, "ts").select("event_id", "ts", "event_type")
+
+
+@check("""SELECT date_trunc('month', ts)::DATE AS event_month, count(*) AS n FROM events
+    WHERE ts >= TIMESTAMP '2024-01-02 12:00:00' GROUP BY 1""")
+def stored_months(t):
+    """A table partitioned by month, after a merge that moves nothing."""
+    name = new_table(t, t("events").schema, ["event_month"], day_columns={"event_month": "month(ts)"})
+    tables.append_table(t.spark, name, t("events").where("event_id % 2 = 0"))
+    tables.upsert_table(t.spark, name, t("events"), ["event_id"], ["value"])
+    rows = t.spark.table(name).where("ts >= TIMESTAMP_NTZ '2024-01-02 12:00:00'")
+    return rows.groupBy("event_month").agg(F.count(F.lit(1)).alias("n"))
 
 
 @check("""SELECT transaction_id, amount, region_code FROM v_txn""")
 def compacted_table(t):
+    """Each region has a file that is too large to be merged, and eight small ones."""
     name = new_table(t, fields(schemas.TRANSACTIONS, ["transaction_id", "amount", "region_code"]), ["region_code"])
-    t("v_txn").select("transaction_id", "amount", "region_code").repartition(8).write.insertInto(name)
-    tables.compact_table(t.spark, name)
+    rows = t("v_txn").select("transaction_id", "amount", "region_code", "o_orderkey")
+    for part in (rows.where("o_orderkey % 8 <> 0").coalesce(1), rows.where("o_orderkey % 8 = 0").repartition(8)):
+        part.drop("o_orderkey").write.insertInto(name)
+    sizes = tables.table_files(t.spark, name).groupBy("partition").agg(F.max("length").alias("n"))
+    compaction.compact_table(t.spark, name, max_bytes=sizes.agg(F.min("n")).first()[0])
     return tables.read_table(t.spark, name)
 
 
+@check("""WITH f AS (SELECT regexp_replace(path, '/[^/]*$', '') AS folder, path, length FROM v_files WHERE length < 500),
+    g AS (SELECT *, CAST(floor((sum(length) OVER (PARTITION BY folder ORDER BY length, path
+        ROWS UNBOUNDED PRECEDING) - length) / 500) AS BIGINT) AS "group", count(*) OVER (PARTITION BY folder) AS n FROM f)
+    SELECT folder, path, "group" FROM g WHERE n >= 5
+    QUALIFY count(*) OVER (PARTITION BY folder, "group") > 1""")
+def compaction_groups(t):
+    listed = t("v_files").withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
+    return upkeep.compaction_groups(listed, ["folder"], 500).select("folder", "path", "group")
+
+
 @check("""SELECT region_code, count(*) AS n FROM v_txn GROUP BY region_code""")
 def published_version(t):
     root = new_path(t.spark, "mart")

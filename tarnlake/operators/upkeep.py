@@ -96,6 +96,25 @@ def compaction_plan(
     )
 
 
+def compaction_groups(
+    files: DataFrame, by: Sequence[str], max_bytes: int = COMPACT_MAX_BYTES,
+    min_files: int = COMPACT_MIN_FILES, size: str = "length", path: str = "path",
+) -> DataFrame:
+    """The files to merge, with the ``group`` of its partition that each goes into.
+
+    Files below ``max_bytes`` of a partition with at least ``min_files`` of them are laid
+    end to end, smallest first, and cut every ``max_bytes``: a group is that large, give or
+    take a file.  A file alone in its group is left out.
+    """
+    small = files.where(F.col(size) < max_bytes)
+    part = Window.partitionBy(*by)
+    ends = F.sum(size).over(part.orderBy(size, path).rowsBetween(Window.unboundedPreceding, 0))
+    grouped = small.withColumns({
+        "group": F.floor((ends - F.col(size)) / max_bytes).cast("long"), "__files": F.count(F.lit(1)).over(part)})
+    together = grouped.withColumn("__together", F.count(F.lit(1)).over(Window.partitionBy(*by, "group")))
+    return together.where((F.col("__files") >= min_files) & (F.col("__together") > 1)).drop("__files", "__together")
+
+
 def head_sample(lines: DataFrame, n: int, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first ``n`` rows of each group (a sampling operator)."""
     first = Window.partitionBy(*by).orderBy(*order)

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.operators.upkeep import RETENTION_DAYS, expired_versions
-from tarnlake.sinks.tables import compact_table, table_orphans
+from tarnlake.sinks.compaction import compact_table
+from tarnlake.sinks.tables import table_orphans
 from tarnlake.sinks.versions import list_versions
 from tarnlake.sources.policy import local_rows
 

@@ -1,8 +1,8 @@
-"""Stored tables: create, partition-scoped upsert, SCD-2 step, compaction.
+"""Stored tables: create, partition-scoped upsert, SCD-2 step.
 
-Tables are Parquet tables of the Spark catalogue.  A day partition is a derived
-column such as ``transaction_day``; ``between_time`` filters on both the time and
-the day, so that other days are not read.
+Tables are Parquet tables of the Spark catalogue.  Partitions derived from a time, such
+as ``transaction_day``, are kept with the table (``derived``), so that every write
+fills them and ``table_between`` reads no other days.
 
 Only partitions holding a matched row are rewritten; everything else is appended.
 New files are first staged in the shared folder and then moved in by
@@ -29,9 +29,12 @@ from pyspark.sql import types as T
 from tarnlake import schemas
 from tarnlake.functions.columns import with_missing
 from tarnlake.operators.star import changed_rows, new_versions
-from tarnlake.operators.upkeep import COMPACT_MAX_BYTES, COMPACT_MIN_FILES, compaction_plan, orphan_files
+from tarnlake.operators.upkeep import orphan_files
 from tarnlake.operators.upsert import dedupe_latest, not_in, require_unique, upsert
 from tarnlake.session import fits_broadcast, new_path, stage
+from tarnlake.sinks import exchange
+from tarnlake.sinks.derived import (
+    PROPERTY, add_derived, parse_all, partition_columns, properties, span, table_derived, to_property)
 from tarnlake.sources.files import file_inventory
 
 log = logging.getLogger(__name__)
@@ -42,46 +45,42 @@ WRITE_BYTES = 256 << 20
 MAX_LISTED_VALUES = 1000
 # Table property that names the staged rows of a write in progress.
 PENDING = "tarnlake.pending"
-
-
-def add_days(df: DataFrame, layout: Sequence[str], day_columns: Mapping[str, str] = schemas.DAY_COLUMNS) -> DataFrame:
-    """``df`` with the derived day columns of ``layout``."""
-    wanted = {day: F.to_date(F.col(time)) for day, time in day_columns.items() if day in layout}
-    return df.withColumns(wanted) if wanted else df
+# In that property: the folder of an exchange of files.
+EXCHANGE = "exchange"
 
 
 def create_table(
     spark: SparkSession, name: str, schema: T.StructType, layout: Sequence[str],
     day_columns: Mapping[str, str] = schemas.DAY_COLUMNS, location: str | None = None,
 ) -> None:
-    """Create the database and the partitioned table when they are absent."""
+    """Create the database and the partitioned table when they are absent.
+
+    ``day_columns`` maps partition columns to the time they are derived from, as in
+    ``derived``; those of ``layout`` are kept with the table.
+    """
     database = name.split(".")[0] if "." in name else None
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     if spark.catalog.tableExists(name):
         return
-    partitions = [c for c in layout]
+    partitions, derived = list(layout), parse_all(day_columns, layout)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in partitions]
     fields += [
-        f"`{c}` {'date' if c in day_columns else schema[c].dataType.simpleString()}" for c in partitions
+        f"`{c}` {'date' if c in derived else schema[c].dataType.simpleString()}" for c in partitions
     ]
     by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partitions)})" if partitions else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(fields)}) USING parquet {by} "
         + (f"LOCATION '{location}' " if location else "") +
-        "TBLPROPERTIES ('parquet.compression'='snappy', "
+        f"TBLPROPERTIES ('parquet.compression'='snappy', '{PROPERTY}'='{to_property(derived)}', "
         f"'history.expire.max-snapshot-age-ms'='{schemas.SNAPSHOT_MAX_AGE_MS}')")
 
 
-def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-
-
 def read_table(spark: SparkSession, name: str, schema: T.StructType | None = None) -> DataFrame:
-    """The table's own columns, in schema order and without derived day columns."""
+    """The table's own columns, in schema order and without derived partition columns."""
     table = spark.table(name)
     if schema is None:
-        return table.drop(*schemas.DAY_COLUMNS)
+        return table.drop(*table_derived(spark, name))
     return table.select(*schema.names)
 
 
@@ -89,12 +88,16 @@ def between_time(
     df: DataFrame, low: str, high: str, time: str = "transaction_time", day: str = "transaction_day",
 ) -> DataFrame:
     """Rows with ``low <= time < high``; the added day bounds prune partitions."""
-    kind = df.schema[time].dataType
-    lo, hi = F.lit(low).cast(kind), F.lit(high).cast(kind)
-    rows = df.where((F.col(time) >= lo) & (F.col(time) < hi))
-    if day not in df.columns:
-        return rows
-    return rows.where((F.col(day) >= F.to_date(lo)) & (F.col(day) <= F.to_date(hi)))
+    return df.where(span(df, time, low, high, parse_all({day: time}, df.columns)))
+
+
+def table_between(spark: SparkSession, name: str, low: str, high: str, time: str = "transaction_time") -> DataFrame:
+    """A table's own columns of the rows with ``low <= time < high``.
+
+    The bounds are carried over to every partition column that is derived from ``time``.
+    """
+    table, derived = spark.table(name), table_derived(spark, name)
+    return table.where(span(table, time, low, high, derived)).drop(*derived)
 
 
 def _clustered(df: DataFrame, layout: Sequence[str]) -> DataFrame:
@@ -110,8 +113,8 @@ def write_partitioned(
     df: DataFrame, path: str, layout: Sequence[str], mode: str = "errorifexists",
     day_columns: Mapping[str, str] = schemas.DAY_COLUMNS,
 ) -> None:
-    """Write a Parquet folder tree partitioned by ``layout``, with derived days."""
-    rows = _clustered(add_days(df, layout, day_columns), layout)
+    """Write a Parquet folder tree partitioned by ``layout``, with derived partition columns."""
+    rows = _clustered(add_derived(df, parse_all(day_columns, layout)), layout)
     with _settings(df.sparkSession, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{WRITE_BYTES}b"}):
         rows.write.mode(mode).option("compression", "snappy").partitionBy(*layout).parquet(path)
 
@@ -165,7 +168,9 @@ def append_table(spark: SparkSession, name: str, rows: DataFrame) -> None:
     unknown = sorted(set(rows.columns) - set(table.columns))
     if unknown:
         raise ValueError(f"columns not in {name}: {unknown}")
-    _insert(spark, with_missing(add_days(rows, layout), table.schema), name, layout, overwrite=False)
+    derived = table_derived(spark, name)
+    own = with_missing(rows.drop(*derived), table.drop(*derived).schema)
+    _insert(spark, add_derived(own, derived), name, layout, overwrite=False)
 
 
 def _partition_list(df: DataFrame, layout: Sequence[str]) -> list[tuple]:
@@ -241,21 +246,24 @@ def _replace(
     return len(emptied)
 
 
-def _properties(spark: SparkSession, name: str) -> dict[str, str]:
-    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-
-
 def finish_pending(spark: SparkSession, name: str) -> bool:
-    """Put in place what an interrupted ``upsert_table`` had staged; ``False`` if there is nothing.
+    """Put in place what an interrupted upsert or compaction had staged; ``False`` if there is nothing.
 
     Partitions are replaced again, which changes nothing if they were; rows to append
     are left out where the table has their key.  Rows without a key are appended twice
     if the loss fell exactly between their append and the removal of the mark.
     """
-    text = _properties(spark, name).get(PENDING)
+    text = properties(spark, name).get(PENDING)
     if text is None:
         return False
     found = json.loads(text)
+    if EXCHANGE in found:
+        put, taken = exchange.carry_out(spark, found[EXCHANGE])
+        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{PENDING}')")
+        exchange.remove(spark, [found[EXCHANGE]])
+        spark.catalog.refreshTable(name)
+        log.info("%s: %d files in place of %d", name, put, taken)
+        return True
     layout = partition_columns(spark, name)
     schema = spark.table(name).schema
     rows = spark.read.schema(schema).parquet(f"{found['folder']}/rows")
@@ -282,7 +290,8 @@ def upsert_table(
         return {"rewritten": 0, "dropped": 0}
     layout = partition_columns(spark, name)
     table = spark.table(name)
-    own = [c for c in table.columns if c not in schemas.DAY_COLUMNS]
+    derived = table_derived(spark, name)
+    own = [c for c in table.columns if c not in derived]
     if on_duplicate == "latest":
         source = stage(dedupe_latest(source, keys, order_by), "upsert-latest")
     elif on_duplicate == "error":
@@ -291,7 +300,7 @@ def upsert_table(
 
     def merged(target: DataFrame) -> DataFrame:
         rows = upsert(target.select(*own), source, keys, update_cols, insert_cols, stored=True)
-        return add_days(rows, layout).select(*table.columns)
+        return add_derived(rows, derived).select(*table.columns)
 
     if not layout:
         _swap(spark, stage(merged(table), "upsert-rows"), name)
@@ -308,8 +317,7 @@ def upsert_table(
     rewritten = len(partitions)
     inside = table.where(_within(layout, partitions)) if partitions else table.where(F.lit(False))
     rows = _stage_in(merged(_in_partitions(inside, touched, layout, "left_semi")), f"{folder}/rows")
-    sources = {day: time for day, time in schemas.DAY_COLUMNS.items() if day in layout}
-    if partitions and {sources.get(c, c) for c in layout} & set(update_cols):
+    if partitions and {derived[c].source if c in derived else c for c in layout} & set(update_cols):
         # A partition that a matched row moves to is replaced together with the one it leaves.
         moved = _in_partitions(rows, touched, layout, "left_anti").join(
             matched.select(*keys).distinct(), list(keys), "left_semi")
@@ -325,6 +333,7 @@ def upsert_table(
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PENDING}'='{mark}')")
     dropped = _replace(spark, name, layout, rows, touched, partitions)
     spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{PENDING}')")
+    exchange.remove(spark, [folder])
     return {"rewritten": rewritten - dropped, "dropped": dropped}
 
 
@@ -380,42 +389,22 @@ def table_files(spark: SparkSession, name: str) -> DataFrame:
     return files.withColumn("partition", folder)
 
 
+def decoded(url: str) -> Column:
+    """``path`` of a file's address in the listing's spelling: not percent-encoded."""
+    return F.url_decode(F.replace(F.col(url), F.lit("+"), F.lit("%2B"))).alias("path")
+
+
+def one_spelling(files: DataFrame) -> DataFrame:
+    """``path`` with one slash after the scheme, however many it was listed with."""
+    return files.withColumn("path", F.regexp_replace("path", "^([a-zA-Z0-9+.-]+):/+", "$1:/"))
+
+
 def read_files(spark: SparkSession, name: str) -> DataFrame:
     """``path`` of the files that hold the rows a reader of the table sees."""
-    return spark.table(name).select(F.col("_metadata.file_path").alias("url")).distinct().select(
-        # The listing's spelling: not percent-encoded.
-        F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B"))).alias("path"))
+    return spark.table(name).select(decoded("_metadata.file_path")).distinct()
 
 
 def table_orphans(spark: SparkSession, name: str, older_than: Column, folder: str | None = None) -> DataFrame:
     """Files below ``folder``, by default the table's own, that the table does not read."""
-    def one_spelling(files: DataFrame) -> DataFrame:
-        return files.withColumn("path", F.regexp_replace("path", "^([a-zA-Z0-9+.-]+):/+", "$1:/"))
-
     listed = file_inventory(spark, folder or table_location(spark, name))
     return orphan_files(one_spelling(listed), one_spelling(read_files(spark, name)), older_than)
-
-
-def compact_table(
-    spark: SparkSession, name: str, max_bytes: int = COMPACT_MAX_BYTES, min_files: int = COMPACT_MIN_FILES,
-) -> DataFrame:
-    """Rewrite partitions with many small files; returns the plan that was carried out.
-
-    Only the folders of those partitions are read.  The write asks AQE for
-    shuffle blocks of ``max_bytes``: one file per small partition, several for a
-    large one, whose Parquet form is smaller than the block.
-    """
-    finish_pending(spark, name)
-    plan = stage(compaction_plan(table_files(spark, name), ["partition"], max_bytes, min_files), "compact-plan")
-    # Metadata: one folder name per partition to rewrite.
-    folders = [row["partition"] for row in plan.select("partition").collect()]
-    if folders:
-        table, root = spark.table(name), table_location(spark, name).rstrip("/")
-        small = spark.read.schema(table.schema).option("basePath", root).parquet(*[f"{root}/{f}" for f in folders])
-        rows = stage(small.select(*table.columns), "compact-rows")
-        layout = partition_columns(spark, name)
-        if layout:
-            _insert(spark, rows, name, layout, overwrite=True, block_bytes=max_bytes)
-        else:
-            _swap(spark, rows, name, max_bytes)
-    return plan

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnlake import schemas
+from tarnlake.sinks.derived import table_derived
 from tarnlake.sources.policy import local_rows
 
 
@@ -14,7 +14,7 @@ def catalog_columns(spark: SparkSession, databases: Sequence[str]) -> DataFrame:
     """``database, table, column`` of every table in the databases that exist.
 
     Listing is a catalogue call per table; only names are held by the driver.  A
-    table without columns gives one row with a NULL column.  Derived day partitions
+    table without columns gives one row with a NULL column.  Derived partitions
     are no governed columns and are left out.
     """
     rows = []
@@ -24,8 +24,8 @@ def catalog_columns(spark: SparkSession, databases: Sequence[str]) -> DataFrame:
         for table in spark.catalog.listTables(database):
             if table.isTemporary:
                 continue
-            columns = [
-                c for c in spark.catalog.listColumns(f"`{database}`.`{table.name}`")
-                if not (c.isPartition and c.name in schemas.DAY_COLUMNS)]
+            name = f"`{database}`.`{table.name}`"
+            derived = {} if table.tableType == "VIEW" else table_derived(spark, name)
+            columns = [c for c in spark.catalog.listColumns(name) if c.name not in derived]
             rows += [(database, table.name, c.name) for c in columns] or [(database, table.name, None)]
     return local_rows(spark, rows, ["database", "table", "column"])

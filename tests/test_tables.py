@@ -9,7 +9,8 @@ from tarnlake.operators.upsert import DuplicateKeyError
 from tarnlake.plans.ingest import ingest_customers, ingest_transactions, merge_transactions
 from tarnlake.plans.maintenance import maintain
 from tarnlake.plans.star import publish_mart, run_all, update_dimension, update_fact
-from tarnlake.sinks import tables, versions
+from tarnlake.sinks import compaction, exchange, tables, versions
+from tarnlake.sinks.compaction import compact_table
 from tarnlake.streaming.ingest import ingest_stream
 
 RAW = "transaction_id string, amount string, region_code string, transaction_time string"
@@ -104,13 +105,13 @@ def test_compaction_keeps_rows(spark, name, rows):
     wide.where("region_code = 'EU'").coalesce(1).write.insertInto(name)
     before, kept = rows(spark.table(name)), {
         r.path for r in tables.table_files(spark, name).where("partition LIKE '%EU%'").collect()}
-    plan = tables.compact_table(spark, name)
+    plan = compact_table(spark, name)
     assert [(r.partition, r.files, r.target_files) for r in plan.collect()] == [("region_code=US/", 6, 1)]
     assert rows(spark.table(name)) == before
     after = tables.table_files(spark, name)
     assert after.where("partition LIKE '%US%'").count() == 1
     assert kept == {r.path for r in after.where("partition LIKE '%EU%'").collect()}
-    assert tables.compact_table(spark, name).isEmpty()
+    assert compact_table(spark, name).isEmpty()
 
 
 def test_maintain_goes_on_after_a_failure(spark, name, tmp_path):
