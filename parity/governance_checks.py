@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 from parity.registry import check
 from tarnlake.operators import access, audit, lint, pii, tags
 from tarnlake.operators.upsert import upsert
-from tarnlake.plans.governance import TAG_COLUMNS, pii_scan, pii_scan_raw, reconcile_tags
+from tarnlake.plans.governance import TAG_COLUMNS, pii_scan, pii_scan_raw, reconcile_tags, scan_raw_folders
 from tarnlake.session import new_path
+from tarnlake.sinks.exchange import Folder
 from tarnlake.sources import policy
-from tarnlake.sources.files import read_audit_log
+from tarnlake.sources.files import file_inventory, read_audit_log
 
 PATTERNS = pii.CONTENT_PATTERNS
 KINDS = list(PATTERNS)
@@ -386,3 +387,48 @@ def pii_raw_json(t):
     root = new_path(t.spark, "raw") + "/people"
     t("v_customers").select(*CUSTOMER).write.json(root)
     return pii_scan_raw(t.spark, [root], "raw_db", tag_rows(t))
+
+
+def mixed_folder(t):
+    """Customers as .csv, .CSV and .json files in one folder, some lines unfit, and a file that is neither."""
+    root = new_path(t.spark, "raw") + "/people"
+    people = t("v_customers")
+    odd = F.when(F.col("c_custkey") % 5 == 0, F.concat_ws(",", "last_name", "ssn")).otherwise(F.col("last_name"))
+    for part, ending in ((1, ".csv"), (2, ".CSV")):
+        lines = people.where(F.col("c_custkey") % 3 == part).select(
+            F.concat_ws(",", "customer_id", "email", odd).alias("value"))
+        head = t.spark.createDataFrame([("who,contact,family",)], "value string")
+        # One file: the header is its first line.
+        write_lines(head.unionByName(lines), f"{root}/part={part}", ending)
+    record = F.to_json(F.struct(F.col("customer_id").alias("who"), F.col("ssn").alias("paper"), "phone_number"))
+    cut = F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit('{"who": '), "ssn")).otherwise(record)
+    write_lines(people.where(F.col("c_custkey") % 3 == 0).select(cut.alias("value")), f"{root}/part=0", ".json")
+    write_lines(people.select("email"), f"{root}/part=9", ".txt")
+    return root
+
+
+def write_lines(lines, folder, ending):
+    """Text files whose names have an ending of the caller's choice."""
+    lines.coalesce(1).write.text(folder)
+    move = Folder(lines.sparkSession, folder)
+    for path in [r["path"] for r in file_inventory(lines.sparkSession, folder).select("path").collect()]:
+        move.move(path, path.removesuffix(".txt") + ending)
+
+
+@check(f"""
+    SELECT {NAMED}, val AS value FROM v_tags
+    UNION ALL
+    SELECT 'raw_db', 'people', c, 'PII', 'direct' FROM (VALUES ('contact'), ('paper'), ('phone_number')) x(c)""")
+def pii_raw_mixed(t):
+    return pii_scan_raw(t.spark, [mixed_folder(t)], "raw_db", tag_rows(t))
+
+
+@check("""SELECT 'people' AS "table", kind, files, rejected, ssn_hits FROM (
+    SELECT 'csv' AS kind, 2 AS files, count(*) AS rejected, count(*) AS ssn_hits FROM v_customers
+        WHERE c_custkey % 3 <> 0 AND c_custkey % 5 = 0
+    UNION ALL SELECT 'json', 1, count(*), count(*) FROM v_customers WHERE c_custkey % 3 = 0 AND c_custkey % 7 = 0
+    UNION ALL SELECT 'other', 1, 0, 0)""")
+def pii_raw_rejected(t):
+    """How many lines fitted nowhere, and how many of them hold a number like an SSN."""
+    found = scan_raw_folders(t.spark, [mixed_folder(t)], "raw_db", tag_rows(t))
+    return found.report.select("table", "kind", "files", "rejected", "ssn_hits")

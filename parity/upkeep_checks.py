@@ -264,14 +264,13 @@ def compacted_table(t):
     return tables.read_table(t.spark, name)
 
 
-@check("""WITH f AS (SELECT regexp_replace(path, '/[^/]*$', '') AS folder, path, length FROM v_files WHERE length < 500),
-    g AS (SELECT *, CAST(floor((sum(length) OVER (PARTITION BY folder ORDER BY length, path
-        ROWS UNBOUNDED PRECEDING) - length) / 500) AS BIGINT) AS "group", count(*) OVER (PARTITION BY folder) AS n FROM f)
-    SELECT folder, path, "group" FROM g WHERE n >= 5
-    QUALIFY count(*) OVER (PARTITION BY folder, "group") > 1""")
+@check("""SELECT folder, path, "group" FROM (SELECT *, CAST(floor((sum(length) OVER (PARTITION BY folder ORDER BY length, path
+        ROWS UNBOUNDED PRECEDING) - length) / 536870912) AS BIGINT) AS "group", count(*) OVER (PARTITION BY folder) AS n
+      FROM (SELECT regexp_replace(path, '/[^/]*$', '') AS folder, path, length FROM v_files WHERE length < 536870912))
+    WHERE n >= 5 QUALIFY count(*) OVER (PARTITION BY folder, "group") > 1""")
 def compaction_groups(t):
     listed = t("v_files").withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
-    return upkeep.compaction_groups(listed, ["folder"], 500).select("folder", "path", "group")
+    return upkeep.compaction_groups(listed, ["folder"]).select("folder", "path", "group")
 
 
 @check("""SELECT region_code, count(*) AS n FROM v_txn GROUP BY region_code""")

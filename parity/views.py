@@ -61,11 +61,11 @@ VIEWS = {
           CASE WHEN event_type = 'click' THEN 'StopQueryExecution' ELSE 'StartQueryExecution' END event_name,
           CASE WHEN user_id % 2 = 0 THEN 'marketing_workgroup' ELSE 'finance_workgroup' END workgroup,
           CASE event_id % 5
-            WHEN 0 THEN 'SELECT * FROM conformed_db.transactions WHERE event_date = ''2026-05-18'''
-            WHEN 1 THEN 'SELECT customer_id, amount FROM conformed_db.transactions'
-            WHEN 2 THEN 'SELECT first_name, email FROM consumption_db.dim_customers WHERE region_code = ''APAC'''
-            WHEN 3 THEN '  SELECT c.* FROM consumption_db.dim_customers c  '
-            ELSE 'SELECT * FROM conformed_db.transactions' END sql_text,
+            WHEN 0 THEN 'SELECT * FROM conformed_db.transactions WHERE event_date BETWEEN ''2025-02-03'' AND ''2025-02-09'''
+            WHEN 1 THEN 'SELECT product_id, max(amount) FROM conformed_db.transactions GROUP BY product_id'
+            WHEN 2 THEN 'SELECT country, phone_number FROM consumption_db.dim_customers WHERE region_code IN (''ME'', ''EU'')'
+            WHEN 3 THEN '  SELECT d.* FROM consumption_db.dim_customers d  '
+            ELSE 'SELECT * FROM conformed_db.transactions ORDER BY amount' END sql_text,
           concat('{"bytesScanned":"', CAST(CAST(event_id % 997 AS BIGINT) * 200000000 AS STRING), '"}')
             additional_event_data,
           CASE event_type WHEN 'signup' THEN 'raw' WHEN 'purchase' THEN 'conformed' ELSE 'consumption' END zone

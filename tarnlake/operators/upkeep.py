@@ -124,8 +124,8 @@ def head_sample(lines: DataFrame, n: int, by: Sequence[str], order: Sequence[str
 def first_sample_file(
     files: DataFrame, by: Sequence[str], endings: Sequence[str] = (".csv", ".json"), path: str = "path",
 ) -> DataFrame:
-    """The first file of each group, in path order, with one of the ``endings``."""
+    """The first file of each group, in path order, with one of the ``endings``, in upper or lower case."""
     fits = F.lit(False)
     for ending in endings:
-        fits = fits | F.col(path).endswith(ending)
+        fits = fits | F.lower(path).endswith(ending.lower())
     return files.where(fits).groupBy(*by).agg(F.min(path).alias(path))
