@@ -391,8 +391,8 @@ def plain_similarity(a, b):
     return len(a & b) / len(a | b)
 
 
-@pytest.mark.parametrize("hubs", [1, None])
-def test_near_copies_at_similarity_of_four_fifths(spark, hubs):
+@pytest.mark.parametrize("growth", [2, None])
+def test_near_copies_at_similarity_of_four_fifths(spark, growth):
     random = np.random.default_rng(3)
     texts = {}
     for group in range(12):
@@ -417,7 +417,7 @@ def test_near_copies_at_similarity_of_four_fifths(spark, hubs):
                 far += (plain_fingerprint(texts[a]) ^ plain_fingerprint(texts[b])).bit_count() > 3
     assert far > 50  # pairs that three bits of 64 do not reach
     d = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
-    kept = near_copies.keep_one(d, hubs=hubs) if hubs else corpus_pipeline.drop_near_duplicates(spark, d, SF)
+    kept = near_copies.keep_one(d, growth=growth) if growth else corpus_pipeline.drop_near_duplicates(spark, d, SF)
     kept = kept.collect()
     assert sorted(r.doc_id for r in kept) == sorted({top(i) for i in texts})
     assert any(r.doc_id % 100 for r in kept)  # less similar texts of a group stay
