@@ -410,6 +410,8 @@ def mixed_folder(t):
 def write_lines(lines, folder, ending):
     """Text files whose names have an ending of the caller's choice."""
     lines.coalesce(1).write.text(folder)
+    if ending == ".txt":
+        return
     move = Folder(lines.sparkSession, folder)
     for path in [r["path"] for r in file_inventory(lines.sparkSession, folder).select("path").collect()]:
         move.move(path, path.removesuffix(".txt") + ending)

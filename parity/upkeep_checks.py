@@ -14,6 +14,7 @@ from parity.star_checks import CHANGED, DIM, NOW, SCD2, TXN, TXN_UPDATES, merged
 from tarnlake import schemas
 from tarnlake.functions.columns import location_parts
 from tarnlake.operators import star, upkeep
+from tarnlake.plans import star as plans_star
 from tarnlake.session import new_path
 from tarnlake.sinks import compaction, tables, versions
 from tarnlake.sources import files
@@ -293,3 +294,43 @@ def upsert_moved_rows(t):
     tables.append_table(t.spark, name, t("v_txn").select(*TXN))
     tables.upsert_table(t.spark, name, t.sql(f"SELECT * FROM ({MOVED})"), ["transaction_id"], TXN_UPDATES)
     return wall_clock(tables.read_table(t.spark, name).select(*TXN), "transaction_time")
+
+
+SALES = """SELECT CAST(event_id AS STRING) transaction_id, CAST(user_id AS STRING) customer_id, {amount} amount,
+    event_type region_code, 'any' product_category, {time} transaction_time FROM events"""
+FIRST = SALES.format(amount="value", time="ts") + " WHERE event_id % 10 <> 0"
+# A quarter of the rows is corrected and moves to the next day; a tenth is new.
+SECOND = SALES.format(amount="value + 1", time="ts + INTERVAL 1 DAY") + " WHERE event_id % 4 = 0 OR event_id % 10 = 0"
+MERGED = """SELECT * FROM second UNION ALL SELECT * FROM first WHERE transaction_id NOT IN (SELECT transaction_id FROM second)"""
+MART = """SELECT CAST(transaction_time AS DATE) AS sales_day, region_code, product_category, count(*) AS transactions,
+      CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+      CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(amount) AS avg_amount,
+      count(DISTINCT customer_id) AS customers
+    FROM merged GROUP BY 1, 2, 3"""
+
+
+def two_batches(t, between=lambda name: None):
+    """A stored fact after two merges, with a step of the caller's after each."""
+    name = new_table(t, schemas.FACT_TRANSACTIONS, schemas.FACT_LAYOUT)
+    for text in (FIRST, SECOND):
+        t("events")
+        tables.upsert_table(t.spark, name, t.sql(text), ["transaction_id"], ["amount", "transaction_time"], track=True)
+        between(name)
+    return name
+
+
+@check(MART, first=FIRST, second=SECOND, merged=MERGED)
+def mart_incremental(t):
+    """The mart after two batches, each of which sums the days it changed."""
+    mart = new_table(t, schemas.MART_SALES, schemas.MART_LAYOUT)
+    two_batches(t, lambda name: plans_star.update_mart(t.spark, name, mart))
+    return t.spark.table(mart)
+
+
+@check("""SELECT DISTINCT CAST(transaction_time AS DATE) AS transaction_day FROM first
+    UNION SELECT CAST(transaction_time AS DATE) FROM second
+    UNION SELECT CAST(f.transaction_time AS DATE) FROM first f JOIN second s ON f.transaction_id = s.transaction_id""",
+       first=FIRST, second=SECOND)
+def changed_days(t):
+    """Days that rows left or came to, as two tracked merges noted them."""
+    return tables.changed_partitions(t.spark, two_batches(t))[0].select("transaction_day").distinct()

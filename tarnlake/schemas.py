@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "string": T.StringType(), "double": T.DoubleType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType(),
+    "bigint": T.LongType(), "date": T.DateType(),
 }
 
 
@@ -51,12 +52,18 @@ FACT_TRANSACTIONS = _schema(
     ingested_at="timestamp",
 )
 
+MART_SALES = _schema(
+    region_code="string", product_category="string", transactions="bigint", revenue="double", avg_amount="double",
+    customers="bigint", sales_day="date",
+)
+
 # Derived day columns stand in for a days(ts) partition transform.
 DAY_COLUMNS = {"transaction_day": "transaction_time"}
 
 TRANSACTIONS_LAYOUT = ["transaction_day", "region_code"]
 CUSTOMERS_LAYOUT = ["region_code"]
 DIM_CUSTOMERS_LAYOUT = ["is_current", "region_code"]
+MART_LAYOUT = ["sales_day"]
 FACT_LAYOUT = ["transaction_day", "product_category"]
 
 # Columns an upsert overwrites on a key match.  The columns left

@@ -29,6 +29,10 @@ class Folder:
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
+    def names(self, path: str) -> list[str]:
+        """Paths of what lies in a folder; none if it is absent."""
+        return [f.getPath().toString() for f in self._fs.listStatus(self._path(path))] if self.exists(path) else []
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 

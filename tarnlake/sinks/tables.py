@@ -45,8 +45,10 @@ WRITE_BYTES = 256 << 20
 MAX_LISTED_VALUES = 1000
 # Table property that names the staged rows of a write in progress.
 PENDING = "tarnlake.pending"
-# In that property: the folder of an exchange of files.
-EXCHANGE = "exchange"
+# In that property: the folder of an exchange of files; that versions are to be closed.
+EXCHANGE, CLOSING = "exchange", "closing"
+# Folder of a table, skipped by readers, that lists the partitions changed by tracked writes.
+CHANGES = "_changes"
 
 
 def create_table(
@@ -223,6 +225,14 @@ def _in_partitions(df: DataFrame, listed: DataFrame, layout: Sequence[str], how:
     return df.join(other, same, how)
 
 
+def in_partitions(table: DataFrame, listed: DataFrame, layout: Sequence[str]) -> DataFrame:
+    """Rows of a stored table in the ``listed`` partitions; no other partition is read, unless they are very many."""
+    values = _partition_list(listed, layout)
+    if not values:
+        return table.where(F.lit(False))
+    return _in_partitions(table.where(_within(layout, values)), listed, layout, "left_semi")
+
+
 def _replace(
     spark: SparkSession, name: str, layout: Sequence[str], rows: DataFrame, touched: DataFrame,
     partitions: list[tuple], unless: Sequence[str] = (),
@@ -246,8 +256,48 @@ def _replace(
     return len(emptied)
 
 
+def _mark(spark: SparkSession, name: str, what: dict) -> None:
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PENDING}'='{json.dumps(what)}')")
+
+
+def _unmark(spark: SparkSession, name: str, folder: str | None = None) -> None:
+    """The write is in place; ``folder``, what it had staged, has served."""
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{PENDING}')")
+    if folder:
+        exchange.remove(spark, [folder])
+
+
+def changed_partitions(spark: SparkSession, name: str) -> tuple[DataFrame | None, list[str]]:
+    """Partitions noted by tracked writes, or None, and the folders of the notes.
+
+    Whoever has acted on them removes the folders; what is noted in the meantime stays.
+    """
+    notes = exchange.Folder(spark, table_location(spark, name)).names(f"{table_location(spark, name).rstrip('/')}/{CHANGES}")
+    if not notes:
+        return None, []
+    schema = spark.table(name).select(*partition_columns(spark, name)).schema
+    return spark.read.schema(schema).parquet(*notes).distinct(), notes
+
+
+def replace_partitions(spark: SparkSession, name: str, rows: DataFrame, touched: DataFrame) -> dict[str, int]:
+    """Give a partitioned table ``rows`` in place of all it has in the ``touched`` partitions.
+
+    Every row belongs to one of them; a partition without rows is dropped.  A lost
+    run is completed by the next write.
+    """
+    finish_pending(spark, name)
+    layout, folder = partition_columns(spark, name), new_path(spark, "replace-pending")
+    touched = _stage_in(touched.select(*layout).distinct(), f"{folder}/touched")
+    rows = _stage_in(rows.select(*spark.table(name).columns), f"{folder}/rows")
+    partitions = _partition_list(touched, layout)
+    _mark(spark, name, {"folder": folder, "keys": []})
+    dropped = _replace(spark, name, layout, rows, touched, partitions)
+    _unmark(spark, name, folder)
+    return {"rewritten": len(partitions) - dropped, "dropped": dropped}
+
+
 def finish_pending(spark: SparkSession, name: str) -> bool:
-    """Put in place what an interrupted upsert or compaction had staged; ``False`` if there is nothing.
+    """Put in place what an interrupted write or compaction had staged; ``False`` if there is nothing.
 
     Partitions are replaced again, which changes nothing if they were; rows to append
     are left out where the table has their key.  Rows without a key are appended twice
@@ -259,17 +309,18 @@ def finish_pending(spark: SparkSession, name: str) -> bool:
     found = json.loads(text)
     if EXCHANGE in found:
         put, taken = exchange.carry_out(spark, found[EXCHANGE])
-        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{PENDING}')")
-        exchange.remove(spark, [found[EXCHANGE]])
+        _unmark(spark, name, found[EXCHANGE])
         spark.catalog.refreshTable(name)
         log.info("%s: %d files in place of %d", name, put, taken)
         return True
     layout = partition_columns(spark, name)
+    if found.get(CLOSING):
+        _close_again(spark, name, layout, found["folder"])
     schema = spark.table(name).schema
     rows = spark.read.schema(schema).parquet(f"{found['folder']}/rows")
     touched = spark.read.schema(spark.table(name).select(*layout).schema).parquet(f"{found['folder']}/touched")
     _replace(spark, name, layout, rows, touched, _partition_list(touched, layout), unless=found["keys"])
-    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{PENDING}')")
+    _unmark(spark, name)
     log.info("finished the interrupted write of %s from %s", name, found["folder"])
     return True
 
@@ -277,11 +328,12 @@ def finish_pending(spark: SparkSession, name: str) -> bool:
 def upsert_table(
     spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str],
     update_cols: Sequence[str], insert_cols: Sequence[str] | None = None,
-    on_duplicate: str = "reference", order_by: Sequence[str] = (),
+    on_duplicate: str = "reference", order_by: Sequence[str] = (), track: bool = False,
 ) -> dict[str, int]:
     """Merge ``source`` into a stored table; an empty source leaves it untouched.
 
-    Returns how many partitions were rewritten and how many dropped as empty.
+    With ``track`` the partitions that may change, those that rows leave and those they
+    come to, are noted for ``changed_partitions`` before any does.  Returns how many partitions were rewritten and how many dropped as empty.
     """
     finish_pending(spark, name)
     # The plan behind the source, often a parse of raw files, runs once.
@@ -329,11 +381,12 @@ def upsert_table(
             rows = _stage_in(there.select(*table.columns), f"{folder}/rows")
             touched = _stage_in(receiving, f"{folder}/touched")
             partitions += more
-    mark = json.dumps({"folder": folder, "keys": list(keys)})
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{PENDING}'='{mark}')")
+    if track:
+        both = touched.unionByName(rows.select(*layout)).distinct()
+        both.write.parquet(f"{table_location(spark, name).rstrip('/')}/{CHANGES}/{uuid.uuid4().hex}")
+    _mark(spark, name, {"folder": folder, "keys": list(keys)})
     dropped = _replace(spark, name, layout, rows, touched, partitions)
-    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{PENDING}')")
-    exchange.remove(spark, [folder])
+    _unmark(spark, name, folder)
     return {"rewritten": rewritten - dropped, "dropped": dropped}
 
 
@@ -349,33 +402,49 @@ def scd2_table(
 ) -> bool:
     """Type-2 step on a stored dimension; ``False`` when nothing changed.
 
-    Rewrites partitions of open versions only.  Closed versions are appended to; of
-    those stored, only ``customer_key`` is read, so that a repeated run closes none twice.
+    Rewrites partitions of open versions only and appends to the closed ones, none of
+    which is read: what a lost run has closed is known from its mark, and is completed first.
     """
-    finish_pending(spark, name)
+    finished = finish_pending(spark, name)
     layout = partition_columns(spark, name)
     table = spark.table(name)
     current = table.where("is_current")
     changed = stage(changed_rows(current, stage(fresh, "scd2-fresh"), key, tracked, null_safe), "scd2-changed")
     if changed.isEmpty():
-        return False
+        return finished
+    folder = new_path(spark, "scd2-pending")
     change = new_versions(table.where("is_current"), changed, key, **options)
     opened = stage(change.opened, "scd2-opened")
-    ended = stage(change.current.where("NOT is_current"), "scd2-ended")
-    touched = stage(ended.withColumn("is_current", F.lit(True)).select(*layout).distinct(), "scd2-touched")
+    ended = _stage_in(change.current.where("NOT is_current").select(*table.columns), f"{folder}/closing")
+    touched = _stage_in(ended.withColumn("is_current", F.lit(True)).select(*layout).distinct(), f"{folder}/touched")
     partitions = _partition_list(touched, layout)
-    rows = opened
+    rows = opened.select(*table.columns)
     if partitions:
         before = _in_partitions(table.where(_within(layout, partitions)), touched, layout, "left_semi")
         kept = before.join(ended.select("customer_key"), "customer_key", "left_anti")
-        rows = stage(kept.select(*table.columns).unionByName(opened), "scd2-rows")
-    # A repeated run skips versions an interrupted run has already closed.
-    closing = not_in(ended, table.where("NOT is_current"), ["customer_key"], fits_broadcast(ended))
-    _insert(spark, stage(closing, "scd2-closing"), name, layout, overwrite=False)
+        rows = kept.select(*table.columns).unionByName(rows)
+    rows = _stage_in(rows, f"{folder}/rows")
+    _mark(spark, name, {"folder": folder, "keys": ["customer_key"], CLOSING: True})
+    _insert(spark, ended, name, layout, overwrite=False)
     _replace(spark, name, layout, rows, touched, partitions)
+    _unmark(spark, name, folder)
     return True
 
 
+def _close_again(spark: SparkSession, name: str, layout: Sequence[str], folder: str) -> None:
+    """Append those of the staged closed versions that a lost run had not appended.
+
+    They end when that run began, so versions that ended before are not read.
+    """
+    table = spark.table(name)
+    ended = spark.read.schema(table.schema).parquet(f"{folder}/closing")
+    since = ended.agg(F.min("end_date")).first()[0]
+    if since is not None:
+        closed = table.where(~F.col("is_current") & (F.col("end_date") >= F.lit(since)))
+        closing = not_in(ended, closed, ["customer_key"], fits_broadcast(ended))
+        _insert(spark, stage(closing, "scd2-closing"), name, layout, overwrite=False)
+
+
 def table_location(spark: SparkSession, name: str) -> str:
     found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
     return found["data_type"]
