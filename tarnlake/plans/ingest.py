@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tarnlake import schemas
 from tarnlake.functions.columns import normalize_columns, sha256_hex, to_double, to_time, with_missing
-from tarnlake.session import batch_time, stage
+from tarnlake.session import batch_time
 from tarnlake.sinks.tables import create_table, upsert_table
-from tarnlake.sources.files import read_customers, split_transactions
+from tarnlake.sources.files import read_customers, parse_transactions
 
 
 def conform_transactions(raw: DataFrame, batch_ts: Column | None = None) -> DataFrame:
@@ -70,11 +70,10 @@ def ingest_transactions(
     Lines that do not fit their file's header are counted as ``rejected`` and, with
     ``rejects``, appended there as ``file, value, reason``.
     """
-    parsed = split_transactions(spark, raw_path)
-    odd = stage(parsed.rejected, "ingest-rejected")
+    parsed = parse_transactions(spark, raw_path)
     if rejects:
-        odd.write.mode("append").parquet(rejects)
-    return {**merge_transactions(spark, parsed.rows, table, **options), "rejected": odd.count()}
+        parsed.rejected.write.mode("append").parquet(rejects)
+    return {**merge_transactions(spark, parsed.rows, table, **options), "rejected": parsed.rejected.count()}
 
 
 def ingest_customers(

@@ -72,9 +72,11 @@ def read_headers(lines: DataFrame, key_col: str | None = None) -> DataFrame:
     return stage(first.select("file", "header", names.alias("names")), "csv-headers")
 
 
-def split_by_header(lines: DataFrame, headers: DataFrame, columns: Sequence[str]) -> ByHeader:
+def marked_by_header(lines: DataFrame, headers: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Map each file's cells to ``columns`` by the names in that file's header.
 
+    A line that does not fit has only ``__file``, ``__line`` and ``__reason``.
+
     A column a file lacks is NULL; a line that repeats the header word for word is
     none.  Lines with more or fewer cells than their header, or an open quote, are
     rejected, so a quoted line break shows up there.  If all files share one header
@@ -101,11 +103,31 @@ def split_by_header(lines: DataFrame, headers: DataFrame, columns: Sequence[str]
         .when(quoted & (F.array_join("cells", ",") != F.col("value")), "text after a quote")
         .when(size != F.size("names"), F.concat_ws(
             " ", size.cast("string"), F.lit("cells below a header of"), F.size("names").cast("string"))))
-    marked = body.withColumn("reason", reason)
     place = {name: F.array_position("names", name).cast("int") for name in columns}
-    rows = marked.where("reason IS NULL").select([
-        F.when(at > 0, _value(F.get("cells", at - 1))).alias(name) for name, at in place.items()])
-    return ByHeader(rows, marked.where("reason IS NOT NULL").select("file", "value", "reason"))
+    fits = F.col("__reason").isNull()
+    cells = [F.when(fits & (at > 0), _value(F.get("__cells", at - 1))).alias(name) for name, at in place.items()]
+    marked = body.select("file", "value", "names", F.col("cells").alias("__cells"), reason.alias("__reason"))
+    return marked.select(*cells, F.when(~fits, F.col("file")).alias("__file"), F.when(~fits, F.col("value")).alias("__line"), "__reason")
+
+
+def _by_reason(marked: DataFrame, columns: Sequence[str]) -> ByHeader:
+    names = [F.col(f"`{c}`") for c in columns]
+    rejected = marked.where("__reason IS NOT NULL").select(
+        F.col("__file").alias("file"), F.col("__line").alias("value"), F.col("__reason").alias("reason"))
+    return ByHeader(marked.where("__reason IS NULL").select(*names), rejected)
+
+
+def split_by_header(lines: DataFrame, headers: DataFrame, columns: Sequence[str]) -> ByHeader:
+    """``marked_by_header`` as rows and rejected lines; each of them parses the lines anew."""
+    return _by_reason(marked_by_header(lines, headers, columns), columns)
+
+
+def parse_once(lines: DataFrame, headers: DataFrame, columns: Sequence[str]) -> ByHeader:
+    """``split_by_header`` with the lines parsed once: what comes out is stored.
+
+    Where no line was rejected, statistics of the stored files say so without reading them.
+    """
+    return _by_reason(stage(marked_by_header(lines, headers, columns), "csv-parsed"), columns)
 
 
 def split_csv_by_header(
@@ -133,7 +155,7 @@ def split_all_columns(spark: SparkSession, path: str | list[str], glob: str | No
     names = [row["name"] for row in found.collect()]
     if not names:
         raise ValueError(f"no header below {path}")
-    return split_by_header(lines, headers, names)
+    return parse_once(lines, headers, names)
 
 
 def strict(parsed: ByHeader) -> DataFrame:
@@ -149,6 +171,12 @@ def split_transactions(spark: SparkSession, root: str) -> ByHeader:
     return split_csv_by_header(spark, root, "transaction_id", schemas.RAW_TRANSACTION_COLUMNS)
 
 
+def parse_transactions(spark: SparkSession, root: str) -> ByHeader:
+    """``split_transactions`` for who needs both rows and rejected lines: the files are parsed once."""
+    lines = text_lines(spark.read, root)
+    return parse_once(lines, read_headers(lines, "transaction_id"), schemas.RAW_TRANSACTION_COLUMNS)
+
+
 def read_transactions(spark: SparkSession, root: str) -> DataFrame:
     """``split_transactions`` of files in which every line fits its header."""
     return strict(split_transactions(spark, root))

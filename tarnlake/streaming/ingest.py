@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tarnlake import schemas
 from tarnlake.plans.ingest import merge_transactions
-from tarnlake.sources.files import read_headers, split_by_header, text_lines
+from tarnlake.sources.files import parse_once, read_headers, text_lines
 
 
 def ingest_stream(
@@ -30,7 +30,7 @@ def ingest_stream(
     folder = (aside or f"{checkpoint.rstrip('/')}-aside").rstrip("/")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        parsed = split_by_header(batch, read_headers(batch, "transaction_id"), schemas.RAW_TRANSACTION_COLUMNS)
+        parsed = parse_once(batch, read_headers(batch, "transaction_id"), schemas.RAW_TRANSACTION_COLUMNS)
         keyed = F.col("transaction_id").isNotNull()
         parsed.rejected.write.mode("overwrite").parquet(f"{folder}/rejected/batch={batch_id}")
         parsed.rows.where(~keyed).write.mode("overwrite").parquet(f"{folder}/no_key/batch={batch_id}")
