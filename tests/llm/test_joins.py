@@ -66,7 +66,7 @@ def test_join_verifies_only_pairs_of_different_components(spark):
     # A hundred copies that all link: a comparison with the first of a bucket is enough.
     texts = near_copies(4, 100, 300, 1)
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = jaccard_join.profiles(rows)
+    found = jaccard_join.profiles(rows, 30_000)
     members = jaccard_join.postings(found)
     assert members.count() > 0
     roots = jaccard_join.connect(found)
@@ -75,7 +75,7 @@ def test_join_verifies_only_pairs_of_different_components(spark):
 
 def test_suffix_parity_bounds_the_difference(spark):
     texts = near_copies(5, 30, 80, 4)
-    found = jaccard_join.profiles(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    found = jaccard_join.profiles(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 2500)
     shared = {bytes(r.key): list(r.shared) for r in found.collect()}
     rows = jaccard_join.postings(found).collect()
     by_h = defaultdict(list)
@@ -88,6 +88,38 @@ def test_suffix_parity_bounds_the_difference(spark):
             assert bits <= len(rest[0] ^ rest[1])
 
 
+def test_shingle_hashes_tell_shingles_apart():
+    random = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in random.integers(0, 50, n)).encode() for n in (0, 1, 2, 3, 4, 5, 300, 4000)]
+    texts += [None, b" \t", b"\x0bA  b\r\nC d\x0c", "\u00e9\u00a0x \u2003y z w".encode(), b"x" * 70_000 + b" y"]
+    seen = {}
+    for text, alone in zip(texts, jaccard_join.Shingles(4)(texts)):
+        words = (text or b"").lower().split()
+        want = {b" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))} if words else set()
+        assert len(alone) == len(want) and list(alone) == sorted(alone)
+        assert list(jaccard_join.Shingles(4)([text])[0]) == list(alone)  # whatever stands beside it
+        for w in want:
+            seen.setdefault(w, set())
+        for i in range(max(1, len(words) - 3)) if words else []:
+            part = b" ".join(words[i:i + 4])
+            seen[part].add(int(jaccard_join.Shingles(4)([part])[0][0]))
+    assert all(len(hashes) == 1 for hashes in seen.values()) and len({min(h) for h in seen.values()}) == len(seen)
+
+
+@pytest.mark.parametrize("flush,bucket", [(100, 50), (2_000_000, 2_000_000)])
+def test_counts_of_texts_are_exact(spark, monkeypatch, flush, bucket):
+    monkeypatch.setattr(jaccard_join, "FLUSH", flush)
+    monkeypatch.setattr(jaccard_join, "BUCKET", bucket)
+    texts = near_copies(7, 40, 80, 4) + ["a b", None]
+    counts = Counter(int(h) & (1 << 48) - 1 for own in jaccard_join.Shingles(4)([(t or "").encode() for t in texts]) for h in own)
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = {r.g: r.texts for r in jaccard_join.repeated(rows, 4, sum(counts.values())).collect()}
+    assert found == {h: n for h, n in counts.items() if n > 1}
+    words = jaccard_join.filter_words(spark.createDataFrame(list(found.items()), "g long, texts long"))
+    g = np.array(list(found), np.uint64)
+    assert (words[(g & np.uint64(len(words) - 1)).astype(np.int64)] & jaccard_join._bits(g) == jaccard_join._bits(g)).all()
+
+
 def test_join_corner_cases(spark):
     long = " ".join(f"w{i % 9973}" for i in range(30_000))
     rows = [(1, "A b C d e", 0, 1), (1, "a B c d e", 0, 1), (2, "a b c d e", 0, 1), (None, "a b c d e", 0, 1), (None, None, 0, 1),
