@@ -5,8 +5,12 @@ is one window.  A window is a set of word shingles.  A document that contains it
 contains all of them, so one is enough to find it: the rarest, which is the
 necessary prefix at a containment of one.  Shingles are ordered by how often the
 documents hold them, documents are joined on the prefixes only, and a match fixes
-where the item would start in the document.  Alignments whose windows cannot lie
-within the document are dropped, the rest are compared word by word.
+where the window would start in the document.  Places where the window cannot lie
+within the document are dropped, at the rest its words are compared.
+
+Windows of equal words are one, whatever items and positions they are from, so a
+repetitive text meets each of them once at a place, and every comparison is of one
+window's words: the work grows with the length of the text.
 """
 
 from __future__ import annotations
@@ -43,7 +47,7 @@ def item_windows(items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE)
         "width", F.least(F.lit(shingle), F.col("length")))
 
 
-def _shingles(rows: DataFrame, keep: list[str], widths: list[int]) -> DataFrame:
+def _shingles(rows: DataFrame, keep: list, widths: list[int]) -> DataFrame:
     """``keep, size, width, at, h``: every shingle of the ``size`` words at its position."""
     rows = rows.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     each = [rows.select(
@@ -55,78 +59,80 @@ def _shingles(rows: DataFrame, keep: list[str], widths: list[int]) -> DataFrame:
     return out
 
 
-def find_alignments(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, text_hash, item_id, item_hash, start``: places where a window's prefix fits."""
-    own = stage(item_windows(items, window, shingle), "decon-items")
+def distinct_windows(own: DataFrame) -> DataFrame:
+    """``item_id, wid, text, length, width``: the windows of ``item_windows``, once an item; equal words have one ``wid``."""
+    starts = F.explode(F.sequence(F.lit(1), F.size("words") - F.col("length") + 1))
+    each = own.select("item_id", "words", "length", "width", starts.alias("of")).select(
+        "item_id", F.array_join(F.expr("slice(words, of, length)"), " ").alias("text"), "length", "width")
+    return each.withColumn("wid", F.xxhash64("text")).dropDuplicates(["item_id", "text"])
+
+
+def prefixes(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """Stored ``text, wid, length, h, at``: the shingle of each window that documents hold least, and its place in it.
+
+    Windows with a shingle that no document holds are left out.
+    """
     # At most ``shingle`` different values.
-    widths = sorted(r["width"] for r in own.select("width").distinct().collect())
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
-    if not widths:
-        return rows.select(
-            "doc_id", "text_hash", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"),
-            F.lit(0).cast("long").alias("item_hash"), F.lit(0).alias("start")).where("false")
-    of_items = stage(
-        _shingles(own, ["item_id", "item_hash", "length"], widths)
-        .where("width = least(length, %d)" % shingle), "decon-shingles")
-    listed = sent_whole(stage(of_items.select("h").distinct(), "decon-listed"))
+    widths = sorted(r["width"] for r in windows.select("width").distinct().collect())
+    texts = windows.select("text", "wid", "length", "width").dropDuplicates(["text"])
+    shingled = texts.withColumn("words", F.split("text", " "))
+    of_windows = _shingles(shingled, ["text", "wid", "length", F.col("width").alias("own")], widths) if widths else None
+    if of_windows is None:
+        return texts.select("text", "wid", "length", F.lit(0).cast("long").alias("h"), F.lit(0).alias("at"))
+    of_windows = stage(of_windows.where("width = own"), "decon-shingles")
+    listed = sent_whole(stage(of_windows.select("h").distinct(), "decon-listed"))
     seen = stage(
-        _shingles(rows, [], widths).join(listed, "h").groupBy("h").agg(F.count("*").alias("seen")), "decon-seen")
-    # The rarest shingle of every window; each shingle lies in up to length - width + 1 windows.
-    ranked = of_items.join(seen, "h", "left").select(
-        "item_id", "item_hash", "length", "h", "at", F.coalesce("seen", F.lit(0).cast("long")).alias("seen"),
-        F.explode(F.sequence(
-            F.greatest(F.lit(0), F.col("at") - (F.col("length") - F.col("width"))),
-            F.least(F.col("at"), F.col("size") - F.col("length")))).alias("of"))
-    prefix = ranked.groupBy("item_id", "item_hash", "length", "of").agg(
-        F.min(F.struct("seen", "h", "at")).alias("best")).where("best.seen > 0")
-    prefix = prefix.groupBy("item_id", "item_hash", "length", "best.h", F.col("best.at").alias("item_at")).agg(
-        F.min("of").alias("first"), F.max("of").alias("last"))
-    prefix = sent_whole(stage(prefix, "decon-prefix"))
-    found = _shingles(rows, ["doc_id", "text_hash"], widths).join(prefix, "h")
-    found = found.withColumn("start", F.col("at") - F.col("item_at"))
-    # Length and position: the last of the prefix's windows starts, the first ends within the document.
-    found = found.where("start + last >= 0 AND start + first + length <= size")
-    return found.select("doc_id", "text_hash", "item_id", "item_hash", "start").distinct()
+        _shingles(words_and_key(docs), [], widths).join(listed, "h").groupBy("h").agg(F.count("*").alias("seen")), "decon-seen")
+    ranked = of_windows.join(seen, "h", "left").groupBy("text", "wid", "length").agg(
+        F.min(F.struct(F.coalesce("seen", F.lit(0).cast("long")).alias("seen"), "h", "at")).alias("best"))
+    return stage(ranked.where("best.seen > 0").select("text", "wid", "length", "best.h", "best.at"), "decon-prefix")
+
+
+def words_and_key(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
+
+
+def candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, start, length, text``: places where a window's prefix fits and the window lies within the text."""
+    widths = sorted(r["width"] for r in windows.select("width").distinct().collect())
+    prefix = prefixes(docs, windows)
+    if not widths:
+        return words_and_key(docs).select("doc_id", "text_hash", F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("text")).where("false")
+    fits = sent_whole(prefix.withColumnRenamed("at", "of"))
+    found = _shingles(words_and_key(docs), KEY, widths).join(fits, "h").withColumn("start", F.col("at") - F.col("of"))
+    # Length and position: the window starts and ends within the document.
+    return found.where("start >= 0 AND start + length <= size").select(*KEY, "start", "length", "text")
 
 
 def hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """Stored ``__id, __hash, n_hit, n_items, item_ids`` of documents, by doc_id and text hash, that hold a window."""
     items = items.where("item_id IS NOT NULL")
-    own = stage(item_windows(items, window, shingle), "decon-verify")
-    places = find_alignments(docs, items, window, shingle).join(
-        own.select("item_id", "item_hash", "length", F.col("words").alias("item_words")), ["item_id", "item_hash"])
-    places = stage(
-        places.groupBy("doc_id", "text_hash").agg(
-            F.collect_list(F.struct("item_id", "start", "length", "item_words")).alias("places")), "decon-places")
+    windows = stage(distinct_windows(item_windows(items, window, shingle)), "decon-windows")
+    # Sets: rows equal in doc_id and text give each place once.  A list is no longer than the
+    # text times the windows that share a rarest shingle, and holds a window's words an entry.
+    places = candidates(docs, windows).groupBy(*KEY).agg(F.collect_set(F.struct("start", "length", "text")).alias("places"))
+    places = stage(places, "decon-places")
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     found = places.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "places")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
-    # Only texts with an alignment are shuffled, to be compared with their items.  They are
+    # Only texts with a place are shuffled, to be compared with the windows.  They are
     # split below the join: above it, Catalyst would split them anew for every word compared.
     near = rows.where(likely_in(places.select(*KEY), KEY)).select(*KEY, words_of(F.col("text")).alias("words"))
     near = near.join(found, same).select(*KEY, "words", "places")
-
-    def verified(p):
-        """Starts, in the document, of the windows that occur in full."""
-        same = F.array_join(F.transform(p.item_words, lambda w, i: F.when(
-            F.get("words", p.start + i) == w, "1").otherwise("0")), "")
-        ok = F.filter(
-            F.sequence(F.lit(0), F.size(p.item_words) - p.length),
-            lambda s: F.substring(same, s + 1, p.length) == F.repeat(F.lit("1"), p.length))
-        return F.struct(
-            p.item_id.alias("item_id"), p.length.alias("length"),
-            F.transform(ok, lambda s: s + p.start).alias("starts"))
-
-    held = F.filter(F.transform("places", verified), lambda v: F.size(v.starts) > 0)
-    near = near.select(*KEY, held.alias("hits"))
-    covered = F.flatten(F.transform("hits", lambda v: F.flatten(F.transform(
-        v.starts, lambda s: F.sequence(s, s + v.length - 1)))))
-    ids = F.array_sort(F.array_distinct(F.transform("hits", lambda v: v.item_id.cast("string"))))
-    near = near.select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
-        F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
-        F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids")).where("n_hit > 0")
-    return stage(near.dropDuplicates(["__id", "__hash"]), "decon-hits")
+    held = F.filter("places", lambda p: F.array_join(F.slice("words", p.start + 1, p.length), " ") == p.text)
+    near = near.select(*KEY, held.alias("held")).where(F.size("held") > 0)
+    covered = F.flatten(F.transform("held", lambda p: F.sequence(p.start, p.start + p.length - 1)))
+    near = stage(near.select(
+        *KEY, F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
+        F.array_distinct(F.transform("held", lambda p: p.text)).alias("texts")).dropDuplicates(KEY), "decon-held")
+    # Which items have these windows; an item once a document.
+    own = windows.select("text", F.col("item_id").cast("string").alias("item_id")).distinct()
+    named = near.select(*KEY, F.explode("texts").alias("text")).join(sent_whole(stage(own, "decon-owners")), "text")
+    ids = named.groupBy(*KEY).agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+    ids = ids.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "item_ids")
+    out = near.drop("texts").join(ids, same).select(
+        "__id", "__hash", "n_hit", F.size("item_ids").cast("long").alias("n_items"), "item_ids")
+    return stage(out, "decon-hits")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
