@@ -1,288 +1,324 @@
 """Cross-entropy difference: how much better a target model predicts a document than a matched background model.
 
-Both are bigram models over all words of the corpus, with the same smoothing, and
-the background counts are scaled to the target's number of tokens.  Counts cover all
-documents, words and bigrams: they are stored tables with a row for each word and
-each (history, word), which grow with the corpus, and documents are scored by joining
-their distinct bigrams to them.  A word is known by its 64-bit hash.
-
-``train`` and ``score`` are the bounded form, for a caller that wants a model of one
-size: the ``size`` most frequent words, others sharing one id, and bigrams counted in
-``buckets`` hashed cells.  ``score_against`` takes it only if told such a size.
+Both are bigram models over all words of the corpus, with the same smoothing, and the
+background counts are scaled to the target's number of tokens.  A document is scored
+against all others: its own words are taken off the counts of its side first, so a score
+does not tell who was counted.
+
+With c the counts of the others, k the scale of a side and P1 its unigram model, the loss of
+a word w after a word h is -log of (k c(h,w) + S P1(w)) / (k c(h) + S), which is
+
+    -log(S P1(w)) + log(k c(h) + S) - log(1 + k c(h,w) / (S P1(w)))
+
+The first two terms need counts of words only, and the last is zero for a bigram of a single
+document.  So counts of words and bigrams are kept where several documents hold them: stored
+tables with a row for each, which grow with the corpus.  The most frequent are sent to every
+task; of the rest a filter of bounded size tells which may be in several documents, and only
+those are looked up by a join.  The cache and the filter change the work, not the result.
+A word is known by its 64-bit hash, a bigram by one of both.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import xxhash
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.common import map_batches, sent_whole
+from tarnlake.llm.jaccard_join import _FACTORS as FACTORS, _bits as bits_of, _mixed as mixed, SEGMENT, Shingles, filter_words
 from tarnlake.session import stage
 
-VOCABULARY, BUCKETS = 60_000, 1 << 20
 # Weight of the unigram model, in tokens of history.
 SMOOTHING = 50.0
-FLUSH_WORDS, CACHE_WORDS = 300_000, 300_000
-# Tokens held before a task sums its bigrams: 16 bytes each, some copies while they are sorted.
-FLUSH_TOKENS = 2_000_000
+# Counts sent to every task, of words and of bigrams: 24 bytes each.
+CACHE = 1 << 18
+# Tokens a task sums at once, and different bigrams of a bucket.
+FLUSH, BUCKET = 2_000_000, 1_000_000
+# The word before the first and after the last.
+EDGE = np.uint64(0x5EED)
+SIDES = ("background", "target")
 
 
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
-
-
-class CountWords:
-    """Occurrences of each word in a task, given out whenever many are held."""
+class Words(Shingles):
+    """The hashes of all words of texts in order, an edge before the first and after the last."""
 
     def __init__(self):
-        self.held: Counter = Counter()
-
-    def __call__(self, texts):
-        for text in texts:
-            self.held.update((text or b"").lower().split())
-        return self.finish() if len(self.held) > FLUSH_WORDS else {"word": [], "n": []}
-
-    def finish(self):
-        out = {"word": [word_hash(w) for w in self.held], "n": list(self.held.values())}
-        self.held = Counter()
-        return out
-
-
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
-    """Sorted hashes of the most frequent words."""
-    counts = map_batches(docs, ["text"], "word long, n long", CountWords)
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    # Stored first: collected straight away, every partition would send the driver a whole vocabulary.
-    top = stage(top.select("word"), "lm-vocabulary")
-    return np.sort(np.array([r["word"] for r in top.collect()], np.int64))
-
-
-class Numbers(dict):
-    """Ids of words: 1 + place in the vocabulary, 0 for any other word."""
-
-    def __init__(self, words: np.ndarray):
-        super().__init__()
-        self.words = words
-
-    def __missing__(self, word: bytes) -> int:
-        key = word_hash(word)
-        at = int(np.searchsorted(self.words, key))
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        value = self[word] = at + 1 if at < len(self.words) and self.words[at] == key else 0
-        return value
-
-    def ids(self, text: bytes | None) -> np.ndarray:
-        words = (text or b"").lower().split()
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-
+        super().__init__(1)
+
+    def __call__(self, texts: list[bytes | None]) -> Iterator[np.ndarray]:
+        for batch in self._batches([(t or b"").lower() for t in texts]):
+            if len(batch) == 1 and len(batch[0]) > SEGMENT:
+                words, counts = self._long(batch[0]), None
+            else:
+                starts, words = self.words(b"\n".join(batch))
+                counts = np.diff(np.searchsorted(starts, np.cumsum([len(t) + 1 for t in batch])), prepend=0)
+            at = 0
+            for n in [len(words)] if counts is None else counts:
+                yield np.concatenate([[EDGE], words[at:at + n], [EDGE]]) if n else words[:0]
+                at += n
+
+
+def bigrams(words: np.ndarray) -> np.ndarray:
+    """A hash for each two neighbours."""
+    return mixed(words[:-1] * FACTORS[0] + words[1:] * FACTORS[1])
+
+
+def _summed(keys: list[np.ndarray], n: list[np.ndarray], target: list[bool]) -> tuple[np.ndarray, ...]:
+    """Sorted keys with their tokens of either side and their documents, from a document's distinct keys each."""
+    h = np.concatenate(keys or [np.zeros(0, np.uint64)])
+    count = np.concatenate(n or [np.zeros(0, np.int64)])
+    side = np.repeat(np.array(target, bool), np.array([len(k) for k in keys], int))
+    order = np.argsort(h, kind="stable")
+    h, count, side = h[order], count[order], side[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    sums = [np.add.reduceat(x, first) if len(h) else first for x in (count * ~side, count * side, np.ones(len(h), np.int64))]
+    return h[first], *sums
 
-def bigrams(ids: np.ndarray, start: int, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """The history of each token, ``start`` for the first, and the cell of the pair."""
-    history = np.concatenate([[start], ids[:-1]]) if len(ids) else ids
-    mixed = (history.astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    return history, (mixed >> np.uint64(20)).astype(np.int64) % buckets
 
+class CountWords:
+    """Tokens of a task's words by side, and the documents that hold them."""
 
-class CountPairs:
-    """Token and bigram counts of a task, by target and background."""
-
-    def __init__(self, words: np.ndarray, buckets: int):
-        self.number, self.start, self.buckets = Numbers(words), len(words) + 1, buckets
-        # One array: cells of bigrams, then ids of tokens, then ids of histories.
-        self.counts = np.zeros((2, buckets + 2 * (self.start + 1)), np.int64)
+    def __init__(self, of=lambda words: words[1:]):
+        self.words, self.of = Words(), of
+        self.held: tuple[list, list, list] = ([], [], [])
+        self.n = 0
 
     def __call__(self, target, texts):
-        held: list[list[np.ndarray]] = [[], []]
-        for is_target, text in zip(target, texts):
-            ids = self.number.ids(text)
-            history, cell = bigrams(ids, self.start, self.buckets)
-            held[bool(is_target)] += [cell, self.buckets + ids, self.buckets + self.start + 1 + history]
-        for side, parts in enumerate(held):
-            if parts:
-                at, n = np.unique(np.concatenate(parts), return_counts=True)
-                self.counts[side, at] += n
-        return {"cell": [], "background": [], "target": []}
+        for is_target, words in zip(target, self.words(texts)):
+            if len(words):
+                keys, n = np.unique(self.of(words), return_counts=True)
+                for held, value in zip(self.held, (keys, n, bool(is_target))):
+                    held.append(value)
+                self.n += len(keys)
+        return self.finish() if self.n > FLUSH else self.rows(*_summed([], [], []))
 
     def finish(self):
-        at = np.flatnonzero(self.counts.any(axis=0))
-        return {"cell": at, "background": self.counts[0, at], "target": self.counts[1, at]}
-
+        out = self.rows(*_summed(*self.held))
+        self.held, self.n = ([], [], []), 0
+        return out
 
-@dataclass
-class Model:
-    words: np.ndarray
-    buckets: int
-    counts: np.ndarray  # background, target
-
-    def __post_init__(self):
-        start = len(self.words) + 1
-        counts = self.counts.astype(float)
-        self.tokens = counts[:, self.buckets:self.buckets + start + 1].sum(axis=1)
-        if self.tokens.min() > 0:  # matched: as many background tokens as target tokens
-            counts[0] *= self.tokens[1] / self.tokens[0]
-        self.pair = counts[:, :self.buckets]
-        unigram = counts[:, self.buckets:self.buckets + start + 1] + 1
-        self.unigram = unigram / unigram.sum(axis=1, keepdims=True)
-        self.history = counts[:, self.buckets + start + 1:]
-
-    def losses(self, ids: np.ndarray) -> np.ndarray:
-        """Mean loss a token under background and target, in nats."""
-        history, cell = bigrams(ids, len(self.words) + 1, self.buckets)
-        p = (self.pair[:, cell] + SMOOTHING * self.unigram[:, ids]) / (self.history[:, history] + SMOOTHING)
-        return -np.log(np.minimum(p, 1.0)).mean(axis=1)
-
-
-def train(docs: DataFrame, targets: DataFrame, size: int = VOCABULARY, buckets: int = BUCKETS) -> Model:
-    """Models of the documents whose doc_id is in ``targets`` and of all others."""
-    words = vocabulary(docs, size)
-    sent = docs.sparkSession.sparkContext.broadcast(words)
-    ids = targets.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(True))
-    ids = sent_whole(stage(ids, "lm-targets"))
-    rows = docs.select("doc_id", "text").join(ids, "doc_id", "left")
-    counts = map_batches(
-        rows, ["target", "text"], "cell int, background long, target long",
-        lambda: CountPairs(sent.value, buckets))
-    counts = counts.groupBy("cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-    held = counts.toArrow()  # one row a cell at most
-    found = np.zeros((2, buckets + 2 * (len(words) + 2)), np.int64)
-    cell = held["cell"].to_numpy()
-    found[0, cell], found[1, cell] = held["background"].to_numpy(), held["target"].to_numpy()
-    return Model(words, buckets, found)
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, n_tokens, target_loss, background_loss, score``: losses a token and target less background.
-
-    A lower score is closer to the target.  A NULL or blank text has NULL losses
-    and a score of 0.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast((model.words, model.buckets, model.counts))
+    def rows(self, keys, background, target, docs):
+        return {"g": keys.view(np.int64), "background": background, "target": target, "docs": docs}
+
+
+class CountBigrams(CountWords):
+    """The same of bigrams, as bytes by bucket; those met once come apart, as keys alone."""
+
+    def __init__(self, buckets: int):
+        super().__init__(bigrams)
+        self.edges = np.array([((k << 64) + buckets - 1) // buckets for k in range(buckets)], np.uint64)
+
+    def rows(self, keys, background, target, docs):
+        out = {"bucket": [], "once": [], "keys": [], "counts": []}
+        counts = np.column_stack([background, target, docs]).astype(np.uint32)
+        kinds = {0: (counts == (1, 0, 1)).all(axis=1), 1: (counts == (0, 1, 1)).all(axis=1)}
+        for once, among in (*kinds.items(), (None, ~(kinds[0] | kinds[1]))):
+            own, several = keys[among], counts[among]
+            cuts = np.concatenate([np.searchsorted(own, self.edges), [len(own)]])
+            for k in np.flatnonzero(np.diff(cuts)):
+                part = slice(cuts[k], cuts[k + 1])
+                out["bucket"].append(int(k))
+                out["once"].append(once)
+                out["keys"].append(own[part].tobytes())
+                out["counts"].append(b"" if once is not None else several[part].tobytes())
+        return out
 
-    def make():
-        own = Model(*sent.value)
-        number = Numbers(own.words)
 
-        def work(doc_ids, texts):
-            ids = [number.ids(t) for t in texts]
-            losses = [own.losses(i).tolist() if len(i) else (None, None) for i in ids]
-            return {"doc_id": doc_ids, "n_tokens": [len(i) for i in ids], "target_loss": [x[1] for x in losses],
-                    "background_loss": [x[0] for x in losses],
-                    "score": [0.0 if x[0] is None else x[1] - x[0] for x in losses]}
-        return work
+def _merge(rows: pa.Table) -> pa.Table:
+    """The bigrams of a bucket that several documents hold."""
+    keys, counts = [], []
+    for once, k, c in zip(*(rows[name].to_pylist() for name in ("once", "keys", "counts"))):
+        own = np.frombuffer(k, np.uint64)
+        keys.append(own)
+        counts.append(np.frombuffer(c, np.uint32).reshape(-1, 3).astype(np.int64) if once is None else np.tile(
+            (1 - once, once, 1), (len(own), 1)))
+    h, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(h, kind="stable")
+    h, n = h[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    sums = np.add.reduceat(n, first, axis=0)
+    several = sums[:, 2] > 1
+    return pa.table({"g": h[first][several].view(np.int64), "background": sums[several, 0], "target": sums[several, 1]})
 
-    return map_batches(
-        docs, ["doc_id", "text"],
-        "doc_id long, n_tokens long, target_loss double, background_loss double, score double", make)
 
+@dataclass
+class Counts:
+    """A stored table ``g, background, target`` of what several documents hold, the most frequent of it, and a filter."""
+
+    table: DataFrame
+    keys: np.ndarray
+    counts: np.ndarray
+    filled: np.ndarray
+
+    def find(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of ``g`` by side where they are here, and what has to be looked up."""
+        at = np.minimum(np.searchsorted(self.keys, g), max(0, len(self.keys) - 1))
+        here = self.keys[at] == g if len(self.keys) else np.zeros(len(g), bool)
+        found = np.zeros((2, len(g)))
+        found[:, here] = self.counts[:, at[here]]
+        bits = bits_of(g)
+        maybe = self.filled[(g & np.uint64(len(self.filled) - 1)).astype(np.int64)] & bits == bits
+        return found, maybe & ~here
+
+
+def _kept(table: DataFrame, cache: int) -> Counts:
+    """``table``, stored, with its ``cache`` most frequent rows or fewer: all above some frequency."""
+    n = F.col("background") + F.col("target")
+    # By frequency, in powers of a twentieth: a few hundred rows.
+    step = F.floor(F.log(n) * 20)
+    held, least = 0, None
+    for row in table.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect():
+        held += row["n"]
+        if held > cache:
+            break
+        least = row["step"]
+    top = table.where(step >= F.lit(least)) if least is not None else table.limit(0)
+    # At most ``cache`` rows.
+    rows = top.select("g", *SIDES).toPandas()
+    keys = rows["g"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return Counts(table, keys[order], rows[list(SIDES)].to_numpy(np.float64)[order].T, filter_words(table))
 
-class Hashes(dict):
-    """Hashes of words, a bounded number of them held."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        value = self[word] = word_hash(word)
-        return value
+@dataclass
+class Sizes:
+    """Tokens by side, different words, and the weight of a count by side."""
 
-    def pairs(self, text: bytes | None) -> np.ndarray:
-        """One row a token: the hashes of the word before it, of an empty word for the first, and of its own."""
-        words = [b"", *(text or b"").lower().split()]
-        own = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return np.column_stack([own[:-1], own[1:]])
+    tokens: list[float]
+    words: int
+    scale: list[float]
 
 
-def distinct(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different rows of ``pairs`` and how often each occurs."""
-    pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
-    first = np.flatnonzero(np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)]) if len(pairs) else np.zeros(0, np.int64)
-    return pairs[first], np.diff(np.r_[first, len(pairs)])
+def unigram(count, own, sizes: Sizes, k: int, log=np.log):
+    """Log of S * P1 of a side, ``own`` tokens of ``count`` and ``own_all`` in all left out."""
+    c, n = own
+    return log(SMOOTHING * (sizes.scale[k] * (count - c) + 1) / (sizes.scale[k] * (sizes.tokens[k] - n) + sizes.words))
 
 
-class CountAllPairs:
-    """Bigrams of a task by target and background, summed whenever many tokens are held."""
+def word_terms(count, own, sizes: Sizes, k: int, log=np.log):
+    """The loss of one token of a word, as the word that comes and as the one before the next."""
+    return log(sizes.scale[k] * (count - own[0]) + SMOOTHING) - unigram(count, own, sizes, k, log)
 
-    def __init__(self):
-        self.hashes, self.held, self.n = Hashes(), ([], []), 0
 
-    def __call__(self, target, texts):
-        for is_target, text in zip(target, texts):
-            pairs = self.hashes.pairs(text)
-            self.held[bool(is_target)].append(pairs)
-            self.n += len(pairs)
-        return self.finish() if self.n > FLUSH_TOKENS else {"history": [], "word": [], "background": [], "target": []}
+def _texts(docs: DataFrame, targets: DataFrame) -> DataFrame:
+    """``doc_id, row, target, text``; rows of equal text and side have equal losses and one ``row``."""
+    ids = targets.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(True))
+    rows = docs.select("doc_id", "text").join(sent_whole(stage(ids, "lm-targets")), "doc_id", "left")
+    rows = rows.withColumn("target", F.coalesce("target", F.lit(False)))
+    return rows.select("doc_id", F.xxhash64("text", "target").alias("row"), "target", "text")
 
-    def finish(self):
-        parts = [distinct(np.concatenate(h or [np.zeros((0, 2), np.int64)])) for h in self.held]
-        self.held, self.n = ([], []), 0
-        pairs, none = np.concatenate([p for p, _ in parts]), [np.zeros(len(n), np.int64) for _, n in parts]
-        return {"history": pairs[:, 0], "word": pairs[:, 1], "background": np.concatenate([parts[0][1], none[1]]),
-                "target": np.concatenate([none[0], parts[1][1]])}
 
+def score_against(docs: DataFrame, labels: DataFrame, is_target: Column, cache: int = CACHE) -> DataFrame:
+    """``doc_id, n_tokens, target_loss, background_loss, score`` of all documents, losses in nats a token.
 
-def pair_losses(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """Stored ``history, word, background_loss, target_loss`` of every bigram of ``docs``, in nats."""
-    ids = targets.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(True))
-    ids = sent_whole(stage(ids, "lm-targets"))
-    rows = docs.select("doc_id", "text").join(ids, "doc_id", "left")
-    sides = ["background", "target"]
-    sums = [F.sum(s).alias(s) for s in sides]
-    counts = map_batches(
-        rows, ["target", "text"], "history long, word long, background long, target long", CountAllPairs)
-    pairs = stage(counts.groupBy("history", "word").agg(*sums), "lm-pairs")
-    words = stage(pairs.groupBy("word").agg(*sums), "lm-words")
-    histories = stage(pairs.groupBy("history").agg(*sums), "lm-histories")
-    total = words.agg(F.count("*").alias("words"), *sums).first()
-    tokens = {s: total[s] or 0 for s in sides}
-    # Matched: as many background tokens as target tokens.
-    scale = {"background": tokens["target"] / tokens["background"] if all(tokens.values()) else 1.0, "target": 1.0}
-    unigram = words.select("word", *[
-        ((F.lit(scale[s]) * F.col(s) + 1) / F.lit(scale[s] * tokens[s] + total["words"])).alias(f"{s}_unigram") for s in sides])
-    history = histories.select("history", *[(F.lit(scale[s]) * F.col(s)).alias(f"{s}_history") for s in sides])
-    found = pairs.join(sent_whole(stage(unigram, "lm-unigrams")), "word").join(
-        sent_whole(stage(history, "lm-scaled")), "history")
-    return stage(found.select("history", "word", *[
-        (-F.log((F.lit(scale[s]) * F.col(s) + SMOOTHING * F.col(f"{s}_unigram"))
-                / (F.col(f"{s}_history") + SMOOTHING))).alias(f"{s}_loss") for s in sides]), "lm-losses")
-
-
-def score_all(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, target_loss, background_loss, score`` as of ``score``, by the counts of all words and bigrams.
-
-    Equal texts have equal losses, so sums go by the hash of the text.
+    The target is the documents whose label row fulfils ``is_target``, the background all
+    others; the end of a text counts as a token.  ``score`` is the target's loss less the
+    background's: the lower, the more like the target.  A text without words has no losses
+    and score 0.  If a side has no words, its model knows nothing but that.  A document on
+    several rows, or of several copies, is left out once: its copies are other documents.
     """
-    def pairs():
-        hashes = Hashes()
-
-        def work(keys, texts):
-            parts = [distinct(hashes.pairs(t)) for t in texts]
-            both = np.concatenate([p for p, _ in parts])
-            return {"row": np.repeat(np.array(keys, np.int64), [len(n) for _, n in parts]), "history": both[:, 0],
-                    "word": both[:, 1], "n": np.concatenate([n for _, n in parts])}
-        return work
-
-    def lengths():
-        return lambda ids, keys, texts: {
-            "doc_id": ids, "row": keys, "n_tokens": [len((t or b"").split()) for t in texts]}
-
-    texts = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
-    own = map_batches(texts, ["row", "text"], "row long, history long, word long, n int", pairs)
-    sums = own.join(pair_losses(docs, targets), ["history", "word"]).groupBy("row").agg(
-        F.sum("n").alias("n"), *[F.sum(F.col("n") * F.col(f"{s}_loss")).alias(s) for s in ("target", "background")])
-    sums = stage(sums.select("row", *[
-        (F.col(s) / F.col("n")).alias(f"{s}_loss") for s in ("target", "background")]), "lm-sums")
-    rows = stage(map_batches(texts, ["doc_id", "row", "text"], "doc_id long, row long, n_tokens long", lengths), "lm-rows")
-    return rows.join(sums, "row", "left").select(
-        "doc_id", "n_tokens", "target_loss", "background_loss",
-        F.coalesce(F.col("target_loss") - F.col("background_loss"), F.lit(0.0)).alias("score"))
-
-
-def score_against(docs: DataFrame, labels: DataFrame, is_target: Column, **bounds) -> DataFrame:
-    """Scores of all documents against those whose label row fulfils ``is_target``; ``bounds`` as in ``train``."""
-    targets = labels.where(is_target)
-    return score(docs, train(docs, targets, **bounds)) if bounds else score_all(docs, targets)
+    rows = _texts(docs, labels.where(is_target))
+    sums = [F.sum(c).alias(c) for c in (*SIDES, "docs")]
+    every = stage(map_batches(rows, ["target", "text"], "g long, background long, target long, docs long", CountWords)
+                  .groupBy("g").agg(*sums), "lm-every-word")
+    total = every.agg(F.count("*").alias("words"), *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in SIDES]).first()
+    tokens = [float(total[s]) for s in SIDES]
+    sizes = Sizes(tokens, total["words"], [tokens[1] / tokens[0] if all(tokens) else 1.0, 1.0])
+    words = _kept(stage(every.where("docs > 1").select("g", *SIDES), "lm-words"), cache)
+    buckets = max(16, -(-int(sum(tokens)) // BUCKET))
+    counted = map_batches(rows, ["target", "text"], "bucket int, once int, keys binary, counts binary", lambda: CountBigrams(buckets))
+    pairs = _kept(stage(counted.groupBy("bucket").applyInArrow(_merge, "g long, background long, target long"), "lm-bigrams"), cache)
+    spark = docs.sparkSession.sparkContext
+    known = spark.broadcast([(c.keys, c.counts, c.filled) for c in (words, pairs)])
+
+    def passes(what: str):
+        """What a task says of its texts: sums of all that is known there, or the rows to be looked up."""
+        def make():
+            texts = Words()
+            of_words, of_pairs = (Counts(None, *c) for c in known.value)
+
+            def work(*cells):
+                keys, target, text = cells[-3:]
+                out: dict[str, list] = {c: [] for c in LOOKUPS[what]}
+                for at, (row, is_target, seq) in enumerate(zip(keys, target, texts(text))):
+                    side, n_all = int(is_target), max(0, len(seq) - 1)
+                    w, n = np.unique(seq[1:], return_counts=True)
+                    count, ask = of_words.find(w)
+                    own = [(n * (k == side), n_all * (k == side)) for k in (0, 1)]
+                    # A word of this document alone: nothing is left of it, whatever the side.
+                    count[side, ~ask & (count.sum(axis=0) == 0)] = n[~ask & (count.sum(axis=0) == 0)]
+                    if what == "words":
+                        found = np.flatnonzero(ask)
+                        values = {"row": [row] * len(found), "side": [side] * len(found), "g": w[found].view(np.int64).tolist(),
+                                  "n": n[found].tolist(), "n_all": [n_all] * len(found)}
+                    else:
+                        seen = bigrams(seq) if n_all else seq
+                        p, first, m = np.unique(seen, return_index=True, return_counts=True)
+                        pair_count, pair_ask = of_pairs.find(p)
+                        # The word that comes, its counts if they are here.
+                        word = np.searchsorted(w, seq[1:][first])
+                        here = ~ask[word]
+                        if what == "pairs":
+                            found = np.flatnonzero(pair_ask | (~here & (pair_count.sum(axis=0) > 0)))
+                            values = {"row": [row] * len(found), "side": [side] * len(found), "g": p[found].view(np.int64).tolist(),
+                                      "m": m[found].tolist(), "n": n[word[found]].tolist(), "n_all": [n_all] * len(found),
+                                      "word": w[word[found]].view(np.int64).tolist()}
+                            for k, s in enumerate(SIDES):
+                                values[f"word_{s}"] = [c if h else None for c, h in zip(count[k, word[found]].tolist(), here[found].tolist())]
+                        else:
+                            sums = []
+                            for k in (0, 1):
+                                loss = (n * word_terms(count[k], own[k], sizes, k))[~ask].sum()
+                                mine = (pair_count[:, here].sum(axis=0) > 0) & ~pair_ask[here]
+                                c = np.maximum(0, pair_count[k, here] - m[here] * (k == side))[mine]
+                                u = unigram(count[k], own[k], sizes, k)[word[here]][mine]
+                                sums.append(float(loss - (m[here][mine] * np.log1p(sizes.scale[k] * c / np.exp(u))).sum()))
+                            values = {"doc_id": [cells[0][at]], "row": [row], "n_tokens": [max(0, n_all - 1)], "n_all": [n_all],
+                                      "sum_background": [sums[0]], "sum_target": [sums[1]]}
+                    for c, v in values.items():
+                        out[c] += v
+                return out
+            return work
+        return make
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    base = map_batches(rows, ["doc_id", "row", "target", "text"], LOOKUPS_DDL["base"].format(id_type), passes("base"))
+    base = stage(base, "lm-base")
+    side = [F.col("side") == k for k in (0, 1)]
+
+    def less(column: str, k: int) -> Column:
+        return F.when(side[k], F.col(column)).otherwise(F.lit(0))
+
+    asked = map_batches(rows, ["row", "target", "text"], LOOKUPS_DDL["words"], passes("words"))
+    of_words = asked.join(words.table, "g", "left").select("row", *[
+        (F.col("n") * word_terms(F.coalesce(F.col(s), less("n", k)), (less("n", k), less("n_all", k)), sizes, k, F.log)).alias(s)
+        for k, s in enumerate(SIDES)])
+    asked = map_batches(rows, ["row", "target", "text"], LOOKUPS_DDL["pairs"], passes("pairs"))
+    asked = asked.join(pairs.table, "g")
+    # Few words that come in repeated bigrams are not among the most frequent.
+    rare = asked.where("word_target IS NULL").drop("word_target", "word_background").join(words.table.select(
+        F.col("g").alias("word"), *[F.col(s).alias(f"word_{s}") for s in SIDES]), "word")
+    both = asked.where("word_target IS NOT NULL").unionByName(rare.select(*asked.columns))
+    of_pairs = both.select("row", *[
+        (-F.col("m") * F.log1p(F.lit(sizes.scale[k]) * F.greatest(F.lit(0), F.col(s) - less("m", k)) / F.exp(unigram(
+            F.col(f"word_{s}"), (less("n", k), less("n_all", k)), sizes, k, F.log)))).alias(s) for k, s in enumerate(SIDES)])
+    more = of_words.unionByName(of_pairs).groupBy("row").agg(*[F.sum(s).alias(s) for s in SIDES])
+    # Rows of one text and side had their terms summed together.
+    copies = base.groupBy("row").agg(F.count("*").alias("copies"))
+    more = stage(more.join(copies, "row").select("row", *[(F.col(s) / F.col("copies")).alias(s) for s in SIDES]), "lm-looked-up")
+    losses = base.join(more, "row", "left").select("doc_id", "n_tokens", *[
+        F.when(F.col("n_all") > 0, (F.col(f"sum_{s}") + F.coalesce(s, F.lit(0.0))) / F.col("n_all")).alias(f"{s}_loss") for s in SIDES])
+    return losses.select("doc_id", "n_tokens", "target_loss", "background_loss",
+                         F.coalesce(F.col("target_loss") - F.col("background_loss"), F.lit(0.0)).alias("score"))
+
+
+LOOKUPS_DDL = {
+    "base": "doc_id {}, row long, n_tokens long, n_all long, sum_background double, sum_target double",
+    "words": "row long, side int, g long, n int, n_all long",
+    "pairs": "row long, side int, g long, m int, n int, n_all long, word long, word_background double, word_target double",
+}
+LOOKUPS = {kind: [part.split()[0] for part in ddl.split(", ")] for kind, ddl in LOOKUPS_DDL.items()}

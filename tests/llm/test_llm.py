@@ -294,69 +294,70 @@ def test_models_on_odd_rows(spark, odd, docs):
     assert langid.identify(pages, langid.train(docs.limit(0))).where("lang IS NOT NULL").count() == 0
 
 
-def test_language_scores_match_brute_force(spark, docs):
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
-    rows = docs.collect()
-    target = {r.doc_id for r in labels.collect() if r.quality == 1}
-    size, buckets = 300, 1 << 12
-    got = by_id(lm_score.score_against(docs, labels, F.col("quality") == 1, size=size, buckets=buckets))
-    words = {r.doc_id: (r.text or "").encode().lower().split() for r in rows}
-    counts = Counter(w for ws in words.values() for w in ws)
-    top = sorted(counts, key=lambda w: (-counts[w], lm_score.word_hash(w)))[:size]
-    number = {h: i + 1 for i, h in enumerate(sorted(lm_score.word_hash(w) for w in top))}
-    ids = {d: [number.get(lm_score.word_hash(w), 0) for w in ws] for d, ws in words.items()}
-
-    def cell(a, b):
-        return ((a << 32 | b) * 0x9E3779B97F4A7C15 % 2**64 >> 20) % buckets
-    pair, uni, hist = [Counter(), Counter()], [Counter(), Counter()], [Counter(), Counter()]
-    for d, own in ids.items():
-        k = d in target
-        for a, b in zip([size + 1, *own], own):
-            pair[k][cell(a, b)] += 1
-            uni[k][b] += 1
-            hist[k][a] += 1
-    scale = [sum(uni[1].values()) / sum(uni[0].values()), 1]
-    some = [d for d in ids if ids[d]][:40]
-    for d in some:
-        loss = []
-        for k in (0, 1):
-            total = scale[k] * sum(uni[k].values()) + size + 2
-            loss.append(np.mean([-np.log(min(1, (
-                scale[k] * pair[k][cell(a, b)] + 50 * (scale[k] * uni[k][b] + 1) / total) / (scale[k] * hist[k][a] + 50)))
-                for a, b in zip([size + 1, *ids[d]], ids[d])]))
-        assert abs(got[d].score - (loss[1] - loss[0])) < 1e-6
-
-
-def test_language_scores_count_every_word_and_bigram(spark):
-    """More words than any fixed vocabulary: words met once or twice keep counts of their own."""
-    random = np.random.default_rng(7)
-    texts = {i: " ".join(f"w{x}" for x in random.integers(0, 200_000, 500)) for i in range(240)}
-    texts |= {1000: "", 1001: None, 1002: "w1 W1\tw1", 1003: texts[5], 1004: "only here"}
-    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(240)], "doc_id long, quality int")
-    got = by_id(lm_score.score_against(d, labels, F.col("quality") == 1))
-    pair, uni, hist = [Counter(), Counter()], [Counter(), Counter()], [Counter(), Counter()]
-    ids = {i: (t or "").lower().split() for i, t in texts.items()}
+def plain_scores(texts, target):
+    """id -> (words, loss by side, score), every document scored by the counts of all others."""
+    ids = {i: (t or "").encode().lower().split() for i, t in texts.items()}
+    ids = {i: ["", *w, ""] if w else [] for i, w in ids.items()}
+    pair, uni = [Counter(), Counter()], [Counter(), Counter()]
     for i, own in ids.items():
-        k = i < 240 and i % 3 == 0
-        for a, b in zip(["", *own], own):
-            pair[k][a, b] += 1
-            uni[k][b] += 1
-            hist[k][a] += 1
-    n_words = len(set(uni[0]) | set(uni[1]))
-    assert n_words > lm_score.VOCABULARY and set(got) == set(ids)
-    scale = [sum(uni[1].values()) / sum(uni[0].values()), 1]
+        pair[i in target].update(zip(own, own[1:]))
+        uni[i in target].update(own[1:])
+    tokens, words = [sum(u.values()) for u in uni], len(set(uni[0]) | set(uni[1]))
+    scale = [tokens[1] / tokens[0] if all(tokens) else 1, 1]
+    out = {}
     for i, own in ids.items():
+        n, loss = len(own) - 1, [None, None]
+        for k in (0, 1) if own else ():
+            mine = k == (i in target)
+            p, u = Counter(zip(own, own[1:])), Counter(own[1:])
+            total = 0
+            for (a, b), m in p.items():
+                one = (scale[k] * (uni[k][b] - mine * u[b]) + 1) / (scale[k] * (tokens[k] - mine * n) + words)
+                total -= m * np.log((scale[k] * (pair[k][a, b] - mine * m) + 50 * one) / (scale[k] * (uni[k][a] - mine * u[a]) + 50))
+            loss[k] = total / n
+        out[i] = max(0, n - 1), *loss, loss[1] - loss[0] if own else 0.0
+    return out
+
+
+@pytest.mark.parametrize("cache", [0, 40, 1 << 18])
+def test_language_scores_match_brute_force(spark, monkeypatch, cache):
+    """Whatever is known in every task, and however often tasks sum: the counts of all other documents."""
+    monkeypatch.setattr(lm_score, "FLUSH", 3000)
+    monkeypatch.setattr(lm_score, "BUCKET", 1000)
+    random = np.random.default_rng(7)
+    texts = {i: " ".join(f"w{int(x)}" for x in random.pareto(0.7, int(random.integers(1, 200)))) for i in range(150)}
+    texts |= {1000: "", 1001: None, 1002: "w1 W1\tw1", 1003: texts[5], 1004: "only here", 1005: texts[6], 1006: texts[5]}
+    target = {i for i in range(150) if i % 3 == 0} | {1005}
+    d = spark.createDataFrame([(i, t, 1, 2) for i, t in texts.items()], "doc_id long, text string, row int, target int")
+    labels = spark.createDataFrame([(i, int(i in target)) for i in range(1010)], "doc_id long, quality int")
+    got = by_id(lm_score.score_against(d, labels, F.col("quality") == 1, cache))
+    want = plain_scores(texts, target)
+    assert set(got) == set(want)
+    for i, (n, background, aim, score) in want.items():
         r = got[i]
-        assert r.n_tokens == len(own)
-        if not own:
-            assert (r.target_loss, r.background_loss, r.score) == (None, None, 0)
-            continue
-        loss = [np.mean([-np.log((scale[k] * pair[k][a, b] + 50 * (scale[k] * uni[k][b] + 1) / (
-            scale[k] * sum(uni[k].values()) + n_words)) / (scale[k] * hist[k][a] + 50)) for a, b in zip(["", *own], own)])
-            for k in (0, 1)] if i in (0, 1, 5, 239, 1002, 1003, 1004) else None
-        if loss:
-            assert abs(r.background_loss - loss[0]) < 1e-9 and abs(r.target_loss - loss[1]) < 1e-9
+        assert r.n_tokens == n and abs(r.score - score) < 1e-9
+        assert (r.target_loss is None) == (aim is None) and (aim is None or abs(r.target_loss - aim) + abs(r.background_loss - background) < 1e-9)
+
+
+def test_language_scores_do_not_tell_who_was_counted(spark):
+    """Good documents score alike whether they were among the target or not, and below the others."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    counted = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    scored = lm_score.score_against(docs, labels, (F.col("quality") == 1) & counted)
+    rows = scored.join(labels, "doc_id").select("score", "quality", counted.alias("counted")).collect()
+    inside, outside, low = (np.array([r.score for r in rows if (r.quality, r.counted) in kinds]) for kinds in (
+        {(1, True)}, {(1, False)}, {(0, True), (0, False)}))
+    assert min(map(len, (inside, outside, low))) > 20
+    assert abs(np.median(inside) - np.median(outside)) < 0.25 * (np.median(low) - np.median(outside))
+    assert np.mean(outside[:, None] < low[None, :]) > 0.7  # 0.74 on these thousand documents
+
+
+def test_language_scores_of_nothing(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    assert lm_score.score_against(docs.limit(0), labels, F.col("quality") == 1).collect() == []
+    none = lm_score.score_against(docs, labels.limit(0), F.col("quality") == 1)
+    assert none.count() == docs.count() and none.where("score IS NULL").count() == 0
 
 
 def test_quality_held_out(spark):
