@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from parity.registry import check
-from tarnlake.operators import access, audit, lint, pii, tags
+from tarnlake.operators import access, audit, lineage, lint, pii, tags
 from tarnlake.operators.upsert import upsert
 from tarnlake.plans.governance import TAG_COLUMNS, pii_scan, pii_scan_raw, reconcile_tags, scan_raw_folders
 from tarnlake.session import new_path
@@ -434,3 +434,28 @@ def pii_raw_rejected(t):
     """How many lines fitted nowhere, and how many of them hold a number like an SSN."""
     found = scan_raw_folders(t.spark, [mixed_folder(t)], "raw_db", tag_rows(t))
     return found.report.select("table", "kind", "files", "rejected", "ssn_hits")
+
+
+# A table flows into the next one of the following database, column by column.
+FLOWS = """SELECT a.db AS from_database, a.tbl AS from_table, a.col AS from_column, b.db AS database, b.tbl AS "table", b.col AS "column"
+    FROM v_columns a JOIN v_columns b ON b.o_orderkey = a.o_orderkey + 9 WHERE a.db <> 'scratch_db'"""
+RANK = "CASE val WHEN 'none' THEN 0 WHEN 'quasi' THEN 1 WHEN 'direct' THEN 2 END"
+
+
+@check(f"""SELECT d AS database, t AS "table", c AS "column", value, CASE r WHEN 1 THEN 'quasi' ELSE 'direct' END AS inherited FROM (
+      SELECT o.d, o.t, o.c, min(own.val) AS value, max(o.r) AS r, max(coalesce({RANK.replace("val", "own.val")}, 0)) AS now FROM (
+        SELECT p.d, p.t, p.c, {RANK} AS r FROM paths p JOIN v_tags s ON s.db = p.fd AND s.tbl = p.ft AND s.col = p.fc AND s.tag = 'PII') o
+      LEFT JOIN v_tags own ON own.db = o.d AND own.tbl = o.t AND own.col = o.c AND own.tag = 'PII' GROUP BY o.d, o.t, o.c)
+    WHERE r > now""",
+       flows=FLOWS.replace('"table"', '"to_table"').replace('"column"', '"to_column"'),
+       one="SELECT from_database AS fd, from_table AS ft, from_column AS fc, database AS d, to_table AS t, to_column AS c FROM flows",
+       two="SELECT a.fd, a.ft, a.fc, b.d, b.t, b.c FROM one a JOIN one b ON a.d = b.fd AND a.t = b.ft AND a.c = b.fc",
+       three="SELECT a.fd, a.ft, a.fc, b.d, b.t, b.c FROM two a JOIN one b ON a.d = b.fd AND a.t = b.ft AND a.c = b.fc",
+       paths="SELECT * FROM one UNION SELECT * FROM two UNION SELECT * FROM three")
+def tag_lineage(t):
+    """Columns tagged less strictly than a column they are made from, over up to three tables."""
+    a, b = (t("v_columns").select(*[F.col(c).alias(f"{k}_{c}") for c in ("db", "tbl", "col", "o_orderkey")]) for k in "ab")
+    flows = a.join(b, F.col("b_o_orderkey") == F.col("a_o_orderkey") + 9).where("a_db <> 'scratch_db'").select(
+        F.col("a_db").alias("from_database"), F.col("a_tbl").alias("from_table"), F.col("a_col").alias("from_column"),
+        F.col("b_db").alias("database"), F.col("b_tbl").alias("table"), F.col("b_col").alias("column"))
+    return lineage.weaker_than_source(tag_rows(t), flows)

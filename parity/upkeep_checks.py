@@ -5,6 +5,7 @@ file-based operators over them and return what a reader then finds.
 """
 
 import posixpath
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,8 +13,9 @@ from pyspark.sql.types import StructType
 from parity.registry import check
 from parity.star_checks import CHANGED, DIM, NOW, SCD2, TXN, TXN_UPDATES, merged_sql, wall_clock
 from tarnlake import schemas
-from tarnlake.functions.columns import location_parts
+from tarnlake.functions.columns import iso_day, location_parts
 from tarnlake.operators import star, upkeep
+from tarnlake.plans import maintenance
 from tarnlake.plans import star as plans_star
 from tarnlake.session import new_path
 from tarnlake.sinks import compaction, tables, versions
@@ -334,3 +336,61 @@ def mart_incremental(t):
 def changed_days(t):
     """Days that rows left or came to, as two tracked merges noted them."""
     return tables.changed_partitions(t.spark, two_batches(t))[0].select("transaction_day").distinct()
+
+
+@check("""SELECT t AS "table", step, ok, message FROM (
+      SELECT 'stored' AS t, 'compact' AS step, true AS ok, concat(CAST(count(DISTINCT region_code) AS STRING), ' partitions') AS message FROM v_txn
+      UNION ALL SELECT 'stored', 'expire', true, '2 versions' FROM (SELECT 1)
+      UNION ALL SELECT 'stored', 'orphans', true, concat(CAST(count(DISTINCT region_code) AS STRING), ' files') FROM v_txn
+      UNION ALL SELECT 'absent', 'compact', false, 'AnalysisException' FROM (SELECT 1))""")
+def maintain_status(t):
+    name, root, stray = maintained(t)
+    status = maintenance.maintain(
+        t.spark, f"absent_{name}, {name}", version_roots={name: root}, listed_roots={name: stray}, now=datetime(2100, 1, 1, tzinfo=timezone.utc))
+    return status.withColumn("table", F.when(F.col("table") == name, "stored").otherwise("absent")).withColumn(
+        "message", F.substring_index("message", ":", 1))
+
+
+def maintained(t):
+    """A stored table of eight small files a region, five versions of a result, and files that no table reads."""
+    name = new_table(t, fields(schemas.TRANSACTIONS, ["transaction_id", "amount", "region_code"]), ["region_code"])
+    rows = t("v_txn").select("transaction_id", "amount", "region_code")
+    rows.repartition(8).write.insertInto(name)
+    root, stray = new_path(t.spark, "versions"), new_path(t.spark, "stray")
+    for version in range(5):
+        versions.write_version(t("v_txn").groupBy("region_code").agg(F.count("*").alias("n")), root, "mart", str(version))
+    rows.repartition("region_code").write.partitionBy("region_code").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(stray)
+    return name, root, stray
+
+
+@check("SELECT DISTINCT concat('region_code=', region_code) AS folder FROM v_txn")
+def orphans_in_table(t):
+    """Files below the table's own folder that it does not read: those of partitions unknown to it."""
+    name = new_table(t, fields(schemas.TRANSACTIONS, ["transaction_id", "amount", "region_code"]), ["region_code"])
+    rows = t("v_txn").select("transaction_id", "amount", "region_code")
+    rows.coalesce(1).write.insertInto(name)
+    rows.repartition("region_code").write.partitionBy("region_code").option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{tables.table_location(t.spark, name)}/left-over")
+    found = maintenance.maintain_all(t.spark, name, now=datetime(2100, 1, 1, tzinfo=timezone.utc)).orphans
+    return found.where("path LIKE '%/left-over/%'").select(F.regexp_extract("path", "/([^/]*)/[^/]*$", 1).alias("folder"))
+
+
+@check("SELECT transaction_id, amount, region_code FROM v_txn")
+def empty_batch(t):
+    """A merge of no rows leaves the table as it is."""
+    name = stored_transactions(t)
+    tables.upsert_table(t.spark, name, t("v_txn_batch").limit(0), ["transaction_id"], TXN_UPDATES)
+    return tables.read_table(t.spark, name).select("transaction_id", "amount", "region_code")
+
+
+@check("SELECT strftime(ts, '%Y-%m-%d') AS event_day, count(*) AS n FROM events GROUP BY 1")
+def iso_days(t):
+    return t("events").groupBy(iso_day(F.col("ts")).alias("event_day")).agg(F.count("*").alias("n"))
+
+
+@check("""SELECT user_id, event_id FROM (SELECT *, row_number() OVER (
+      PARTITION BY user_id % 2 ORDER BY ts, event_id) AS rn FROM events) WHERE rn <= 2000""")
+def head_of_hot_groups(t):
+    """More rows a group than Spark cuts before the shuffle."""
+    rows = t("events").withColumn("half", F.col("user_id") % 2)
+    return upkeep.head_sample(rows, 2000, ["half"], ["ts", "event_id"]).select("user_id", "event_id")

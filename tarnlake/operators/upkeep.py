@@ -17,19 +17,34 @@ COMPACT_MIN_FILES = 5
 RETENTION_DAYS = 7
 RETAIN_LAST = 3
 STORAGE_DEPTH = 5
+# Rows a group up to which Spark's own limit of window groups applies, and parts of a group beyond it.
+WINDOW_LIMIT, PARTS = 1000, 64
 RAW_LIFECYCLE = {"archive": 30, "expire": 365}
 CONFORMED_LIFECYCLE = {"tier": 0}
 
 
-def retained_versions(versions: DataFrame, retain_last: int = RETAIN_LAST) -> DataFrame:
-    """The newest ``retain_last`` versions of each table.
+def first_per_group(
+    rows: DataFrame, n: int, by: Sequence[str], order: Sequence[Column | str], spread: Sequence[str],
+) -> DataFrame:
+    """The first ``n`` rows of each group.
 
-    ``row_number() <= n`` lets Spark cut each map task's rows to n per table
-    before the shuffle, so a table with very many versions stays small.
+    Up to ``WINDOW_LIMIT``, ``row_number() <= n`` lets Spark cut each map task's rows to n a group
+    before the shuffle.  For more it does not, so every group is first cut to n rows in each of
+    ``PARTS`` parts, dealt by a hash of the ``spread`` columns: no task gets a hot group whole.
     """
-    newest = Window.partitionBy("table").orderBy(F.desc("committed_at"), F.desc("version"))
-    return versions.withColumn("__rank", F.row_number().over(newest)).where(
-        F.col("__rank") <= retain_last).drop("__rank")
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    if n > WINDOW_LIMIT:
+        part = F.pmod(F.xxhash64(*spread), F.lit(PARTS))
+        inside = F.row_number().over(Window.partitionBy(*by, "__part").orderBy(*order))
+        rows = rows.withColumn("__part", part).withColumn("__inside", inside).where(
+            F.col("__inside") <= n).drop("__part", "__inside")
+    return rows.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
+
+
+def retained_versions(versions: DataFrame, retain_last: int = RETAIN_LAST) -> DataFrame:
+    """The newest ``retain_last`` versions of each table."""
+    newest = [F.desc("committed_at"), F.desc("version")]
+    return first_per_group(versions, retain_last, ["table"], newest, ["committed_at", "version"])
 
 
 def expired_versions(versions: DataFrame, older_than: Column, retain_last: int = RETAIN_LAST) -> DataFrame:
@@ -70,16 +85,19 @@ def storage_metrics(
     """Bytes and files under every folder prefix of up to ``max_depth`` levels."""
     bare = F.regexp_replace(F.col(path), "^[a-zA-Z0-9+.-]+:/+", "")
     parts = F.split(bare, "/")
-    folders = F.least(F.size(parts) - 1, F.lit(max_depth))
-    rows = files.withColumn("__parts", parts).withColumn("__folders", folders).where("__folders >= 1")
-    levels = rows.select(
-        size, *([modified] if modified else []), "__parts",
-        F.explode(F.sequence(F.lit(1), F.col("__folders"))).alias("depth"))
-    prefix = F.array_join(F.slice("__parts", F.lit(1), F.col("depth")), "/")
+    deepest = F.slice(parts, F.lit(1), F.greatest(F.lit(0), F.least(F.size(parts) - 1, F.lit(max_depth))))
+    # Files are summed in their deepest folder first, a row a folder and task; only folders are rolled up.
     totals = [F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("files")]
     if modified:
         totals.append(F.max(modified).alias("last_modified"))
-    return levels.groupBy(prefix.alias("prefix"), "depth").agg(*totals)
+    folders = files.select(size, *([modified] if modified else []), deepest.alias("__folder")).where(
+        F.size("__folder") >= 1).groupBy("__folder").agg(*totals)
+    levels = folders.select("*", F.explode(F.sequence(F.lit(1), F.size("__folder"))).alias("depth"))
+    prefix = F.array_join(F.slice("__folder", F.lit(1), F.col("depth")), "/")
+    rolled = [F.sum("bytes").alias("bytes"), F.sum("files").alias("files")]
+    if modified:
+        rolled.append(F.max("last_modified").alias("last_modified"))
+    return levels.groupBy(prefix.alias("prefix"), "depth").agg(*rolled)
 
 
 def compaction_plan(
@@ -117,8 +135,7 @@ def compaction_groups(
 
 def head_sample(lines: DataFrame, n: int, by: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first ``n`` rows of each group (a sampling operator)."""
-    first = Window.partitionBy(*by).orderBy(*order)
-    return lines.withColumn("__row", F.row_number().over(first)).where(F.col("__row") <= n).drop("__row")
+    return first_per_group(lines, n, by, order, order)
 
 
 def first_sample_file(
