@@ -1,8 +1,10 @@
 """Quality rules: counts of a text, and lines that too many documents of a host share.
 
-Lines are normalised and hashed, each document counts once for each different line,
-and lines in more documents of a host than its limit are boilerplate: they are
-removed, and a document with too little left is rejected.  Texts are read once for
+Lines are normalised and hashed, each different text of a host counts once for each
+different line, and lines in more texts of a host than its limit are boilerplate: they are
+removed, and a document with too little left is rejected.  The limit is a share of the host's
+texts, with a floor for small hosts, so verdicts do not depend on the size of the corpus, and
+copies of a text make none of its lines boilerplate.  Texts are read once for
 the counts; what is shuffled afterwards is a hash and two numbers a line.
 """
 
@@ -17,8 +19,8 @@ from tarnlake.llm.common import map_batches
 from tarnlake.session import stage
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 50, 50, 3
-# A line is boilerplate in more than this many documents of one host ...
-MAX_DOCUMENTS = 50
+# A line is boilerplate in more than this share of a host's different texts, and more than this many of them ...
+MAX_PERCENT, MAX_DOCUMENTS = 1, 50
 # ... and a document is depleted if it keeps fewer words or a smaller share of them.
 KEPT_WORDS, KEPT_PERCENT = 50, 50
 BLANKS = " \t\n\v\f\r"
@@ -68,45 +70,51 @@ COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_rep
 def profile(docs: DataFrame, host: Column) -> DataFrame:
     """``doc_id``, the counts and the hashed lines of every row, stored with a row number."""
     def make():
-        def work(ids, hosts, texts):
+        def work(ids, hosts, hashes, texts):
             found = [text_counts(t) for t in texts]
-            return {"doc_id": ids, "host": [None if h is None else h.decode() for h in hosts],
+            return {"doc_id": ids, "host": [None if h is None else h.decode() for h in hosts], "text_hash": hashes,
                     **{k: [f[k] for f in found] for k in text_counts(None)}}
         return work
 
-    rows = docs.select("doc_id", host.cast("string").alias("host"), "text")
+    rows = docs.select("doc_id", host.cast("string").alias("host"), F.xxhash64("text").alias("text_hash"), "text")
     counts = map_batches(
-        rows, ["doc_id", "host", "text"],
-        f"doc_id long, host string, {COUNTS}, lines array<struct<h: long, w: int>>", make)
+        rows, ["doc_id", "host", "text_hash", "text"],
+        f"doc_id long, host string, text_hash long, {COUNTS}, lines array<struct<h: long, w: int>>", make)
     return stage(counts.withColumn("row", F.monotonically_increasing_id()), "lines-profile")
 
 
-def boilerplate(profiles: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
-    """``key`` of each line in more than ``max_documents`` documents of a host, with that number."""
-    own = profiles.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x.h))).alias("h"))
-    return own.groupBy(F.xxhash64("host", "h").alias("key")).agg(F.count("*").alias("documents")).where(
-        F.col("documents") > max_documents)
+def boilerplate(profiles: DataFrame, max_documents: int = MAX_DOCUMENTS, max_percent: float = MAX_PERCENT) -> DataFrame:
+    """``key`` of each line in more than its host's limit of different texts, with their number."""
+    # Copies are one text: reduced in each task before the shuffle.
+    texts = stage(profiles.where(F.size("lines") > 0).groupBy("host", "text_hash").agg(F.first(
+        F.array_distinct(F.transform("lines", lambda x: x.h))).alias("lines")), "lines-texts")
+    hosts = texts.groupBy(F.xxhash64("host").alias("of")).agg(F.count("*").alias("texts"))
+    own = texts.select("host", F.explode("lines").alias("h"))
+    shared = own.groupBy(F.xxhash64("host").alias("of"), F.xxhash64("host", "h").alias("key")).agg(
+        F.count("*").alias("documents")).where(F.col("documents") > max_documents)
+    limit = F.col("texts") * F.lit(max_percent)
+    return shared.join(hosts, "of").where(100 * F.col("documents") > limit).select("key", "documents")
 
 
 def line_quality(
     docs: DataFrame, host: Column | str = "source", max_documents: int = MAX_DOCUMENTS,
-    kept_words: int = KEPT_WORDS, kept_percent: int = KEPT_PERCENT,
+    kept_words: int = KEPT_WORDS, kept_percent: int = KEPT_PERCENT, max_percent: float = MAX_PERCENT,
 ) -> DataFrame:
     """One row per document: its counts, ``n_removed_words``, ``removed`` (numbers among
     the lines with a word), ``base_failed`` and ``kept``.
 
     A NULL or blank text has no words and fails.  Rows with a NULL host are one
-    host.  A repeated row counts as a document of its own and gets its own verdict.
+    host.  Every row gets its own verdict, but copies of a text count once.
     """
     host = F.col(host) if isinstance(host, str) else host
     found = profile(docs, host)
-    common = stage(boilerplate(found, max_documents), "lines-common")
+    common = stage(boilerplate(found, max_documents, max_percent), "lines-common")
     lines = found.select("row", "host", F.posexplode("lines").alias("i", "l")).select(
         "row", "i", F.col("l.w").alias("w"), F.xxhash64("host", "l.h").alias("key"))
     gone = lines.join(common.select("key"), "key").groupBy("row").agg(
         F.sum("w").alias("n_removed_words"), F.sort_array(F.collect_list("i")).alias("removed"))
     gone = stage(gone, "lines-gone")
-    rows = found.drop("lines", "host").join(gone, "row", "left").drop("row")
+    rows = found.drop("lines", "host", "text_hash").join(gone, "row", "left").drop("row")
     rows = rows.withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("long")))
     left = F.col("n_words") - F.col("n_removed_words")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from tarnlake.llm.conversation_trie import FAMILY, SHARED_TURNS
 from tarnlake.llm.jaccard_join import PERCENT, WIDTH
-from tarnlake.llm.line_frequency import KEPT_PERCENT, KEPT_WORDS, MAX_DOCUMENTS
-from tarnlake.llm.queries import LISTED, RULES
+from tarnlake.llm.line_frequency import KEPT_PERCENT, KEPT_WORDS, MAX_DOCUMENTS, MAX_PERCENT
+from tarnlake.llm.queries import JUNK, RULES
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
 
@@ -17,7 +17,10 @@ l AS (SELECT r, source, unnest(string_split(t, chr(10))) AS l FROM d),
 lw AS (SELECT r, source, l, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS lw FROM l),
 lines AS (SELECT r, source, l, len(lw) AS n, translate(array_to_string(lw, ' '),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lw WHERE len(lw) > 0),
-common AS (SELECT source, key FROM lines GROUP BY ALL HAVING count(DISTINCT r) > {MAX_DOCUMENTS}),
+hosts AS (SELECT lines.source, count(DISTINCT t) AS texts FROM lines JOIN d USING (r) GROUP BY lines.source),
+common AS (SELECT lines.source, key FROM lines JOIN d USING (r) JOIN hosts ON hosts.source IS NOT DISTINCT FROM lines.source
+    GROUP BY lines.source, key, texts
+    HAVING count(DISTINCT t) > {MAX_DOCUMENTS} AND 100 * count(DISTINCT t) > {MAX_PERCENT} * texts),
 removed AS (SELECT r, sum(n) AS n FROM lines JOIN common
     ON lines.key = common.key AND lines.source IS NOT DISTINCT FROM common.source GROUP BY r),
 dup AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY r),
@@ -52,16 +55,18 @@ FROM d LEFT JOIN gone USING (r)
 """,
     "op9_url_cascade": rf"""
 WITH rules(verdict, host, path) AS (VALUES {_RULES}),
-u AS (SELECT row_number() OVER () AS r, page_id,
+u AS (SELECT row_number() OVER () AS r, page_id, html,
     CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
-p AS (SELECT r, page_id, translate(regexp_extract(rest, '^[^/?#]*'),
+p AS (SELECT r, page_id, html, translate(regexp_extract(rest, '^[^/?#]*'),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 fit AS (SELECT r, arg_max({{'rule': rules.host || rules.path, 'verdict': verdict}}, len(rules.host || rules.path)) AS b
     FROM p JOIN rules ON (p.host = rules.host OR ends_with(p.host, '.' || rules.host))
-    AND starts_with(p.path, rules.path) GROUP BY r)
+    AND starts_with(p.path, rules.path) GROUP BY r),
+listed AS (SELECT host FROM p WHERE host <> '' GROUP BY host
+    HAVING 100 * count(*) FILTER (WHERE regexp_matches(html, '{JUNK}')) >= 50 * count(*))
 SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict,
-    CASE WHEN regexp_matches(host, '{LISTED}') THEN 'block' ELSE 'allow' END) AS verdict
+    CASE WHEN host IN (SELECT host FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN fit USING (r)
 """,
     "op10_decontaminate": r"""

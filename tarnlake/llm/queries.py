@@ -12,12 +12,12 @@ from tarnlake.llm import (
     simhash, toxicity, url_cascade, whitening)
 from tarnlake.llm.common import load
 
-# Allow and block rules, and words that put a host on the block list.
+# Allow and block rules.
 RULES = [
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"), ("block", "com", "/de/")]
-BLOCKED_WORDS = ["adult", "ads", "bets", "casino", "pills", "spam"]
-LISTED = rf"(^|[.-])({'|'.join(BLOCKED_WORDS)})([.-]|$)"
+# A page is junk that holds runs of symbols; a host with half of its pages junk is on the block list.
+JUNK = "[#*%]{3}"
 
 
 def tokenizer_path() -> str:
@@ -66,7 +66,8 @@ def op8_line_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_url_cascade(spark: SparkSession, folder: str) -> DataFrame:
-    return url_cascade.judge_urls(load(spark, folder, "pages"), RULES, F.col("key").rlike(LISTED))
+    pages = load(spark, folder, "pages")
+    return url_cascade.judge_urls(pages, RULES, url_cascade.hosts_by_content(pages, F.col("html").rlike(JUNK)))
 
 
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

@@ -78,13 +78,17 @@ class Cascade:
         return answer
 
 
-def mark_listed(rows: DataFrame, key: str, listed: Column, shard_keys: int = SHARD_KEYS) -> DataFrame:
+def mark_listed(rows: DataFrame, key: str, listed: Column | DataFrame, shard_keys: int = SHARD_KEYS) -> DataFrame:
     """``rows`` with a boolean ``listed``: whether their key is on the list.
 
-    ``listed`` is the list, as a predicate over ``key``; it is evaluated once for
-    each distinct key.  A NULL key is not listed.
+    ``listed`` is the list: a table with a column ``key``, of any size, or a predicate over
+    ``key``.  Either meets each distinct key once, when the cascade is built; keys of the list that
+    the rows lack, NULL and repeated ones change nothing.  A NULL key is not listed.
     """
     universe = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.lit(1).alias("one"))
+    if isinstance(listed, DataFrame):
+        on_list = listed.select("key").where("key IS NOT NULL").distinct().withColumn("__on", F.lit(True))
+        universe, listed = universe.join(on_list, "key", "left"), F.col("__on").isNotNull()
     universe = stage(universe.select("key", listed.alias("listed")), "cascade-keys")
     held = universe.where("listed").count()
     shards = max(1, -(-held // shard_keys))
@@ -95,8 +99,16 @@ def mark_listed(rows: DataFrame, key: str, listed: Column, shard_keys: int = SHA
     return rows.withColumn("key", F.col(key)).withColumn("listed", F.col("key").isNotNull() & answer).drop("key")
 
 
+def hosts_by_content(pages: DataFrame, bad: Column, percent: int = 50) -> DataFrame:
+    """``key``: hosts of which at least ``percent`` of the pages fulfil ``bad``; pages without a host name none."""
+    host, _ = url_parts(F.col("url"))
+    share = pages.select(host.alias("key"), F.coalesce(bad, F.lit(False)).alias("bad")).where("key <> ''").groupBy("key").agg(
+        F.count("*").alias("n"), F.count_if("bad").alias("n_bad"))
+    return share.where(100 * F.col("n_bad") >= percent * F.col("n")).select("key")
+
+
 def judge_urls(
-    pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: Column, shard_keys: int = SHARD_KEYS,
+    pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: Column | DataFrame, shard_keys: int = SHARD_KEYS,
 ) -> DataFrame:
     """``page_id, host, path, rule, verdict``: a rule's verdict, else block for listed hosts and allow for others.
 

@@ -148,6 +148,26 @@ def test_line_frequency_corner_cases(spark, odd):
     assert clean[1].text == f"{words} 1" and clean[2].text == f"common line 2\n{words} 2"
 
 
+@pytest.mark.parametrize("copies", [1, 60, 400])
+def test_copies_make_no_line_boilerplate(spark, copies):
+    clean = "\n".join(" ".join(f"w{i}" for i in range(k, k + 20)) for k in range(0, 80, 20))
+    rows = [(i, clean, "h") for i in range(copies)]
+    rows += [(1000 + i, f"menu of the host\n" + " ".join(f"v{i}x{k}" for k in range(60)), "h") for i in range(120)]
+    rows += [(2000 + i, "menu of the host\n" + " ".join(f"u{i}x{k}" for k in range(60)), None) for i in range(40)]
+    got = by_id(line_frequency.line_quality(spark.createDataFrame(rows, "doc_id long, text string, source string")))
+    assert all(got[i].kept and not got[i].n_removed_words for i in range(copies))
+    assert {got[1000 + i].n_removed_words for i in range(120)} == {4} and {got[2000 + i].n_removed_words for i in range(40)} == {0}
+
+
+def test_the_line_limit_is_a_share_of_the_host(spark):
+    def host(name, n, shared):
+        return [(i, ("shared by some\n" if i < shared else "") + " ".join(f"{name}{i}x{k}" for k in range(60)), name) for i in range(n)]
+    rows = spark.createDataFrame(host("a", 400, 100) + host("b", 4000, 100), "doc_id long, text string, source string")
+    found = line_frequency.line_quality(rows, max_percent=5).groupBy("n_removed_words").count().collect()
+    # A quarter of one host; of the other, ten times as large, a fortieth.
+    assert {r.n_removed_words: r["count"] for r in found} == {3: 100, 0: 4300}
+
+
 # 6
 
 def test_packing_is_an_exact_partition(spark, docs):
@@ -231,6 +251,23 @@ def test_cascade_is_exact(spark, shard_keys):
     assert want.where("w <> listed").count() == 0 and want.where("listed").count() == (40 if shard_keys > 3 else 7)
 
 
+@pytest.mark.parametrize("shard_keys", [2, 1 << 20])
+def test_a_list_of_keys_is_a_table(spark, shard_keys):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3), (None, 4), ("c", 5), ("d", 6), ("e", 7)], "host string, key int")
+    keys = spark.createDataFrame([("a",), ("a",), (None,), ("x",), ("d",), ("e",)], "key string")
+    found = url_cascade.mark_listed(rows.select("host"), "host", keys, shard_keys).collect()
+    assert sorted((str(r.host), r.listed) for r in found) == [
+        ("None", False), ("a", True), ("a", True), ("b", False), ("c", False), ("d", True), ("e", True)]
+    assert url_cascade.mark_listed(rows.select("host").limit(0), "host", keys, shard_keys).count() == 0
+    assert not any(r.listed for r in url_cascade.mark_listed(rows.select("host"), "host", keys.limit(0), shard_keys).collect())
+    pages = spark.createDataFrame([(1, "http://A/x", "junk"), (2, "http://a/", None), (2, "http://a/", None), (3, "http://b", "junk"),
+                                   (4, None, "junk"), (5, "no host", "junk")], "page_id long, url string, html string")
+    assert [r.key for r in url_cascade.hosts_by_content(pages, F.col("html") == "junk").collect()] == ["b"]
+    judged = url_cascade.judge_urls(pages, [], url_cascade.hosts_by_content(pages, F.col("html") == "junk", 30), shard_keys).collect()
+    assert sorted((r.page_id, r.verdict) for r in judged) == [(1, "block"), (2, "block"), (2, "block"), (3, "block"), (4, "allow"), (5, "allow")]
+    assert url_cascade.judge_urls(pages.limit(0), queries.RULES, keys).count() == 0
+
+
 def test_urls(spark):
     urls = ["http://A.Example.ORG/es/x?q", "http://a.org", "ftp://x.com/fr/", "noscheme", None, "http://notexample.org/en/12", "s://b.example.org/en/12"]
     pages = spark.createDataFrame([(i, u, "") for i, u in enumerate(urls)], "page_id long, url string, key string")
