@@ -4,7 +4,7 @@ The evidence is the visible text (character n-grams), the language that the mark
 declares, the last label of the host and the host itself.  How far declarations
 and suffixes can be trusted, and what is usual on a host, is counted over all
 pages from the posteriors of their texts: grouped sums, smoothed from host to
-domain to the whole corpus, with a page's own share taken out of its host's.
+domain to the whole corpus, with a page's own share taken out of every one.
 """
 
 from __future__ import annotations
@@ -144,28 +144,28 @@ def identify(pages: DataFrame, model: Model, prior: float = PRIOR) -> DataFrame:
         return stage(rows.groupBy(key).agg(sums.alias(f"{key}_n")), f"lang-{key}")
 
     total = rows.agg(sums.alias("n")).first()["n"]
-    total = [x or 0.0 for x in total]
-    base = F.array(*[F.lit((x + 1) / (sum(total) + n)) for x in total])
-    weight = F.array(*[F.lit(x) for x in total])
     joined = rows
     for key in ("host", "domain", "suffix", "declared"):
         joined = joined.join(counted(key), key)
+    joined = joined.withColumn("all_n", F.array(*[F.lit(float(x or 0.0)) for x in total]))
 
     def summed(values: Column) -> Column:
         return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
-    def smoothed(counts: Column, wider: Column) -> Column:
-        return F.zip_with(counts, wider, lambda c, w: (c + prior * w) / (summed(counts) + prior))
+    def smoothed(counts: str, wider: str) -> Column:
+        return F.zip_with(counts, wider, lambda c, w: (c + prior * w) / (summed(F.col(counts)) + prior))
 
-    # A page's own posterior is left out of its host's and its domain's counts.
-    others = [F.zip_with(f"{key}_n", "p", lambda c, p: F.greatest(c - p, F.lit(0.0))) for key in ("host", "domain")]
-    joined = joined.select("*", others[0].alias("host_o"), others[1].alias("domain_o"))
-    joined = joined.withColumn("domain_p", smoothed(F.col("domain_o"), base))
-    joined = joined.withColumn("host_p", smoothed(F.col("host_o"), F.col("domain_p")))
+    # A page's own posterior is left out of all counts that judge it.
+    joined = joined.select("*", *[
+        F.zip_with(f"{key}_n", "p", lambda c, p: F.greatest(c - p, F.lit(0.0))).alias(f"{key}_o")
+        for key in ("host", "domain", "suffix", "declared", "all")])
+    joined = joined.withColumn("base", F.transform("all_o", lambda x: (x + 1) / (summed(F.col("all_o")) + n)))
+    joined = joined.withColumn("domain_p", smoothed("domain_o", "base"))
+    joined = joined.withColumn("host_p", smoothed("host_o", "domain_p"))
 
     def given_language(key: str) -> Column:
         """log P(key's value | language), smoothed by one page; nothing declared says nothing."""
-        own = F.zip_with(f"{key}_n", weight, lambda c, w: F.log((c + 1.0) / (w + float(n))))
+        own = F.zip_with(f"{key}_o", "all_o", lambda c, w: F.log((c + 1.0) / (w + float(n))))
         return F.when(F.col(key) == "", F.array_repeat(F.lit(0.0), n)).otherwise(own)
 
     logs = F.zip_with("text_log", F.transform("host_p", lambda p: F.log(p)), lambda a, b: a + b)
