@@ -44,7 +44,8 @@ def grams(text: str) -> np.ndarray:
             code = letters[: len(letters) - n + 1].copy()
             for j in range(1, n):
                 code = code << np.uint64(21) | letters[j: len(letters) - n + 1 + j]
-            code = code[code != 32] + np.uint64(n)
+            blank = np.uint64(sum(32 << 21 * j for j in range(n)))
+            code = code[code != blank] + np.uint64(n)
             out.append((code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)).astype(np.int64))
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
