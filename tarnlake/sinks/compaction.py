@@ -51,9 +51,10 @@ def compact_table(
     written = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{work}/data").select(
         F.col("path").alias("source"), F.url_decode(F.regexp_extract("path", "__group=([^/]*)/", 1)).alias("__group"))
     places = groups.select("partition", "group").distinct().select(
-        "partition", F.concat_ws(":", F.sha2("partition", 256), F.col("group").cast("string")).alias("__group"))
+        "partition", "group", F.concat_ws(":", F.sha2("partition", 256), F.col("group").cast("string")).alias("__group"))
+    # A task gives files of all its groups one name.
     moves = written.join(places, "__group").select("source", F.concat(
-        F.lit(f"{root}/"), "partition", F.regexp_extract("source", "([^/]*)$", 1)).alias("target"))
+        F.lit(f"{root}/"), "partition", F.lit("part-g"), "group", F.lit("-"), F.regexp_extract("source", "part-([^/]*)$", 1)).alias("target"))
     # Row counts are in the footers.
     before, after = spark.read.schema(data).parquet(*paths).count(), spark.read.schema(data).parquet(f"{work}/data").count()
     if before != after:

@@ -118,6 +118,19 @@ def test_compaction_leaves_large_files_alone(spark, name, rows):
     assert not [r.path for r in tables.table_orphans(spark, name, F.lit("2100-01-01").cast("timestamp")).collect()]
 
 
+def test_a_partition_may_have_several_groups(spark, name, rows):
+    make(spark, name, ["kind"], {})
+    for i in range(12):
+        tables.append_table(spark, name, spark.range(i * 2000, (i + 1) * 2000).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("id"), F.lit("k").alias("kind"), F.col("id").alias("amount")).coalesce(1))
+    before, listed = rows(spark.table(name)), files_of(spark, name)
+    plan = compaction.compact_table(spark, name, max_bytes=4 * max(listed.values())).collect()
+    assert [(r.files, r.target_files) for r in plan] == [(12, 3)]
+    after = files_of(spark, name)
+    assert len(after) == 3 and not set(after) & set(listed)
+    assert rows(spark.table(name)) == before
+
+
 def test_groups_are_bounded_and_whole(spark):
     sizes = [5, 30, 30, 30, 40, 50, 99, 100, 250]
     files = spark.createDataFrame([("p", f"f{i}", n) for i, n in enumerate(sizes)] + [("q", "g", 1)], "part string, path string, length long")
