@@ -5,7 +5,7 @@ from __future__ import annotations
 from tarnlake.llm.conversation_trie import FAMILY, SHARED_TURNS
 from tarnlake.llm.jaccard_join import PERCENT, WIDTH
 from tarnlake.llm.line_frequency import KEPT_PERCENT, KEPT_WORDS, MAX_DOCUMENTS, MAX_PERCENT
-from tarnlake.llm.queries import JUNK, RULES
+from tarnlake.llm.queries import JUNK, JUNK_PERCENT, RULES
 
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
 
@@ -64,7 +64,7 @@ fit AS (SELECT r, arg_max({{'rule': rules.host || rules.path, 'verdict': verdict
     FROM p JOIN rules ON (p.host = rules.host OR ends_with(p.host, '.' || rules.host))
     AND starts_with(p.path, rules.path) GROUP BY r),
 listed AS (SELECT host FROM p WHERE host <> '' GROUP BY host
-    HAVING 100 * count(*) FILTER (WHERE regexp_matches(html, '{JUNK}')) >= 50 * count(*))
+    HAVING 100 * count(*) FILTER (WHERE regexp_matches(html, '{JUNK}')) >= {JUNK_PERCENT} * count(*))
 SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict,
     CASE WHEN host IN (SELECT host FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN fit USING (r)

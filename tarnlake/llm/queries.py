@@ -16,8 +16,8 @@ from tarnlake.llm.common import load
 RULES = [
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"), ("block", "com", "/de/")]
-# A page is junk that holds runs of symbols; a host with half of its pages junk is on the block list.
-JUNK = "[#*%]{3}"
+# A page is junk that holds runs of symbols; a host with a tenth of its pages junk is on the block list.
+JUNK, JUNK_PERCENT = "[#*%]{3}", 10
 
 
 def tokenizer_path() -> str:
@@ -67,7 +67,7 @@ def op8_line_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_url_cascade(spark: SparkSession, folder: str) -> DataFrame:
     pages = load(spark, folder, "pages")
-    return url_cascade.judge_urls(pages, RULES, url_cascade.hosts_by_content(pages, F.col("html").rlike(JUNK)))
+    return url_cascade.judge_urls(pages, RULES, url_cascade.hosts_by_content(pages, F.col("html").rlike(JUNK), JUNK_PERCENT))
 
 
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
