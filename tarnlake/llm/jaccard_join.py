@@ -29,7 +29,7 @@ few comparisons a member.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -384,16 +384,28 @@ def _candidates(members: DataFrame, hubs: DataFrame, percent: int, tried: DataFr
     return stage(pairs if tried is None else pairs.join(tried, ["src", "dst"], "left_anti"), "jaccard-pairs")
 
 
-def connect(found: DataFrame, percent: int = PERCENT, growth: int = GROWTH) -> DataFrame:
-    """``node, component_id`` of the classes of ``profiles`` that link with another; keys name the components."""
+def connect(
+    found: DataFrame, percent: int = PERCENT, growth: int = GROWTH, likely: DataFrame | None = None,
+) -> DataFrame:
+    """``node, component_id`` of the classes of ``profiles`` that link with another; keys name the components.
+
+    ``likely``: ``src, dst`` pairs that are verified first, so that what they connect is not compared again.
+    """
     rows = stage(postings(found, percent), "jaccard-postings")
     busy = stage(rows.groupBy("h").agg(F.count("*").alias("members")).where("members > 1").select("h"), "jaccard-busy")
-    members = stage(rows.join(busy, "h").withColumn("part", F.col("key")), "jaccard-members")
+    members, known = rows.join(busy, "h").withColumn("part", F.col("key")), None
+    if likely is not None:
+        known = stage(verified(likely, found, percent), "jaccard-known")
+        begun = stage(connected_components(known), "jaccard-begun")
+        members = members.drop("part").join(begun.withColumnRenamed("node", "key"), "key", "left").select(
+            *rows.columns, F.coalesce("component_id", "key").alias("part"))
+    members = stage(members, "jaccard-members")
     first = members.groupBy("h").agg(F.min(F.struct("at", "n", "key")).alias("f")).select("h", F.col("f.key").alias("first"))
     first = stage(first, "jaccard-first")
     hubs = members.join(first, "h").where(F.col("key") == F.col("first"))
     tried = _candidates(members, hubs, percent)
-    links = stage(verified(tried, found, percent), "jaccard-links")
+    links = verified(tried, found, percent)
+    links = stage(links if known is None else links.unionByName(known), "jaccard-links")
     roots = stage(connected_components(links), "jaccard-roots")
     growth = sample = max(2, growth)
     while True:
@@ -419,14 +431,20 @@ def connect(found: DataFrame, percent: int = PERCENT, growth: int = GROWTH) -> D
         members, tried, sample = members.select(*rows.columns, "part"), tried.unionByName(pairs), sample * growth
 
 
-def similar(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, growth: int = GROWTH) -> DataFrame:
+def similar(
+    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, growth: int = GROWTH,
+    likely: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Stored ``doc_id, text_hash, key, n, part`` of every row; rows of one component have one ``part``.
 
     ``part`` is the key of a set of the component; a text without words has neither.
+    ``likely`` gives pairs of keys that another method links, of one row of each class
+    and the ``text_hash, key`` of all; they are verified first.
     """
     found = stage(prints(docs, width), "jaccard-prints")
     total = found.agg(F.sum("n")).first()[0] or 0
-    roots = connect(profiles(one_of_each(docs, found), total, width, percent), percent, growth)
+    each = one_of_each(docs, found)
+    roots = connect(profiles(each, total, width, percent), percent, growth, likely(each, found) if likely else None)
     parts = found.join(roots.withColumnRenamed("node", "key"), "key", "left")
     return stage(parts.select("doc_id", "text_hash", "key", "n", F.coalesce("component_id", "key").alias("part")), "jaccard-similar")
 

@@ -15,8 +15,8 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from parity.compare import compare, connect
 from tarnlake.llm import (
-    components, decontaminate, langid, line_frequency, line_windows, lm_score, nbsvm, near_copies, oracles, packing,
-    queries, simhash, toxicity, url_cascade)
+    components, decontaminate, jaccard_join, langid, line_frequency, line_windows, lm_score, nbsvm, near_copies, oracles,
+    packing, queries, simhash, toxicity, url_cascade)
 
 SF = "/root/testdata/sf0.001"
 ODD = "doc_id long, text string, source string, label int, row string, `__gone` int, words int"
@@ -461,6 +461,29 @@ def test_near_copies_at_similarity_of_four_fifths(spark, growth):
     assert any(r.doc_id % 100 for r in kept)  # less similar texts of a group stay
 
 
+def test_near_copies_are_linked_by_simhash_first(spark, monkeypatch):
+    """Without the join: only pairs within three bits, and of them only those that are similar by four fifths."""
+    random = np.random.default_rng(17)
+
+    def apart(a, b):
+        return (plain_fingerprint(" ".join(a)) ^ plain_fingerprint(" ".join(b))).bit_count()
+
+    def words(n):
+        return [f"w{x}" for x in random.integers(0, 100_000, n)]
+    base, other = words(400), words(60)
+    close = next(c for c in ([*base[:k], "z", *base[k + 1:]] for k in range(400)) if 0 < apart(base, c) <= 3)
+    far = next(c for c in ([*base[:k], *words(12), *base[k + 12:]] for k in range(388)) if apart(base, c) > 3)
+    assert plain_similarity(" ".join(base), " ".join(far)) >= 0.8
+    repeated = ["a b c"] * 300 + other, ["a b c"] * 300 + words(60)
+    assert apart(*repeated) <= 3 and plain_similarity(*map(" ".join, repeated)) < 0.8
+    texts = {1: base, 2: close, 3: base, 4: far, 5: repeated[0], 6: repeated[1]}
+    d = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, d, SF).collect()) == [1, 5, 6]
+    monkeypatch.setattr(jaccard_join, "_candidates", lambda members, hubs, *rest: spark.createDataFrame(
+        [], "src binary, dst binary"))
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, d, SF).collect()) == [1, 4, 5, 6]
+
+
 def test_near_copies_corner_cases(spark, odd):
     kept = near_copies.keep_one(odd)
     assert kept.columns == odd.columns
