@@ -13,6 +13,7 @@ Only piece lengths and checksums are shuffled, never ids.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Callable
 
@@ -30,6 +31,9 @@ BLOCK_WINDOWS, BLOCK_ITEMS = 256, 8192
 # Chunks of text whose ids a worker keeps, at about 200 bytes each.
 CACHE_CHUNKS = 1_000_000
 _MARK = b"\x01"
+# A word of ASCII or Latin-1 letters, which is one token sequence, and closing punctuation, which is another; no
+# apostrophe, as in "'s".
+_word = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?)\]}]*)").fullmatch
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -37,9 +41,11 @@ class ChunkTokenizer:
     """Ids of a tokenizer that drops white space and never joins text across it.
 
     Then a text's ids are those of its blank-separated chunks, and most chunks
-    have been seen before.  Unseen ones are tokenized together, kept apart by a
-    control character with one id of its own; chunks that hold that character go
-    one by one.  ``tests/llm`` compares with the plain call.
+    have been seen before.  Of an unseen word with closing punctuation both are looked
+    up again.  Unseen words are tokenized together: each ends with its only id that
+    closes a word.  If their number does not say so, and for chunks that are no words,
+    they are kept apart by a control character with one id of its own; chunks that hold
+    that character go one by one.  ``tests/llm`` compares with the plain call.
     """
 
     def __init__(self, path: str, limit: int = CACHE_CHUNKS):
@@ -47,11 +53,43 @@ class ChunkTokenizer:
 
         self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
         (self.mark,) = self._ids([_MARK.decode()])[0]
+        suffix, vocabulary = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[bytes]) -> None:
+    def _learn(self, chunks: set[bytes]) -> None:
+        words, others, closed = set(), [], []
+        for chunk in chunks:
+            if found := _word(chunk):
+                word, end = found.groups()
+                words.add(word)
+                if end:
+                    closed.append((chunk, word, end))
+            else:
+                others.append(chunk)
+        self._learn_words(list(words.difference(self.known)))
+        self._learn_others([*others, *{end for _, _, end in closed}.difference(self.known, others)])
+        for chunk, word, end in closed:
+            self.known[chunk] = self.known[word] + self.known[end]
+
+    def _learn_words(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), 512):
+            part = words[at:at + 512]
+            ids = np.array(self._ids([b" ".join(part).decode()])[0], "<u4")
+            cuts = np.flatnonzero(self.closes[ids]) + 1
+            if len(cuts) != len(part):
+                self._learn_others(part)
+                continue
+            raw, low = ids.tobytes(), 0
+            for word, high in zip(part, cuts.tolist(), strict=True):
+                self.known[word] = raw[4 * low:4 * high]
+                low = high
+
+    def _learn_others(self, chunks: list[bytes]) -> None:
         plain = [c for c in chunks if _MARK not in c]
         odd = [c for c in chunks if _MARK in c]
         for at in range(0, len(plain), 512):
@@ -73,7 +111,7 @@ class ChunkTokenizer:
         parts = [(t if b"<|" in t else t.lower()).split() for t in texts]
         new = set().union(*parts).difference(self.known)
         if new:
-            self._learn(list(new))
+            self._learn(new)
         return [b"".join(map(self.known.__getitem__, chunks)) for chunks in parts]
 
 

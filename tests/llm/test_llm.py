@@ -213,6 +213,24 @@ def test_chunk_tokenizer_equals_plain_call():
         assert [np.frombuffer(b, "<u4").tolist() for b in got([t.encode() for t in texts])] == want
 
 
+def test_known_words_with_closing_punctuation_are_not_tokenized_again(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    plain = Tokenizer.from_file(path)
+    texts = [
+        "na\u00efve, stra\u00dfe. \u00d7, \u00f7. \u00c0 la, \u00b5m; e\u0301, \u00e9\u0301. a\u00a0b, \u00a0, x\u0338. it's, 's. abc's",
+        "abc'll) (word) [word]. word.., 3.14, word3. \u017f, \u0130. \u65e5\u672c. wo\u200drd, <|endoftext|>. Word, \u00c9T\u00c9."]
+    got = packing.ChunkTokenizer(path)
+    for _ in range(2):
+        assert [np.frombuffer(b, "<u4").tolist() for b in got([t.encode() for t in texts])] == [
+            plain.encode(t, add_special_tokens=False).ids for t in texts]
+    got([b"alpha beta x, y."])
+    monkeypatch.setattr(got, "_ids", lambda chunks: pytest.fail(f"tokenized again: {chunks}") if chunks else [])
+    assert np.frombuffer(got([b"Alpha, beta. beta,"])[0], "<u4").tolist() == plain.encode(
+        "alpha, beta. beta,", add_special_tokens=False).ids
+
+
 def test_differencing_is_near_equal_and_fits():
     sizes = np.random.default_rng(3).integers(1, 4096, 300).tolist()
     windows = packing.pack_block(sizes)
