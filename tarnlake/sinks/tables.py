@@ -41,6 +41,8 @@ log = logging.getLogger(__name__)
 
 # Shuffle block a written file is made from; its Parquet form is smaller.
 WRITE_BYTES = 256 << 20
+# Partitions that a task writes side by side, unsorted; one that meets more sorts the rows left, in memory for all of them.
+OPEN_FILES = 8
 # Beyond this many values of one partition column the scan is pruned by their range.
 MAX_LISTED_VALUES = 1000
 # Table property that names the staged rows of a write in progress.
@@ -117,7 +119,7 @@ def write_partitioned(
 ) -> None:
     """Write a Parquet folder tree partitioned by ``layout``, with derived partition columns."""
     rows = _clustered(add_derived(df, parse_all(day_columns, layout)), layout)
-    with _settings(df.sparkSession, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{WRITE_BYTES}b"}):
+    with writing(df.sparkSession):
         rows.write.mode(mode).option("compression", "snappy").partitionBy(*layout).parquet(path)
 
 
@@ -134,15 +136,20 @@ def _settings(spark: SparkSession, conf: Mapping[str, str]):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def writing(spark: SparkSession, block_bytes: int = WRITE_BYTES):
+    """Settings of a partitioned write: blocks of the size of a file, written without a sort of the rows of a task."""
+    return _settings(spark, {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{block_bytes}b",
+        "spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES),
+    })
+
+
 def _insert(
     spark: SparkSession, df: DataFrame, name: str, layout: Sequence[str], overwrite: bool,
     block_bytes: int = WRITE_BYTES,
 ) -> None:
     """Append, or replace exactly the partitions that ``df`` has rows for."""
-    with _settings(spark, {
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{block_bytes}b",
-    }):
+    with writing(spark, block_bytes), _settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         rows = _clustered(df.select(*spark.table(name).columns), layout)
         rows.write.insertInto(name, overwrite=overwrite)
 
@@ -361,7 +368,7 @@ def upsert_table(
     wanted = source.select(*keys)
     wanted = F.broadcast(wanted) if fits_broadcast(wanted) else stage(wanted.distinct(), "upsert-keys")
     matched = stage(
-        table.select(*dict.fromkeys([*keys, *layout])).join(wanted, list(keys), "left_semi").distinct(),
+        table.select(*dict.fromkeys([*keys, *layout])).join(wanted, list(keys), "left_semi"),
         "upsert-matched")
     folder = new_path(spark, "upsert-pending")
     touched = _stage_in(matched.select(*layout).distinct(), f"{folder}/touched")
