@@ -12,7 +12,7 @@ from tarnlake.operators.upkeep import COMPACT_MAX_BYTES, COMPACT_MIN_FILES, comp
 from tarnlake.session import stage
 from tarnlake.sinks import exchange
 from tarnlake.sinks.tables import (
-    EXCHANGE, PENDING, decoded, finish_pending, one_spelling, partition_columns, table_files, table_location)
+    EXCHANGE, PENDING, decoded, finish_pending, one_spelling, partition_columns, table_files, table_location, writing)
 from tarnlake.sources.policy import local_rows
 
 
@@ -46,8 +46,9 @@ def compact_table(
     keys = groups.select("path", F.concat_ws(":", F.sha2("partition", 256), F.col("group").cast("string")).alias("__group"))
     small = one_spelling(spark.read.schema(data).parquet(*paths).withColumn("path", decoded("_metadata.file_path")))
     # A group is one task's, and so one file.
-    small.join(keys, "path").drop("path").repartition("__group").write.option("compression", "snappy").partitionBy(
-        "__group").parquet(f"{work}/data")
+    with writing(spark):
+        small.join(keys, "path").drop("path").repartition("__group").write.option("compression", "snappy").partitionBy(
+            "__group").parquet(f"{work}/data")
     written = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{work}/data").select(
         F.col("path").alias("source"), F.url_decode(F.regexp_extract("path", "__group=([^/]*)/", 1)).alias("__group"))
     places = groups.select("partition", "group").distinct().select(
