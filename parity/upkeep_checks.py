@@ -371,11 +371,13 @@ def orphans_in_table(t):
     """Files below the table's own folder that it does not read: those of partitions unknown to it."""
     name = new_table(t, fields(schemas.TRANSACTIONS, ["transaction_id", "amount", "region_code"]), ["region_code"])
     rows = t("v_txn").select("transaction_id", "amount", "region_code")
-    rows.coalesce(1).write.insertInto(name)
-    rows.repartition("region_code").write.partitionBy("region_code").option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{tables.table_location(t.spark, name)}/left-over")
+    tables.append_table(t.spark, name, rows)
+    with tables.writing(t.spark):
+        rows.hint("rebalance", F.col("region_code")).write.partitionBy("region_code").option(
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{tables.table_location(t.spark, name)}/left-over")
     found = maintenance.maintain_all(t.spark, name, now=datetime(2100, 1, 1, tzinfo=timezone.utc)).orphans
-    return found.where("path LIKE '%/left-over/%'").select(F.regexp_extract("path", "/([^/]*)/[^/]*$", 1).alias("folder"))
+    left = found.where("path LIKE '%/left-over/%'")
+    return left.select(F.regexp_extract("path", "/([^/]*)/[^/]*$", 1).alias("folder")).distinct()
 
 
 @check("SELECT transaction_id, amount, region_code FROM v_txn")

@@ -1,11 +1,14 @@
 """Partitions derived from a time, and exchange of small files."""
 
 import json
+import re
 import uuid
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tarnlake import schemas
 from tarnlake.operators import upkeep
 from tarnlake.sinks import compaction, derived, exchange, tables
@@ -199,3 +202,37 @@ def test_a_failed_write_exchanges_nothing(spark, name, rows, monkeypatch):
     spark.catalog.refreshTable(name)
     assert rows(spark.table(name)) == before
     assert set(listed) <= set(files_of(spark, name))
+
+
+@pytest.fixture
+def written(spark, monkeypatch):
+    """Plans of all writes into tables, under the settings they run with."""
+    plans, write = [], DataFrameWriter.insertInto
+
+    def insert(self, table, overwrite=None):
+        self._df.createOrReplaceTempView("inserted")
+        plans.append(spark.sql(f"EXPLAIN INSERT INTO {table} SELECT * FROM inserted").first()[0])
+        return write(self, table, overwrite)
+    monkeypatch.setattr(DataFrameWriter, "insertInto", insert)
+    return plans
+
+
+@pytest.mark.parametrize("query", ["orphans_in_table", "compacted_table", "stored_months"])
+def test_no_task_sorts_or_writes_a_whole_table(spark, written, query):
+    found = entry.queries()[query](spark, "/root/testdata/sf0.001")
+    assert found.count() and written
+    for text in written:
+        assert "Coalesce" not in text and not re.search(r"\bSort\b", text), text
+
+
+def test_a_task_of_more_partitions_than_it_opens_writes_them_all(spark):
+    name = "t_" + uuid.uuid4().hex
+    rows = spark.range(0, 400, 1, 1).selectExpr("id", "cast(id as string) AS v", "cast(id % 40 as string) AS p")
+    tables.create_table(spark, name, rows.schema, ["p"])
+    tables.append_table(spark, name, rows)
+    listed = tables.table_files(spark, name)
+    assert listed.select("partition").distinct().count() == 40 == listed.count() > tables.OPEN_FILES
+    twice = rows.where("id % 2 = 0").withColumn("v", F.lit("new"))
+    assert tables.upsert_table(spark, name, twice, ["id"], ["v"]) == {"rewritten": 20, "dropped": 0}
+    got = {r.id: (r.v, r.p) for r in spark.table(name).collect()}
+    assert got == {i: ("new" if i % 2 == 0 else str(i), str(i % 40)) for i in range(400)} and spark.table(name).count() == 400
