@@ -11,36 +11,45 @@ a word w after a word h is -log of (k c(h,w) + S P1(w)) / (k c(h) + S), which is
     -log(S P1(w)) + log(k c(h) + S) - log(1 + k c(h,w) / (S P1(w)))
 
 The first two terms need counts of words only, and the last is zero for a bigram of a single
-document.  So counts of words and bigrams are kept where several documents hold them: stored
-tables with a row for each, which grow with the corpus.  The most frequent are sent to every
-task; of the rest a filter of bounded size tells which may be in several documents, and only
-those are looked up by a join.  The cache and the filter change the work, not the result.
-A word is known by its 64-bit hash, a bigram by one of both.
+document.  The most frequent words and bigrams are counted first and sent to every task,
+which sums up what they tell of its texts.  Of all other tokens it sends the bigram on, once:
+to a bucket by the bigram's hash, or by the word's if the word is not among the most frequent.
+A bucket then holds all tokens of its bigrams, and of its words, since each token ends one
+bigram.  It counts them and tells every chunk of texts what its own tokens add.  What is sent
+to all tasks changes the work, not the result.  A word is known by its 64-bit hash, a bigram
+by one of both, or by its frequent word and a hash.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.common import map_batches, sent_whole
-from tarnlake.llm.jaccard_join import _FACTORS as FACTORS, _bits as bits_of, _mixed as mixed, SEGMENT, Shingles, filter_words
+from tarnlake.llm.jaccard_join import _FACTORS as FACTORS, _mixed as mixed, SEGMENT, Shingles
 from tarnlake.session import stage
 
 # Weight of the unigram model, in tokens of history.
 SMOOTHING = 50.0
 # Counts sent to every task, of words and of bigrams: 24 bytes each.
 CACHE = 1 << 18
-# Tokens a task sums at once, and different bigrams of a bucket.
-FLUSH, BUCKET = 2_000_000, 1_000_000
+# Tokens of a chunk, which a task sums at once, and of a bucket at most, about.
+FLUSH, BUCKET = 1 << 20, 2_000_000
+# A bigram that is one in so many of a chunk's tokens may be among the most frequent.
+SHARE = 1 << 15
+# Upper bits of a hash by which it is found among the most frequent.
+SLOTS = 20
 # The word before the first and after the last.
 EDGE = np.uint64(0x5EED)
 SIDES = ("background", "target")
+# What a row tells: what is known of a chunk's texts, or their tokens with a frequent word, or with another.
+BASE, FREQUENT, RARE = range(3)
 
 
 class Words(Shingles):
@@ -67,106 +76,123 @@ def bigrams(words: np.ndarray) -> np.ndarray:
     return mixed(words[:-1] * FACTORS[0] + words[1:] * FACTORS[1])
 
 
-def _summed(keys: list[np.ndarray], n: list[np.ndarray], target: list[bool]) -> tuple[np.ndarray, ...]:
-    """Sorted keys with their tokens of either side and their documents, from a document's distinct keys each."""
-    h = np.concatenate(keys or [np.zeros(0, np.uint64)])
-    count = np.concatenate(n or [np.zeros(0, np.int64)])
-    side = np.repeat(np.array(target, bool), np.array([len(k) for k in keys], int))
-    order = np.argsort(h, kind="stable")
-    h, count, side = h[order], count[order], side[order]
-    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-    sums = [np.add.reduceat(x, first) if len(h) else first for x in (count * ~side, count * side, np.ones(len(h), np.int64))]
-    return h[first], *sums
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return np.flatnonzero(new)
 
 
-class CountWords:
-    """Tokens of a task's words by side, and the documents that hold them."""
+def _lengths(starts: np.ndarray, end: int) -> np.ndarray:
+    return np.diff(starts, append=end)
 
-    def __init__(self, of=lambda words: words[1:]):
-        self.words, self.of = Words(), of
+
+class Chunks:
+    """``rows`` of every ``FLUSH`` tokens of a task: of their texts' sides and, if asked for, ids, and of all tokens
+    the text, the word and the bigram that ends there."""
+
+    def __init__(self, columns: Sequence[str], rows: Callable[..., dict]):
+        self.words, self.columns, self.rows = Words(), columns, rows
         self.held: tuple[list, list, list] = ([], [], [])
         self.n = 0
 
-    def __call__(self, target, texts):
-        for is_target, words in zip(target, self.words(texts)):
-            if len(words):
-                keys, n = np.unique(self.of(words), return_counts=True)
-                for held, value in zip(self.held, (keys, n, bool(is_target))):
-                    held.append(value)
-                self.n += len(keys)
-        return self.finish() if self.n > FLUSH else self.rows(*_summed([], [], []))
+    def __call__(self, target, texts, ids=()):
+        words = list(self.words(texts))
+        for held, more in zip(self.held, (target, words, ids)):
+            held += more
+        self.n += sum(map(len, words))
+        return self.finish() if self.n > FLUSH else {c: [] for c in self.columns}
 
     def finish(self):
-        out = self.rows(*_summed(*self.held))
+        target, words, ids = self.held
         self.held, self.n = ([], [], []), 0
-        return out
-
-    def rows(self, keys, background, target, docs):
-        return {"g": keys.view(np.int64), "background": background, "target": target, "docs": docs}
-
-
-class CountBigrams(CountWords):
-    """The same of bigrams, as bytes by bucket; those met once come apart, as keys alone."""
-
-    def __init__(self, buckets: int):
-        super().__init__(bigrams)
-        self.edges = np.array([((k << 64) + buckets - 1) // buckets for k in range(buckets)], np.uint64)
-
-    def rows(self, keys, background, target, docs):
-        out = {"bucket": [], "once": [], "keys": [], "counts": []}
-        counts = np.column_stack([background, target, docs]).astype(np.uint32)
-        kinds = {0: (counts == (1, 0, 1)).all(axis=1), 1: (counts == (0, 1, 1)).all(axis=1)}
-        for once, among in (*kinds.items(), (None, ~(kinds[0] | kinds[1]))):
-            own, several = keys[among], counts[among]
-            cuts = np.concatenate([np.searchsorted(own, self.edges), [len(own)]])
-            for k in np.flatnonzero(np.diff(cuts)):
-                part = slice(cuts[k], cuts[k + 1])
-                out["bucket"].append(int(k))
-                out["once"].append(once)
-                out["keys"].append(own[part].tobytes())
-                out["counts"].append(b"" if once is not None else several[part].tobytes())
-        return out
+        if not target:
+            return {c: [] for c in self.columns}
+        sizes = np.array([len(w) for w in words])
+        every = np.concatenate(words)
+        ends = np.ones(len(every), bool)
+        ends[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
+        ends = np.flatnonzero(ends)
+        text = np.repeat(np.arange(len(sizes)), np.maximum(0, sizes - 1))
+        pairs = bigrams(every)[ends - 1] if len(ends) else every
+        return self.rows(np.array(target, bool), ids, text, every[ends], pairs)
+
+
+COUNTS_DDL = "kind int, g long, background long, target long"
+COUNTS = ("kind", "g", *SIDES)
+
+
+def _counted(target, ids, text, words, pairs):
+    """The words of a chunk, and the bigrams that may be among the most frequent, with their tokens by side."""
+    out: dict[str, list] = {c: [] for c in COUNTS}
+    for k in (0, 1):
+        mine = target[text] == k
+        for kind, keys in enumerate((words, pairs)):
+            keys = np.sort(keys[mine])
+            first = _starts(keys)
+            n = _lengths(first, len(keys))
+            if kind:
+                often = n > len(keys) // SHARE
+                first, n = first[often], n[often]
+            out["kind"] += [kind] * len(first)
+            out["g"] += keys[first].view(np.int64).tolist()
+            out[SIDES[k]] += n.tolist()
+            out[SIDES[1 - k]] += [0] * len(first)
+    return out
+
+
+def _sums(rows: DataFrame, make: Callable[[], Callable[..., dict]], name: str) -> DataFrame:
+    """Tokens by side, ``make`` counting those of a task, stored."""
+    sums = [F.sum(s).alias(s) for s in SIDES]
+    return stage(map_batches(rows, ["target", "text"], COUNTS_DDL, make).groupBy("kind", "g").agg(*sums), name)
+
+
+class Known:
+    """The counts by side of some hashes, which are found by their upper bits."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        self.keys, self.counts = keys, counts
+        self.slots = np.searchsorted(keys, np.arange(1 << SLOTS, dtype=np.uint64) << np.uint64(64 - SLOTS)).astype(np.int32)
+
+    def find(self, g: np.ndarray) -> np.ndarray:
+        """Where each of ``g`` is, -1 if it is not here."""
+        if not len(self.keys):
+            return np.full(len(g), -1, np.int32)
+        last = len(self.keys) - 1
+        at = np.minimum(self.slots[(g >> np.uint64(64 - SLOTS)).astype(np.int64)], last)
+        open_ = np.flatnonzero(self.keys[at] < g)
+        while len(open_):
+            open_ = open_[at[open_] < last]
+            at[open_] += 1
+            open_ = open_[self.keys[at[open_]] < g[open_]]
+        return np.where(self.keys[at] == g, at, np.int32(-1))
+
+
+class CountKnown:
+    """Tokens of a task that end one of ``keys``, by side."""
+
+    def __init__(self, keys: np.ndarray):
+        self.known = Known(keys, np.zeros((2, len(keys)), np.int64))
+        self.chunks = Chunks(COUNTS, self.add)
+
+    def add(self, target, ids, text, words, pairs):
+        at = self.known.find(pairs)
+        for k in (0, 1):
+            self.known.counts[k] += np.bincount(at[(at >= 0) & (target[text] == k)], minlength=len(self.known.keys))
+        return {c: [] for c in COUNTS}
 
+    def __call__(self, target, texts):
+        return self.chunks(target, texts)
 
-def _merge(rows: pa.Table) -> pa.Table:
-    """The bigrams of a bucket that several documents hold."""
-    keys, counts = [], []
-    for once, k, c in zip(*(rows[name].to_pylist() for name in ("once", "keys", "counts"))):
-        own = np.frombuffer(k, np.uint64)
-        keys.append(own)
-        counts.append(np.frombuffer(c, np.uint32).reshape(-1, 3).astype(np.int64) if once is None else np.tile(
-            (1 - once, once, 1), (len(own), 1)))
-    h, n = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(h, kind="stable")
-    h, n = h[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    sums = np.add.reduceat(n, first, axis=0)
-    several = sums[:, 2] > 1
-    return pa.table({"g": h[first][several].view(np.int64), "background": sums[several, 0], "target": sums[several, 1]})
+    def finish(self):
+        self.chunks.finish()
+        some = np.flatnonzero(self.known.counts.any(axis=0))
+        return {"kind": [1] * len(some), "g": self.known.keys[some].view(np.int64).tolist()} | {
+            s: self.known.counts[k, some].tolist() for k, s in enumerate(SIDES)}
 
 
-@dataclass
-class Counts:
-    """A stored table ``g, background, target`` of what several documents hold, the most frequent of it, and a filter."""
-
-    table: DataFrame
-    keys: np.ndarray
-    counts: np.ndarray
-    filled: np.ndarray
-
-    def find(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of ``g`` by side where they are here, and what has to be looked up."""
-        at = np.minimum(np.searchsorted(self.keys, g), max(0, len(self.keys) - 1))
-        here = self.keys[at] == g if len(self.keys) else np.zeros(len(g), bool)
-        found = np.zeros((2, len(g)))
-        found[:, here] = self.counts[:, at[here]]
-        bits = bits_of(g)
-        maybe = self.filled[(g & np.uint64(len(self.filled) - 1)).astype(np.int64)] & bits == bits
-        return found, maybe & ~here
-
-
-def _kept(table: DataFrame, cache: int) -> Counts:
-    """``table``, stored, with its ``cache`` most frequent rows or fewer: all above some frequency."""
+def _most_frequent(table: DataFrame, cache: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts by side of the ``cache`` most frequent rows of a stored table or fewer: all above some frequency."""
     n = F.col("background") + F.col("target")
     # By frequency, in powers of a twentieth: a few hundred rows.
     step = F.floor(F.log(n) * 20)
@@ -181,7 +207,7 @@ def _kept(table: DataFrame, cache: int) -> Counts:
     rows = top.select("g", *SIDES).toPandas()
     keys = rows["g"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return Counts(table, keys[order], rows[list(SIDES)].to_numpy(np.float64)[order].T, filter_words(table))
+    return keys[order], rows[list(SIDES)].to_numpy(np.float64)[order].T
 
 
 @dataclass
@@ -204,12 +230,196 @@ def word_terms(count, own, sizes: Sizes, k: int, log=np.log):
     return log(sizes.scale[k] * (count - own[0]) + SMOOTHING) - unigram(count, own, sizes, k, log)
 
 
+def _planes(n: np.ndarray) -> bytes:
+    """Numbers as their lowest bytes, then the next, and so on, which compresses better."""
+    return n.astype(np.int32).view(np.uint8).reshape(len(n), 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, len(planes) // 4).T).view(np.int32).ravel()
+
+
+ROWS_DDL = "bucket int, chunk long, kind int, ids array<{}>, texts binary, tokens binary, n_all binary, first binary, second binary"
+ROWS = [part.split()[0] for part in ROWS_DDL.split(", ")]
+SUMS_DDL = "chunk long, ids array<{}>, texts binary, n_all binary, background binary, target binary"
+
+
+class Score:
+    """What is known of a chunk's texts, and the tokens that have to be looked up, by bucket.
+
+    Of texts with such tokens, the place in the chunk, the number of these tokens and of all, negative for the
+    target's; then of the tokens the bigram, and the word if it is rare, else how often its text has it.
+    """
+
+    def __init__(self, words: Known, pairs: Known, sizes: Sizes, buckets: int):
+        self.words, self.pairs, self.sizes, self.buckets = words, pairs, sizes, buckets
+        self.chunk = TaskContext.get().partitionId() << 32
+
+    def __call__(self, target, ids, text, words, pairs):
+        self.chunk += 1
+        n_all = np.bincount(text, minlength=len(target))
+        signed = np.where(target, -n_all, n_all)
+        word = self.words.find(words)
+        rare = word < 0
+        lost = text[rare], pairs[rare], words[rare]
+        text, pairs, word = text[~rare], pairs[~rare], word[~rare]
+        sums, n = self.of_words(target, n_all, text, word)
+        pair = self.pairs.find(pairs)
+        here = pair >= 0
+        sums += self.of_pairs(target, n_all, text[here], word[here], n[here], pair[here])
+        out: dict[str, list] = {c: [] for c in ROWS}
+        self.put(out, self.chunk % self.buckets, BASE, ids, np.arange(len(target)), n_all * 0, signed, *(s.tobytes() for s in sums))
+        text, pairs, word, n = text[~here], pairs[~here], word[~here], n[~here]
+        shift = _shift(self.words)
+        keys = word.astype(np.uint64) << shift | pairs & ((np.uint64(1) << shift) - np.uint64(1))
+        self.send(out, FREQUENT, signed, pairs, text, keys, n, _planes)
+        self.send(out, RARE, signed, lost[2], *lost, np.ndarray.tobytes)
+        return out
+
+    def put(self, out, bucket, kind, ids, texts, tokens, n_all, first, second):
+        for c, v in zip(ROWS, (bucket, self.chunk, kind, ids, _planes(texts), _planes(tokens), _planes(n_all), first, second)):
+            out[c].append(v)
+
+    def send(self, out, kind, signed, by, text, first, second, pack):
+        bucket = ((by >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)).astype(np.min_scalar_type(self.buckets))
+        order = np.argsort(bucket, kind="stable")
+        bucket, text, first, second = bucket[order], text[order], first[order], second[order]
+        cuts = _starts(bucket)
+        for k, end in zip(cuts, [*cuts[1:], len(bucket)]):
+            at = _starts(text[k:end])
+            texts = text[k:end][at]
+            self.put(out, int(bucket[k]), kind, None, texts, _lengths(at, end - k), signed[texts], first[k:end].tobytes(), pack(second[k:end]))
+
+    def of_words(self, target, n_all, text, word):
+        """What frequent words add, and of each token how often its text has the word."""
+        order = np.argsort(text * len(self.words.keys) + word, kind="stable")
+        first = _starts(text[order], word[order])
+        n = _lengths(first, len(order))
+        times = np.empty(len(order), np.int64)
+        times[order] = np.repeat(n, n)
+        text, word = text[order[first]], word[order[first]]
+        sums = np.zeros((2, len(target)))
+        for k in (0, 1):
+            own = _own(target[text] == k, n, n_all[text])
+            sums[k] = np.bincount(text, n * word_terms(self.words.counts[k, word], own, self.sizes, k), len(target))
+        return sums, times
+
+    def of_pairs(self, target, n_all, text, word, n, pair):
+        """What the most frequent bigrams add."""
+        order = np.argsort(text * len(self.pairs.keys) + pair, kind="stable")
+        first = _starts(text[order], pair[order])
+        m, at = _lengths(first, len(order)), order[first]
+        text, word, n, pair = text[at], word[at], n[at], pair[at]
+        sums = np.zeros((2, len(target)))
+        for k in (0, 1):
+            sums[k] = np.bincount(text, pair_terms(
+                self.pairs.counts[k, pair], m, target[text] == k, n, n_all[text], self.words.counts[k, word], self.sizes, k), len(target))
+        return sums
+
+
+def _own(mine, n, n_all):
+    return n * mine, n_all * mine
+
+
+def pair_terms(count, m, mine, n, n_all, word_count, sizes: Sizes, k: int):
+    """What ``m`` tokens of a bigram take off the loss of a text, which holds its word ``n`` times."""
+    one = unigram(word_count, _own(mine, n, n_all), sizes, k, lambda x: x)
+    return -m * np.log1p(sizes.scale[k] * (count - m * mine) / one)
+
+
+def _shift(words: Known) -> np.uint64:
+    """Bits of a bigram's hash beside the place of its frequent word; those that choose a bucket are others."""
+    return np.uint64(64 - max(1, len(words.keys).bit_length()))
+
+
+def _look_up(rows: pa.Table, words: Known, sizes: Sizes) -> pa.Table:
+    """What the tokens of a bucket add to the texts of each chunk, and what was known of them."""
+    cells = {c: rows[c].to_pylist() for c in ROWS[2:] if c != "ids"}
+    order, sums = [], ([], [])
+    for kind in (BASE, FREQUENT, RARE):
+        own = [i for i, k in enumerate(cells["kind"]) if k == kind]
+        order += own
+        if kind == BASE:
+            for held, c in zip(sums, ("first", "second")):
+                held += [cells[c][i] for i in own]
+        elif own:
+            n_all, tokens = (np.concatenate([_numbers(cells[c][i]) for i in own]).astype(np.int64) for c in ("n_all", "tokens"))
+            first = np.concatenate([np.frombuffer(cells["first"][i], np.uint64) for i in own])
+            second = [cells["second"][i] for i in own]
+            text = np.repeat(np.arange(len(n_all), dtype=np.int32), tokens)
+            found = _of_frequent(first, np.concatenate(list(map(_numbers, second))), text, n_all, words, sizes) if kind == FREQUENT else (
+                _of_rare(first, np.concatenate([np.frombuffer(s, np.uint64) for s in second]), text, n_all, sizes))
+            cuts = np.cumsum([len(cells["texts"][i]) // 4 for i in own])[:-1]
+            for held, s in zip(sums, found):
+                held += [part.tobytes() for part in np.split(s, cuts)]
+    rows = rows.take(order)
+    return pa.table([rows["chunk"], rows["ids"], rows["texts"], rows["n_all"], *(pa.array(s, pa.binary()) for s in sums)],
+                    ["chunk", "ids", "texts", "n_all", *SIDES])
+
+
+def _by_pair(keys, text, target):
+    """Distinct (bigram, text) of bigrams that several texts hold: one of their tokens, how many, and those of all by side."""
+    order = np.argsort(keys, kind="stable")
+    keys, text = keys[order], text[order]
+    first = _starts(keys, text)
+    m = _lengths(first, len(keys))
+    start = _starts(keys[first])
+    texts = _lengths(start, len(first))
+    of_target = target[text[first]]
+    counts = [np.repeat(np.add.reduceat(m * (of_target == k), start) if len(m) else m, texts) for k in (0, 1)]
+    several = np.repeat(texts > 1, texts)
+    return order[first[several]], m[several], [c[several] for c in counts]
+
+
+def _of_frequent(keys, n, text, n_all, words: Known, sizes: Sizes) -> np.ndarray:
+    target = n_all < 0
+    at, m, counts = _by_pair(keys, text, target)
+    word = (keys[at] >> _shift(words)).astype(np.int64)
+    own, n = text[at], n[at]
+    return np.array([np.bincount(own, pair_terms(
+        counts[k], m, target[own] == k, n, np.abs(n_all[own]), words.counts[k, word], sizes, k), len(n_all)) for k in (0, 1)])
+
+
+def _of_rare(keys, words, text, n_all, sizes: Sizes) -> np.ndarray:
+    """All of a rare word's tokens are here: they count the word too."""
+    target = n_all < 0
+    _, word = np.unique(words, return_inverse=True)
+    count = [np.bincount(word[target[text] == k], minlength=len(word)) for k in (0, 1)]
+    each, to, n = np.unique(word * len(n_all) + text, return_inverse=True, return_counts=True)
+    which, owner = each // len(n_all), each % len(n_all)
+    at, m, counts = _by_pair(keys, text, target)
+    own = text[at]
+    out = []
+    for k in (0, 1):
+        terms = n * word_terms(count[k][which], _own(target[owner] == k, n, np.abs(n_all[owner])), sizes, k)
+        more = pair_terms(counts[k], m, target[own] == k, n[to[at]], np.abs(n_all[own]), count[k][word[at]], sizes, k)
+        out.append(np.bincount(owner, terms, len(n_all)) + np.bincount(own, more, len(n_all)))
+    return np.array(out)
+
+
+def _scores(rows: pa.Table) -> pa.Table:
+    """The texts of a chunk, everything summed up."""
+    texts, sums = ([_numbers(t) for t in rows["texts"].to_pylist()], {s: rows[s].to_pylist() for s in SIDES})
+    base = rows["ids"].is_valid().to_pylist().index(True)
+    n_all = np.abs(_numbers(rows["n_all"][base].as_py())).astype(np.int64)
+    losses = []
+    for s in SIDES:
+        loss = np.zeros(len(n_all))
+        for at, more in zip(texts, sums[s]):
+            loss[at] += np.frombuffer(more, np.float64)
+        losses.append(loss / np.maximum(1, n_all))
+    none = n_all == 0
+    return pa.table([rows["ids"][base].values, np.maximum(0, n_all - 1), pa.array(losses[1], mask=none), pa.array(losses[0], mask=none),
+                     np.where(none, 0, losses[1] - losses[0])], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+
 def _texts(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """``doc_id, row, target, text``; rows of equal text and side have equal losses and one ``row``."""
-    ids = targets.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(True))
-    rows = docs.select("doc_id", "text").join(sent_whole(stage(ids, "lm-targets")), "doc_id", "left")
-    rows = rows.withColumn("target", F.coalesce("target", F.lit(False)))
-    return rows.select("doc_id", F.xxhash64("text", "target").alias("row"), "target", "text")
+    """``doc_id, target, text``, the rows of each task in the same order whenever it runs."""
+    ids = stage(targets.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("target", F.lit(True)), "lm-targets")
+    sent = sent_whole(ids)
+    rows = docs.select("doc_id", "text").join(sent, "doc_id", "left").select("doc_id", F.coalesce("target", F.lit(False)).alias("target"), "text")
+    # Rows that come by a shuffle come in any order.
+    return rows if sent is not ids else rows.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
 
 
 def score_against(docs: DataFrame, labels: DataFrame, is_target: Column, cache: int = CACHE) -> DataFrame:
@@ -220,105 +430,32 @@ def score_against(docs: DataFrame, labels: DataFrame, is_target: Column, cache:
     background's: the lower, the more like the target.  A text without words has no losses
     and score 0.  If a side has no words, its model knows nothing but that.  A document on
     several rows, or of several copies, is left out once: its copies are other documents.
+    ``docs`` is a stored table: three passes read it, and a task that is run again has to
+    find its texts in the same order.
     """
     rows = _texts(docs, labels.where(is_target))
-    sums = [F.sum(c).alias(c) for c in (*SIDES, "docs")]
-    every = stage(map_batches(rows, ["target", "text"], "g long, background long, target long, docs long", CountWords)
-                  .groupBy("g").agg(*sums), "lm-every-word")
-    total = every.agg(F.count("*").alias("words"), *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in SIDES]).first()
+    every = _sums(rows, lambda: Chunks(COUNTS, _counted), "lm-counts")
+    every_word, often = every.where("kind = 0"), every.where("kind = 1")
+    total = every_word.agg(F.count("*").alias("words"), *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in SIDES]).first()
     tokens = [float(total[s]) for s in SIDES]
     sizes = Sizes(tokens, total["words"], [tokens[1] / tokens[0] if all(tokens) else 1.0, 1.0])
-    words = _kept(stage(every.where("docs > 1").select("g", *SIDES), "lm-words"), cache)
-    buckets = max(16, -(-int(sum(tokens)) // BUCKET))
-    counted = map_batches(rows, ["target", "text"], "bucket int, once int, keys binary, counts binary", lambda: CountBigrams(buckets))
-    pairs = _kept(stage(counted.groupBy("bucket").applyInArrow(_merge, "g long, background long, target long"), "lm-bigrams"), cache)
+    words = _most_frequent(every_word, cache)
+    # So far these bigrams are counted where they are frequent; now everywhere.
+    asked, _ = _most_frequent(often, cache)
     spark = docs.sparkSession.sparkContext
-    known = spark.broadcast([(c.keys, c.counts, c.filled) for c in (words, pairs)])
-
-    def passes(what: str):
-        """What a task says of its texts: sums of all that is known there, or the rows to be looked up."""
-        def make():
-            texts = Words()
-            of_words, of_pairs = (Counts(None, *c) for c in known.value)
-
-            def work(*cells):
-                keys, target, text = cells[-3:]
-                out: dict[str, list] = {c: [] for c in LOOKUPS[what]}
-                for at, (row, is_target, seq) in enumerate(zip(keys, target, texts(text))):
-                    side, n_all = int(is_target), max(0, len(seq) - 1)
-                    w, n = np.unique(seq[1:], return_counts=True)
-                    count, ask = of_words.find(w)
-                    own = [(n * (k == side), n_all * (k == side)) for k in (0, 1)]
-                    # A word of this document alone: nothing is left of it, whatever the side.
-                    count[side, ~ask & (count.sum(axis=0) == 0)] = n[~ask & (count.sum(axis=0) == 0)]
-                    if what == "words":
-                        found = np.flatnonzero(ask)
-                        values = {"row": [row] * len(found), "side": [side] * len(found), "g": w[found].view(np.int64).tolist(),
-                                  "n": n[found].tolist(), "n_all": [n_all] * len(found)}
-                    else:
-                        seen = bigrams(seq) if n_all else seq
-                        p, first, m = np.unique(seen, return_index=True, return_counts=True)
-                        pair_count, pair_ask = of_pairs.find(p)
-                        # The word that comes, its counts if they are here.
-                        word = np.searchsorted(w, seq[1:][first])
-                        here = ~ask[word]
-                        if what == "pairs":
-                            found = np.flatnonzero(pair_ask | (~here & (pair_count.sum(axis=0) > 0)))
-                            values = {"row": [row] * len(found), "side": [side] * len(found), "g": p[found].view(np.int64).tolist(),
-                                      "m": m[found].tolist(), "n": n[word[found]].tolist(), "n_all": [n_all] * len(found),
-                                      "word": w[word[found]].view(np.int64).tolist()}
-                            for k, s in enumerate(SIDES):
-                                values[f"word_{s}"] = [c if h else None for c, h in zip(count[k, word[found]].tolist(), here[found].tolist())]
-                        else:
-                            sums = []
-                            for k in (0, 1):
-                                loss = (n * word_terms(count[k], own[k], sizes, k))[~ask].sum()
-                                mine = (pair_count[:, here].sum(axis=0) > 0) & ~pair_ask[here]
-                                c = np.maximum(0, pair_count[k, here] - m[here] * (k == side))[mine]
-                                u = unigram(count[k], own[k], sizes, k)[word[here]][mine]
-                                sums.append(float(loss - (m[here][mine] * np.log1p(sizes.scale[k] * c / np.exp(u))).sum()))
-                            values = {"doc_id": [cells[0][at]], "row": [row], "n_tokens": [max(0, n_all - 1)], "n_all": [n_all],
-                                      "sum_background": [sums[0]], "sum_target": [sums[1]]}
-                    for c, v in values.items():
-                        out[c] += v
-                return out
-            return work
-        return make
-
+    some = spark.broadcast(asked)
+    pairs = _most_frequent(_sums(rows, lambda: CountKnown(some.value), "lm-bigrams"), max(1, len(asked))) if len(asked) else (asked, np.zeros((2, 0)))
+    known = spark.broadcast((words, pairs))
+    buckets = max(16, -(-int(sum(tokens)) // BUCKET))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    base = map_batches(rows, ["doc_id", "row", "target", "text"], LOOKUPS_DDL["base"].format(id_type), passes("base"))
-    base = stage(base, "lm-base")
-    side = [F.col("side") == k for k in (0, 1)]
-
-    def less(column: str, k: int) -> Column:
-        return F.when(side[k], F.col(column)).otherwise(F.lit(0))
-
-    asked = map_batches(rows, ["row", "target", "text"], LOOKUPS_DDL["words"], passes("words"))
-    of_words = asked.join(words.table, "g", "left").select("row", *[
-        (F.col("n") * word_terms(F.coalesce(F.col(s), less("n", k)), (less("n", k), less("n_all", k)), sizes, k, F.log)).alias(s)
-        for k, s in enumerate(SIDES)])
-    asked = map_batches(rows, ["row", "target", "text"], LOOKUPS_DDL["pairs"], passes("pairs"))
-    asked = asked.join(pairs.table, "g")
-    # Few words that come in repeated bigrams are not among the most frequent.
-    rare = asked.where("word_target IS NULL").drop("word_target", "word_background").join(words.table.select(
-        F.col("g").alias("word"), *[F.col(s).alias(f"word_{s}") for s in SIDES]), "word")
-    both = asked.where("word_target IS NOT NULL").unionByName(rare.select(*asked.columns))
-    of_pairs = both.select("row", *[
-        (-F.col("m") * F.log1p(F.lit(sizes.scale[k]) * F.greatest(F.lit(0), F.col(s) - less("m", k)) / F.exp(unigram(
-            F.col(f"word_{s}"), (less("n", k), less("n_all", k)), sizes, k, F.log)))).alias(s) for k, s in enumerate(SIDES)])
-    more = of_words.unionByName(of_pairs).groupBy("row").agg(*[F.sum(s).alias(s) for s in SIDES])
-    # Rows of one text and side had their terms summed together.
-    copies = base.groupBy("row").agg(F.count("*").alias("copies"))
-    more = stage(more.join(copies, "row").select("row", *[(F.col(s) / F.col("copies")).alias(s) for s in SIDES]), "lm-looked-up")
-    losses = base.join(more, "row", "left").select("doc_id", "n_tokens", *[
-        F.when(F.col("n_all") > 0, (F.col(f"sum_{s}") + F.coalesce(s, F.lit(0.0))) / F.col("n_all")).alias(f"{s}_loss") for s in SIDES])
-    return losses.select("doc_id", "n_tokens", "target_loss", "background_loss",
-                         F.coalesce(F.col("target_loss") - F.col("background_loss"), F.lit(0.0)).alias("score"))
-
-
-LOOKUPS_DDL = {
-    "base": "doc_id {}, row long, n_tokens long, n_all long, sum_background double, sum_target double",
-    "words": "row long, side int, g long, n int, n_all long",
-    "pairs": "row long, side int, g long, m int, n int, n_all long, word long, word_background double, word_target double",
-}
-LOOKUPS = {kind: [part.split()[0] for part in ddl.split(", ")] for kind, ddl in LOOKUPS_DDL.items()}
+
+    def score():
+        return Chunks(ROWS, Score(*(Known(*c) for c in known.value), sizes, buckets))
+
+    def look_up(bucket: pa.Table) -> pa.Table:
+        return _look_up(bucket, Known(*known.value[0]), sizes)
+
+    sent = map_batches(rows, ["target", "text", "doc_id"], ROWS_DDL.format(id_type), score)
+    sums = sent.groupBy("bucket").applyInArrow(look_up, SUMS_DDL.format(id_type))
+    return sums.groupBy("chunk").applyInArrow(
+        _scores, f"doc_id {id_type}, n_tokens long, target_loss double, background_loss double, score double")

@@ -415,6 +415,65 @@ def test_language_scores_of_nothing(spark, docs):
     assert none.count() == docs.count() and none.where("score IS NULL").count() == 0
 
 
+def sent_rows(monkeypatch):
+    """What the tasks of ``score_against`` give, pass by pass."""
+    sent, plain = [], lm_score.map_batches
+    monkeypatch.setattr(lm_score, "map_batches", lambda *args: sent.append(plain(*args)) or sent[-1])
+    return sent
+
+
+def test_language_scores_send_no_row_a_bigram(spark, plan, monkeypatch, shuffled_joins):
+    """Tokens are sent on once, in a row for each chunk and bucket, and joined with nothing."""
+    random = np.random.default_rng(11)
+    texts = [(i, " ".join(f"w{int(x)}" for x in random.integers(0, 40, 100))) for i in range(300)]
+    d = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    sent = sent_rows(monkeypatch)
+    scored = lm_score.score_against(d, labels, F.col("quality") == 1, 0)
+    assert "SortMergeJoin" not in plan(scored) and scored.count() == 300
+    chunks = d.rdd.getNumPartitions()
+    # 16 buckets, tokens with a frequent and a rare word, and what is known of the chunk.
+    assert sent[-1].count() <= chunks * (2 * 16 + 1)
+    size = sent[-1].agg(F.sum(sum(F.octet_length(c) for c in ("texts", "tokens", "n_all", "first", "second")))).first()[0]
+    assert size <= 300 * 101 * 16 + 300 * 17 * 12 + 300 * 28
+
+
+def test_language_scores_send_no_frequent_bigram(spark, monkeypatch):
+    """A bigram of every text would make one bucket as large as the corpus: it is counted first, whatever holds it."""
+    monkeypatch.setattr(lm_score, "FLUSH", 1000)
+    monkeypatch.setattr(lm_score, "SHARE", 100)
+    random = np.random.default_rng(12)
+    texts = {i: " ".join(["a b", *(f"w{int(x)}" for x in random.integers(0, 3000, 20))]) for i in range(400)}
+    target = set(range(0, 400, 3))
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(2)
+    labels = spark.createDataFrame([(i, int(i in target)) for i in texts], "doc_id long, quality int")
+    sent = sent_rows(monkeypatch)
+    got = by_id(lm_score.score_against(d, labels, F.col("quality") == 1, 500))
+    assert all(abs(got[i].score - want[3]) < 1e-9 for i, want in plain_scores(texts, target).items())
+    keys = [np.frombuffer(r.first, np.uint64) for r in sent[-1].where(F.col("kind") == lm_score.FREQUENT).select("first").collect()]
+    assert len(keys) and max(np.unique(np.concatenate(keys), return_counts=True)[1]) < 20
+
+
+def test_language_scores_of_targets_too_many_to_send(spark, docs, monkeypatch, shuffled_joins):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    plain = by_id(lm_score.score_against(docs, labels, F.col("quality") == 1, 100))
+    monkeypatch.setattr(lm_score, "sent_whole", lambda stored: stored)
+    shuffled = by_id(lm_score.score_against(docs, labels, F.col("quality") == 1, 100))
+    assert set(plain) == set(shuffled) and all(abs(r.score - shuffled[i].score) < 1e-9 for i, r in plain.items())
+
+
+def test_known_hashes():
+    random = np.random.default_rng(13)
+    keys = np.unique(np.concatenate([random.integers(0, 1 << 64, 500, np.uint64), np.arange(7, 90, 3, dtype=np.uint64),
+                                     np.uint64((1 << 64) - 1) - np.arange(0, 40, 2, dtype=np.uint64)]))
+    asked = np.concatenate([keys, keys + np.uint64(1), random.integers(0, 1 << 64, 500, np.uint64), np.zeros(1, np.uint64)])
+    at = lm_score.Known(keys, np.zeros((2, len(keys)))).find(asked)
+    assert ((at >= 0) == np.isin(asked, keys)).all() and (keys[at[at >= 0]] == asked[at >= 0]).all()
+    assert (lm_score.Known(keys[:0], np.zeros((2, 0))).find(asked) == -1).all()
+    n = np.array([0, 1, -1, 255, 256, -70000, (1 << 31) - 1])
+    assert (lm_score._numbers(lm_score._planes(n)) == n).all() and len(lm_score._numbers(lm_score._planes(n[:0]))) == 0
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     rows = queries.op7_nbsvm(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
