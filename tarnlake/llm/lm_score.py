@@ -89,7 +89,7 @@ def _lengths(starts: np.ndarray, end: int) -> np.ndarray:
 
 class Chunks:
     """``rows`` of every ``FLUSH`` tokens of a task: of their texts' sides and, if asked for, ids, and of all tokens
-    the text, the word and the bigram that ends there."""
+    the text, the word and the bigram that ends there.  The texts of a chunk come by side and length."""
 
     def __init__(self, columns: Sequence[str], rows: Callable[..., dict]):
         self.words, self.columns, self.rows = Words(), columns, rows
@@ -108,14 +108,16 @@ class Chunks:
         self.held, self.n = ([], [], []), 0
         if not target:
             return {c: [] for c in self.columns}
-        sizes = np.array([len(w) for w in words])
+        target, sizes = np.array(target, bool), np.array([len(w) for w in words])
+        order = np.argsort(np.where(target, -sizes, sizes), kind="stable")
+        target, sizes, words, ids = target[order], sizes[order], [words[i] for i in order], [ids[i] for i in order] if ids else ids
         every = np.concatenate(words)
         ends = np.ones(len(every), bool)
         ends[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
         ends = np.flatnonzero(ends)
         text = np.repeat(np.arange(len(sizes)), np.maximum(0, sizes - 1))
         pairs = bigrams(every)[ends - 1] if len(ends) else every
-        return self.rows(np.array(target, bool), ids, text, every[ends], pairs)
+        return self.rows(target, ids, text, every[ends], pairs)
 
 
 COUNTS_DDL = "kind int, g long, background long, target long"
@@ -239,6 +241,15 @@ def _numbers(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, len(planes) // 4).T).view(np.int32).ravel()
 
 
+def _steps(n: np.ndarray) -> bytes:
+    """Ascending numbers, by what they grow."""
+    return _planes(np.diff(n, prepend=0))
+
+
+def _ascending(planes: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(planes), dtype=np.int64)
+
+
 ROWS_DDL = "bucket int, chunk long, kind int, ids array<{}>, texts binary, tokens binary, n_all binary, first binary, second binary"
 ROWS = [part.split()[0] for part in ROWS_DDL.split(", ")]
 SUMS_DDL = "chunk long, ids array<{}>, texts binary, n_all binary, background binary, target binary"
@@ -270,14 +281,14 @@ class Score:
         out: dict[str, list] = {c: [] for c in ROWS}
         self.put(out, self.chunk % self.buckets, BASE, ids, np.arange(len(target)), n_all * 0, signed, *(s.tobytes() for s in sums))
         text, pairs, word, n = text[~here], pairs[~here], word[~here], n[~here]
-        shift = _shift(self.words)
+        shift = _shift(len(self.words.keys))
         keys = word.astype(np.uint64) << shift | pairs & ((np.uint64(1) << shift) - np.uint64(1))
         self.send(out, FREQUENT, signed, pairs, text, keys, n, _planes)
         self.send(out, RARE, signed, lost[2], *lost, np.ndarray.tobytes)
         return out
 
     def put(self, out, bucket, kind, ids, texts, tokens, n_all, first, second):
-        for c, v in zip(ROWS, (bucket, self.chunk, kind, ids, _planes(texts), _planes(tokens), _planes(n_all), first, second)):
+        for c, v in zip(ROWS, (bucket, self.chunk, kind, ids, _steps(texts), _planes(tokens), _steps(n_all), first, second)):
             out[c].append(v)
 
     def send(self, out, kind, signed, by, text, first, second, pack):
@@ -327,34 +338,41 @@ def pair_terms(count, m, mine, n, n_all, word_count, sizes: Sizes, k: int):
     return -m * np.log1p(sizes.scale[k] * (count - m * mine) / one)
 
 
-def _shift(words: Known) -> np.uint64:
+def _shift(words: int) -> np.uint64:
     """Bits of a bigram's hash beside the place of its frequent word; those that choose a bucket are others."""
-    return np.uint64(64 - max(1, len(words.keys).bit_length()))
+    return np.uint64(64 - max(1, words.bit_length()))
 
 
-def _look_up(rows: pa.Table, words: Known, sizes: Sizes) -> pa.Table:
+def _look_up(rows: pa.Table, words: np.ndarray, sizes: Sizes) -> pa.Table:
     """What the tokens of a bucket add to the texts of each chunk, and what was known of them."""
     cells = {c: rows[c].to_pylist() for c in ROWS[2:] if c != "ids"}
-    order, sums = [], ([], [])
+    order, out = [], {c: [] for c in ("texts", "n_all", *SIDES)}
+
+    def tell(row: int, *values: bytes | None) -> None:
+        order.append(row)
+        for held, v in zip(out.values(), values):
+            held.append(v)
+
     for kind in (BASE, FREQUENT, RARE):
         own = [i for i, k in enumerate(cells["kind"]) if k == kind]
-        order += own
         if kind == BASE:
-            for held, c in zip(sums, ("first", "second")):
-                held += [cells[c][i] for i in own]
+            for i in own:
+                tell(i, *(cells[c][i] for c in ("texts", "n_all", "first", "second")))
         elif own:
-            n_all, tokens = (np.concatenate([_numbers(cells[c][i]) for i in own]).astype(np.int64) for c in ("n_all", "tokens"))
+            texts = [_ascending(cells["texts"][i]) for i in own]
+            n_all = np.concatenate([_ascending(cells["n_all"][i]) for i in own])
+            tokens = np.concatenate([_numbers(cells["tokens"][i]) for i in own])
             first = np.concatenate([np.frombuffer(cells["first"][i], np.uint64) for i in own])
             second = [cells["second"][i] for i in own]
             text = np.repeat(np.arange(len(n_all), dtype=np.int32), tokens)
             found = _of_frequent(first, np.concatenate(list(map(_numbers, second))), text, n_all, words, sizes) if kind == FREQUENT else (
                 _of_rare(first, np.concatenate([np.frombuffer(s, np.uint64) for s in second]), text, n_all, sizes))
-            cuts = np.cumsum([len(cells["texts"][i]) // 4 for i in own])[:-1]
-            for held, s in zip(sums, found):
-                held += [part.tobytes() for part in np.split(s, cuts)]
+            for i, of, sums in zip(own, texts, np.split(found, np.cumsum(list(map(len, texts)))[:-1], axis=1)):
+                some = sums.any(axis=0)
+                if some.any():
+                    tell(i, _steps(of[some]), None, *(s[some].tobytes() for s in sums))
     rows = rows.take(order)
-    return pa.table([rows["chunk"], rows["ids"], rows["texts"], rows["n_all"], *(pa.array(s, pa.binary()) for s in sums)],
-                    ["chunk", "ids", "texts", "n_all", *SIDES])
+    return pa.table([rows["chunk"], rows["ids"], *(pa.array(v, pa.binary()) for v in out.values())], ["chunk", "ids", *out])
 
 
 def _by_pair(keys, text, target):
@@ -371,13 +389,13 @@ def _by_pair(keys, text, target):
     return order[first[several]], m[several], [c[several] for c in counts]
 
 
-def _of_frequent(keys, n, text, n_all, words: Known, sizes: Sizes) -> np.ndarray:
+def _of_frequent(keys, n, text, n_all, words: np.ndarray, sizes: Sizes) -> np.ndarray:
     target = n_all < 0
     at, m, counts = _by_pair(keys, text, target)
-    word = (keys[at] >> _shift(words)).astype(np.int64)
+    word = (keys[at] >> _shift(words.shape[1])).astype(np.int64)
     own, n = text[at], n[at]
     return np.array([np.bincount(own, pair_terms(
-        counts[k], m, target[own] == k, n, np.abs(n_all[own]), words.counts[k, word], sizes, k), len(n_all)) for k in (0, 1)])
+        counts[k], m, target[own] == k, n, np.abs(n_all[own]), words[k, word], sizes, k), len(n_all)) for k in (0, 1)])
 
 
 def _of_rare(keys, words, text, n_all, sizes: Sizes) -> np.ndarray:
@@ -399,9 +417,9 @@ def _of_rare(keys, words, text, n_all, sizes: Sizes) -> np.ndarray:
 
 def _scores(rows: pa.Table) -> pa.Table:
     """The texts of a chunk, everything summed up."""
-    texts, sums = ([_numbers(t) for t in rows["texts"].to_pylist()], {s: rows[s].to_pylist() for s in SIDES})
+    texts, sums = ([_ascending(t) for t in rows["texts"].to_pylist()], {s: rows[s].to_pylist() for s in SIDES})
     base = rows["ids"].is_valid().to_pylist().index(True)
-    n_all = np.abs(_numbers(rows["n_all"][base].as_py())).astype(np.int64)
+    n_all = np.abs(_ascending(rows["n_all"][base].as_py()))
     losses = []
     for s in SIDES:
         loss = np.zeros(len(n_all))
@@ -453,7 +471,7 @@ def score_against(docs: DataFrame, labels: DataFrame, is_target: Column, cache:
         return Chunks(ROWS, Score(*(Known(*c) for c in known.value), sizes, buckets))
 
     def look_up(bucket: pa.Table) -> pa.Table:
-        return _look_up(bucket, Known(*known.value[0]), sizes)
+        return _look_up(bucket, known.value[0][1], sizes)
 
     sent = map_batches(rows, ["target", "text", "doc_id"], ROWS_DDL.format(id_type), score)
     sums = sent.groupBy("bucket").applyInArrow(look_up, SUMS_DDL.format(id_type))
