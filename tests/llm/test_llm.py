@@ -3,6 +3,7 @@
 import hashlib
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -324,6 +325,57 @@ def test_toxicity_on_held_out_labels(spark):
     assert all(0 <= r.severity <= 3 for r in rows)
 
 
+class Caught(Exception):
+    """Carries what a task would run."""
+
+
+@pytest.fixture
+def counting(monkeypatch):
+    """What ``select_features`` runs in a task."""
+    def caught(sample, columns, ddl, make):
+        raise Caught(make)
+
+    monkeypatch.setattr(toxicity, "map_batches", caught)
+    with pytest.raises(Caught) as e:
+        toxicity.select_features(None, {0: 1, 1: 1})
+    return e.value.args[0]()
+
+
+def test_features_are_counted_by_document(counting):
+    texts = [b"Some words, some WORDS again", "caf\u00e9s (caf\u00e9s) stra\u00dfe".encode(), b"words only", b"", b" ... ", b"again"]
+    labels, neg, pos = [0, 1, 1, 1, 0, 0], Counter(), Counter()
+    for label, text in zip(labels, texts):
+        (pos if label else neg).update(set().union(*map(toxicity.word_features, text.split())))
+    out = counting(labels, texts)
+    assert len(set(out["f"])) == len(out["f"]) == len(neg | pos)
+    assert {(f, n, p) for f, n, p in zip(*(np.asarray(out[c]).tolist() for c in ("f", "neg", "pos")))} == {
+        (f, neg[f], pos[f]) for f in neg | pos}
+    assert not len(counting([0, 1], [b"", b"\n"])["f"])
+
+
+def test_feature_cache_stays_small(counting):
+    """A sample of far more words than are used again: a task shares its executor with others."""
+    tracemalloc.start()
+    try:
+        for at in range(0, 150_000, 2500):
+            found = counting([0, 1], [b" ".join(b"%012d" % (i * 7919 ** 2) for i in range(at, at + 2500)), b"often used"])
+            assert len(found["f"]) > 2500
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 48 << 20
+
+
+def test_word_cache_is_bounded_and_keeps_what_is_used(monkeypatch):
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 10)
+    asked = []
+    cache = toxicity.WordCache(lambda w: asked.append(w) or w * 2)
+    for i in range(200):
+        assert cache[b"%d" % i] == b"%d" % i * 2 and cache[b"often"] == b"oftenoften"
+        assert len(cache) <= 10 and len(cache.before) <= 10
+    assert asked.count(b"often") == 1 and len(asked) == 201
+
+
 def test_cumulative_link_recovers_order():
     random = np.random.default_rng(0)
     x = random.normal(size=(3000, 4))
